@@ -94,3 +94,8 @@ def remove_first(field: ColumnOrName, search: ColumnOrName | None = None, *, lit
     pos = F.call_function("instr", f, s)
     removed = F.concat(f.substr(F.lit(1), pos - 1), f.substr(pos + 1, F.length(f)))
     return F.when(pos == 0, F.lit("")).otherwise(removed)
+
+
+def trim_text(c: ColumnOrName) -> Column:
+    """``trim`` of the value rendered as text (the default rule for a column)."""
+    return F.trim(_col(c).cast("string"))

@@ -1 +1,2 @@
-
+from .counts import append_history, replace_current, write_count_rows
+from .delimited import to_delimited, write_delimited
