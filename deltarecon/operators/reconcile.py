@@ -32,9 +32,16 @@ def lookup_join(
     return joined.select(*[df[c] for c in df.columns], *[lk[c] for c in keep])
 
 
-def parent_keys(keys: DataFrame, key_col: str) -> DataFrame:
-    """Distinct non-blank parent candidates, as a single ``_parent_key`` column."""
-    return keys.select(F.col(key_col).alias("_parent_key")).filter(F.col("_parent_key") != "").distinct()
+def parent_keys(keys: DataFrame, key_col: str, distinct: bool = False) -> DataFrame:
+    """Non-blank parent candidates, as a single ``_parent_key`` column.
+
+    ``distinct=True`` declares ``keys`` free of duplicates already, which
+    skips a second aggregation. It also leaves the join with a plain shuffle
+    on this side, the shape AQE needs to split a skewed partition of the
+    other side (one parent owning a large share of the rows).
+    """
+    pk = keys.select(F.col(key_col).alias("_parent_key")).filter(F.col("_parent_key") != "")
+    return pk if distinct else pk.distinct()
 
 
 def match_parent(rows: DataFrame, keys: DataFrame, parent_col: str, key_col: str) -> DataFrame:
@@ -59,6 +66,7 @@ def flag_missing_parent(
     flag_col: str = "rejected_branch_record",
     rejected: str = "Y",
     accepted: str = "N",
+    keys_distinct: bool = False,
 ) -> DataFrame:
     """All rows, flagged ``rejected`` when their non-blank parent is unknown.
 
@@ -66,8 +74,14 @@ def flag_missing_parent(
     union of the reference. Rows with a blank parent never need a partner:
     their join key is NULL, so they pass through without matching (a NULL
     key never equals anything) and are accepted.
+
+    Skew: a parent shared by a large share of rows, and the NULL key of the
+    blank-parent rows, each land in one partition of the left side; with
+    ``keys_distinct=True`` both join inputs are plain shuffles and AQE's
+    skew-join handling splits such partitions (left outer joins split the
+    left side).
     """
-    pk = parent_keys(keys, key_col)
+    pk = parent_keys(keys, key_col, keys_distinct)
     parent = F.col(parent_col)
     join_key = F.when(parent != "", parent)
     left = rows.withColumn("_jk", join_key)

@@ -112,7 +112,8 @@ def _finish(flagged: DataFrame, spec: FeedSpec) -> DataFrame:
 
 def accepted_and_rejected(flow: Mapping[str, DataFrame], spec: FeedSpec = FeedSpec()) -> DataFrame:
     """Step 5, one pass: every standardised row with its parent flag."""
-    flagged = flag_missing_parent(flow["std"], flow["keys"], spec.parent, spec.key, spec.flag_col)
+    # keys are distinct: distinct raw keys, and suffix_key is injective on non-blank ones
+    flagged = flag_missing_parent(flow["std"], flow["keys"], spec.parent, spec.key, spec.flag_col, keys_distinct=True)
     return _finish(flagged, spec)
 
 
