@@ -39,9 +39,20 @@ def _write_lines(spark: SparkSession, lines: DataFrame, name: str) -> str:
     return path
 
 
+_FIXED_FILES: dict[tuple[str, str], str] = {}
+
+
+def _fixed_file(spark: SparkSession, name: str, lines: tuple[str, ...]) -> str:
+    """Write a small fixed text input once per application and reuse it."""
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _FIXED_FILES:
+        df = spark.createDataFrame([(x,) for x in lines], "value string")
+        _FIXED_FILES[key] = _write_lines(spark, df, name)
+    return _FIXED_FILES[key]
+
+
 def _lookup(spark: SparkSession) -> DataFrame:
-    lines = spark.createDataFrame([(x,) for x in fx.STATUS_LOOKUP_LINES], "value string")
-    return fixed_width.read_fixed_width(spark, _write_lines(spark, lines, "status_lookup"))
+    return fixed_width.read_fixed_width(spark, _fixed_file(spark, "status_lookup", fx.STATUS_LOOKUP_LINES))
 
 
 def _flow(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -197,8 +208,7 @@ def delta_totals_only(spark, sf_dir):
 
 
 def registry_frame(spark: SparkSession) -> DataFrame:
-    lines = spark.createDataFrame([(x,) for x in fx.REGISTRY_LINES], "value string")
-    return registry.read_registry(spark, _write_lines(spark, lines, "registry"))
+    return registry.read_registry(spark, _fixed_file(spark, "registry", fx.REGISTRY_LINES))
 
 
 def sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
