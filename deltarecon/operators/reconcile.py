@@ -104,6 +104,7 @@ def record_diff(
     right_prefix: str = "r_",
     side_col: str | None = None,
     side_names: tuple[str, str, str] = ("both", "left_only", "right_only"),
+    strategy: str = "split",
 ) -> DataFrame:
     """Full outer join on ``keys``: matched pairs plus each side's leftovers.
 
@@ -112,21 +113,46 @@ def record_diff(
     ``<=>``. Output columns are prefixed per side (no ambiguous names); with
     ``side_col`` a label column tells ``both`` / left only / right only.
 
-    The join is a sort-merge join hash-partitioned on all key columns. With
-    one side unique on its keys (a deduplicated feed) the output is at most
-    ``|left| + |right|`` rows.
+    ``strategy``:
+
+    * ``"split"`` (default) computes the same rows as
+      ``right LEFT JOIN left`` (every right record, with its matches)
+      ``UNION ALL left ANTI JOIN distinct(right keys)`` (left records without
+      a match). AQE can split a skewed partition of the streamed side of a
+      left outer or anti join, but not of a full outer join; here a group of
+      copies on the right (a third of all rows with equal keys) is streamed
+      and split, and the anti join probes right keys that a partial
+      aggregation has already reduced to one row each. Put the side that is
+      unique on its keys (the deduplicated feed) on the left.
+    * ``"full_outer"``: one sort-merge full outer join (one task per hot key).
+
+    Output size is ``pairs + unmatched``; with the left side unique on its
+    keys that is at most ``|left| + |right|`` rows.
     """
-    lcols = [F.col(c).alias(f"{left_prefix}{c}") for c in left.columns]
-    rcols = [F.col(c).alias(f"{right_prefix}{c}") for c in right.columns]
-    lsel = left.select(*lcols, F.lit(True).alias("_in_left"))
-    rsel = right.select(*rcols, F.lit(True).alias("_in_right"))
-
-    def eq(k: str) -> Column:
-        lc, rc = lsel[f"{left_prefix}{k}"], rsel[f"{right_prefix}{k}"]
-        return lc.eqNullSafe(rc) if null_safe else lc == rc
-
-    joined = lsel.join(rsel, reduce(and_, [eq(k) for k in keys]), "full_outer")
-    out = [c for c in joined.columns if c not in ("_in_left", "_in_right")]
+    if strategy not in ("split", "full_outer"):
+        raise ValueError("strategy must be 'split' or 'full_outer'")
+    lsel = left.select(*[F.col(c).alias(f"{left_prefix}{c}") for c in left.columns], F.lit(True).alias("_in_left"))
+    rsel = right.select(*[F.col(c).alias(f"{right_prefix}{c}") for c in right.columns], F.lit(True).alias("_in_right"))
+    lk = [f"{left_prefix}{k}" for k in keys]
+    rk = [f"{right_prefix}{k}" for k in keys]
+
+    def cond(a: DataFrame, b: DataFrame, acols: list[str], bcols: list[str]) -> Column:
+        eqs = [a[x].eqNullSafe(b[y]) if null_safe else a[x] == b[y] for x, y in zip(acols, bcols)]
+        return reduce(and_, eqs)
+
+    out_cols = [f"{left_prefix}{c}" for c in left.columns] + [f"{right_prefix}{c}" for c in right.columns]
+    if strategy == "full_outer":
+        joined = lsel.join(rsel, cond(lsel, rsel, lk, rk), "full_outer")
+    else:
+        matched_and_right = rsel.join(lsel, cond(rsel, lsel, rk, lk), "left")
+        rkeys = right.select(*[F.col(k).alias(f"_rk_{i}") for i, k in enumerate(keys)]).distinct()
+        left_only = lsel.join(rkeys, cond(lsel, rkeys, lk, [f"_rk_{i}" for i in range(len(keys))]), "left_anti")
+        left_only = left_only.select(
+            *[F.col(c) for c in lsel.columns],
+            *[F.lit(None).cast(t).alias(c) for c, t in rsel.dtypes if c != "_in_right"],
+            F.lit(None).cast("boolean").alias("_in_right"),
+        )
+        joined = matched_and_right.select(*lsel.columns, *rsel.columns).unionByName(left_only)
     if side_col:
         both, lonly, ronly = side_names
         side = (
@@ -134,5 +160,5 @@ def record_diff(
             .when(F.col("_in_left").isNotNull(), F.lit(lonly))
             .otherwise(F.lit(ronly))
         )
-        return joined.select(*out, side.alias(side_col))
-    return joined.select(*out)
+        return joined.select(*out_cols, side.alias(side_col))
+    return joined.select(*out_cols)

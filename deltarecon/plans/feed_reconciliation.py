@@ -34,6 +34,7 @@ from ..functions.rules import (
 )
 from ..operators.dedup import dedup_keys, latest_per_key
 from ..operators.filters import split_valid_reject
+from ..session import materialize
 from ..operators.reconcile import (
     flag_missing_parent,
     lookup_join,
@@ -190,9 +191,23 @@ def feed_reconciliation(
     diff_keys: Sequence[str],
     spec: FeedSpec = FeedSpec(),
     side_names: tuple[str, str, str] = ("both", "feed_only", "master_only"),
+    diff_strategy: str = "split",
+    checkpoint_inputs: bool = True,
 ) -> Reconciliation:
+    """Steps 1-7 as lazy DataFrames.
+
+    With the default ``split`` diff each side is read by two joins. With
+    ``checkpoint_inputs`` the accepted feed (the expensive side: feed scan,
+    dedup shuffle, parent join) is written once to the shared checkpoint
+    folder here, so the dedup never runs twice and a lost executor does not
+    restart it. The master side is a 1:1 key join whose second use reads
+    only the key columns, so recomputing it is cheaper than writing it.
+    """
     flow = feed_flow(feed, lookup, spec)
     accepted = accepted_and_rejected(flow, spec)
     master = build_master(detail, hub, hub_filter)
-    diff = record_diff(accepted, master, diff_keys, side_col="diff_side", side_names=side_names)
+    if checkpoint_inputs and diff_strategy == "split":
+        accepted = materialize(accepted)
+    diff = record_diff(accepted, master, diff_keys, side_col="diff_side", side_names=side_names,
+                       strategy=diff_strategy)
     return Reconciliation(diff=diff, rejects=flow["reject"], accepted=accepted, master=master)

@@ -32,6 +32,7 @@ def local_session(cores: int | str = "*", app: str = "deltarecon", shuffle_parti
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.driver.memory", os.environ.get("DELTARECON_DRIVER_MEMORY", "8g"))
     )
@@ -70,3 +71,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/deltarecon-scratch/{uuid.uuid4().hex}/{name}"
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it from there.
+
+    Used where one intermediate feeds several branches of a plan: later
+    branches read the written copy instead of recomputing its lineage, and a
+    lost executor does not send the job back to the raw inputs. Never a
+    local checkpoint: the copy must survive the loss of the executor that
+    wrote it.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
