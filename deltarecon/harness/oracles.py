@@ -290,6 +290,8 @@ ORACLES["feed_reconciliation"] = flow_sql(diff_select(side=True))
 
 ORACLES["sink_delimited_roundtrip"] = with_fixtures(
     f"SELECT {delimited(FEED_COLS)} AS value FROM feed WHERE reg_name = ''", "feed")
+_DIFF_COLS = [f"l_{c}" for c in ACCEPTED_COLS] + [f"r_{c}" for c in MASTER_COLS]
+ORACLES["sink_diff_roundtrip"] = flow_sql(f"SELECT {delimited(_DIFF_COLS)} AS value FROM ({diff_select()}) d")
 ORACLES["sink_overwrite_counts"] = sweep_sql()
 ORACLES["sink_history_append"] = sweep_sql(copies=2)
 ORACLES["report_consolidate"] = sweep_sql()

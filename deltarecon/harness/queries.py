@@ -415,12 +415,22 @@ def sink_delimited_roundtrip(spark, sf_dir):
     return spark.read.text(path)
 
 
+@query
+def sink_diff_roundtrip(spark, sf_dir):
+    """Diff and rejects written as delimited records, the diff read back."""
+    rec = reconciliation(spark, sf_dir)
+    result, rejects = scratch_path(spark, "final_result"), scratch_path(spark, "rejects")
+    fr.write_reconciliation(rec, result, rejects)
+    return spark.read.text(result)
+
+
 @query
 def sink_overwrite_counts(spark, sf_dir):
-    rows = sweep(spark, sf_dir)
+    resolve = tables.mapping_resolver({k: (lambda f=f: f(spark, sf_dir)) for k, f in fx.DELTA_TABLES.items()})
     path = scratch_path(spark, "counts")
-    count_sinks.write_count_rows(rows, path)
-    count_sinks.write_count_rows(rows, path)  # second run replaces the first
+    for _ in range(2):  # the second run replaces the first; two tables per chunk
+        delta_sweep.run_delta_counts(registry_frame(spark), resolve, fx.AS_OF_SINCE, path,
+                                     job_time=fx.JOB_TIME, chunk_tables=2)
     return count_sources.read_count_rows(spark, path)
 
 

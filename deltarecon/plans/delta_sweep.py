@@ -16,10 +16,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 
 from ..operators.deltas import delta_counts
+from ..sinks.counts import write_count_rows
 from ..sources.tables import TableResolver
 
-# Upper bound of registry rows planned as one union (plan size, not data size).
-MAX_REGISTRY_ROWS = 5000
+# Upper bound of registry rows read to the driver (plan size, not data size).
+MAX_REGISTRY_ROWS = 100_000
+# Registry rows planned as one union; larger registries become several unions.
+CHUNK_TABLES = 200
 
 
 def registry_entries(registry: DataFrame, max_rows: int = MAX_REGISTRY_ROWS) -> list[dict]:
@@ -49,3 +52,53 @@ def delta_counts_for_registry(
     if not parts:
         raise ValueError("empty registry")
     return reduce(DataFrame.unionByName, parts)
+
+
+def delta_count_chunks(
+    registry: DataFrame,
+    resolve: TableResolver,
+    as_of: str | dt.date,
+    job_time: str | dt.datetime | None = None,
+    mode: str = "since",
+    chunk_tables: int = CHUNK_TABLES,
+) -> list[DataFrame]:
+    """Count rows as several unions of at most ``chunk_tables`` tables each.
+
+    Every chunk is built (and so analysed) here, before anything runs: a
+    registry row naming a missing table or column fails the whole run
+    before any output is written.
+    """
+    entries = registry_entries(registry)
+    if not entries:
+        raise ValueError("empty registry")
+    chunks = []
+    for i in range(0, len(entries), chunk_tables):
+        parts = [
+            delta_counts(
+                resolve(e["queue"], e["process"]), as_of, e["created"], e["updated"], e["deleted"],
+                mode=mode, entity=e["entity"], process=e["process"], job_time=job_time,
+            )
+            for e in entries[i : i + chunk_tables]
+        ]
+        chunks.append(reduce(DataFrame.unionByName, parts))
+    return chunks
+
+
+def run_delta_counts(
+    registry: DataFrame,
+    resolve: TableResolver,
+    as_of: str | dt.date,
+    output_path: str,
+    job_time: str | dt.datetime | None = None,
+    mode: str = "since",
+    chunk_tables: int = CHUNK_TABLES,
+) -> None:
+    """Replace ``output_path`` with one comma file of count rows.
+
+    One write per chunk (one for a registry of up to ``chunk_tables``
+    tables); all chunks are analysed before the first write.
+    """
+    chunks = delta_count_chunks(registry, resolve, as_of, job_time, mode, chunk_tables)
+    write_count_rows(chunks[0], output_path)
+    for c in chunks[1:]:
+        c.coalesce(1).write.mode("append").option("nullValue", "NA").csv(output_path)

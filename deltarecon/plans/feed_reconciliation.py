@@ -35,6 +35,7 @@ from ..functions.rules import (
 from ..operators.dedup import dedup_keys, latest_per_key
 from ..operators.filters import split_valid_reject
 from ..session import materialize
+from ..sinks.delimited import write_delimited
 from ..operators.reconcile import (
     flag_missing_parent,
     lookup_join,
@@ -211,3 +212,16 @@ def feed_reconciliation(
     diff = record_diff(accepted, master, diff_keys, side_col="diff_side", side_names=side_names,
                        strategy=diff_strategy)
     return Reconciliation(diff=diff, rejects=flow["reject"], accepted=accepted, master=master)
+
+
+def write_reconciliation(rec: Reconciliation, result_path: str, reject_path: str | None = None,
+                         mode: str = "errorifexists", label_sides: bool = False) -> None:
+    """Write the diff as delimited records (both sides' columns) and the rejects.
+
+    The diff is written first and the rejects last, so a failed run never
+    leaves a reject folder behind that would block the re-run.
+    """
+    diff = rec.diff if label_sides else rec.diff.drop("diff_side")
+    write_delimited(diff, result_path, mode=mode)
+    if reject_path is not None:
+        write_delimited(rec.rejects, reject_path, mode=mode)
