@@ -199,8 +199,8 @@ def feed_reconciliation(
 
     With the default ``split`` diff each side is read by two joins. With
     ``checkpoint_inputs`` the accepted feed (the expensive side: feed scan,
-    dedup shuffle, parent join) is written once to the shared checkpoint
-    folder here, so the dedup never runs twice and a lost executor does not
+    dedup shuffle, parent join) is written once as Parquet to the shared
+    checkpoint folder here, so the dedup never runs twice and a lost executor does not
     restart it. The master side is a 1:1 key join whose second use reads
     only the key columns, so recomputing it is cheaper than writing it.
     """
@@ -208,7 +208,7 @@ def feed_reconciliation(
     accepted = accepted_and_rejected(flow, spec)
     master = build_master(detail, hub, hub_filter)
     if checkpoint_inputs and diff_strategy == "split":
-        accepted = materialize(accepted)
+        accepted = materialize(accepted, "accepted_feed")
     diff = record_diff(accepted, master, diff_keys, side_col="diff_side", side_names=side_names,
                        strategy=diff_strategy)
     return Reconciliation(diff=diff, rejects=flow["reject"], accepted=accepted, master=master)

@@ -73,14 +73,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/deltarecon-scratch/{uuid.uuid4().hex}/{name}"
 
 
-def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and read it from there.
+def materialize(df, name: str = "materialized"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return a DataFrame reading that copy.
 
     Used where one intermediate feeds several branches of a plan: later
-    branches read the written copy instead of recomputing its lineage, and a
-    lost executor does not send the job back to the raw inputs. Never a
-    local checkpoint: the copy must survive the loss of the executor that
-    wrote it.
+    branches read the written copy instead of recomputing its lineage (and
+    can read only the columns they need), and a lost executor does not send
+    the job back to the raw inputs. Never a local checkpoint: the copy must
+    survive the loss of the executor that wrote it.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
