@@ -35,8 +35,8 @@ def lookup_join(
 def parent_keys(keys: DataFrame, key_col: str, distinct: bool = False) -> DataFrame:
     """Non-blank parent candidates, as a single ``_parent_key`` column.
 
-    ``distinct=True`` declares ``keys`` free of duplicates already, which
-    skips a second aggregation. It also leaves the join with a plain shuffle
+    ``distinct=True`` skips the aggregation: for keys already free of
+    duplicates, or for semi / anti joins, which do not fan out. It also leaves the join with a plain shuffle
     on this side, the shape AQE needs to split a skewed partition of the
     other side (one parent owning a large share of the rows).
     """
@@ -45,15 +45,20 @@ def parent_keys(keys: DataFrame, key_col: str, distinct: bool = False) -> DataFr
 
 
 def match_parent(rows: DataFrame, keys: DataFrame, parent_col: str, key_col: str) -> DataFrame:
-    """Rows with a non-blank parent that exists among ``keys`` (left semi join)."""
-    pk = parent_keys(keys, key_col)
+    """Rows with a non-blank parent that exists among ``keys`` (left semi join).
+
+    Semi and anti joins never fan out on duplicate keys, so the key side is
+    not deduplicated: both inputs stay plain shuffles and AQE can split a
+    hot parent's partition.
+    """
+    pk = parent_keys(keys, key_col, distinct=True)
     nb = rows.filter(F.col(parent_col) != "")
     return nb.join(pk, nb[parent_col] == pk["_parent_key"], "left_semi")
 
 
 def orphans(rows: DataFrame, keys: DataFrame, parent_col: str, key_col: str) -> DataFrame:
     """Rows with a non-blank parent missing from ``keys`` (left anti join)."""
-    pk = parent_keys(keys, key_col)
+    pk = parent_keys(keys, key_col, distinct=True)
     nb = rows.filter(F.col(parent_col) != "")
     return nb.join(pk, nb[parent_col] == pk["_parent_key"], "left_anti")
 

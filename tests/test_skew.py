@@ -80,3 +80,12 @@ def test_latest_stamp_join_splits_hot_key(spark):
         out.collect()
         assert "SortMergeJoin(skew=true)" in plan_text(out)
     assert n == f.count()
+
+
+def test_semi_and_anti_split_hot_parent(spark, hot_feed):
+    flow = fr.feed_flow(hot_feed, _lookup(spark))
+    with skew_conf(spark):
+        for op in (reconcile.match_parent, reconcile.orphans):
+            out = op(flow["std"], flow["keys"], "hq_no", "reg_no")
+            out.collect()
+            assert "SortMergeJoin(skew=true)" in plan_text(out)
