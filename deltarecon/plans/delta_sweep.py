@@ -26,10 +26,21 @@ CHUNK_TABLES = 200
 
 
 def registry_entries(registry: DataFrame, max_rows: int = MAX_REGISTRY_ROWS) -> list[dict]:
+    """Registry rows as dicts, checked: every name present, no blank field.
+
+    A blank field (e.g. a trailing comma) names no column; it fails the run
+    like a short line does, instead of silently counting something else.
+    """
     rows = registry.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         raise ValueError(f"registry has more than {max_rows} rows; split it into several runs")
-    return [r.asDict() for r in rows]
+    entries = [r.asDict() for r in rows]
+    for e in entries:
+        if any(e[k] in (None, "") for k in ("queue", "entity", "process")):
+            raise ValueError(f"registry row without queue, entity or process: {e}")
+        if any(e[k] == "" for k in ("created", "updated", "deleted")):
+            raise ValueError(f"registry row with a blank column name: {e}")
+    return entries
 
 
 def delta_counts_for_registry(
