@@ -76,22 +76,35 @@ def flag_missing_parent(
     """All rows, flagged ``rejected`` when their non-blank parent is unknown.
 
     One left join to the distinct keys replaces the split / semi / anti /
-    union of the reference. Rows with a blank parent never need a partner:
-    their join key is NULL, so they pass through without matching (a NULL
-    key never equals anything) and are accepted.
-
-    Skew: a parent shared by a large share of rows, and the NULL key of the
-    blank-parent rows, each land in one partition of the left side; with
-    ``keys_distinct=True`` both join inputs are plain shuffles and AQE's
-    skew-join handling splits such partitions (left outer joins split the
-    left side).
+    union of the reference.
+
+    Rows with a blank parent never need a partner. A NULL join key would send
+    all of them (every head office: easily a third of the rows) to the one
+    partition NULL hashes to, so they join on ``(0, hash of the row)``
+    instead: spread evenly, and never equal to a key row, which always
+    carries side ``1``. A NULL parent (the standardised parent never is) is
+    spread the same way and flagged rejected.
+
+    Skew: a parent shared by a large share of rows lands in one partition of
+    the left side; with ``keys_distinct=True`` both join inputs are plain
+    shuffles and AQE's skew-join handling splits it (left outer joins split
+    the left side).
     """
-    pk = parent_keys(keys, key_col, keys_distinct)
+    pk = parent_keys(keys, key_col, keys_distinct).withColumn("_pside", F.lit(1))
     parent = F.col(parent_col)
-    join_key = F.when(parent != "", parent)
-    left = rows.withColumn("_jk", join_key)
-    joined = left.join(pk, left["_jk"] == pk["_parent_key"], "left")
-    flag = F.when((parent == "") | pk["_parent_key"].isNotNull(), F.lit(accepted)).otherwise(F.lit(rejected))
+    no_partner = parent.isNull() | (parent == "")
+    left = rows.withColumns({
+        "_jside": F.when(no_partner, F.lit(0)).otherwise(F.lit(1)),
+        "_jk": F.when(no_partner, F.xxhash64(*[F.col(c) for c in rows.columns]).cast("string")).otherwise(parent),
+    })
+    cond = (left["_jside"] == pk["_pside"]) & (left["_jk"] == pk["_parent_key"])
+    joined = left.join(pk, cond, "left")
+    # blank parent: accepted; known parent: accepted; unknown or NULL parent: rejected
+    flag = (
+        F.when(parent == "", F.lit(accepted))
+        .when(pk["_parent_key"].isNotNull(), F.lit(accepted))
+        .otherwise(F.lit(rejected))
+    )
     return joined.select(flag.alias(flag_col), *[left[c] for c in rows.columns])
 
 

@@ -85,3 +85,10 @@ def test_reconciliation_sides_add_up(spark):
 def test_lookup_fixture_parse(spark):
     assert sorted(tuple(r) for r in _lookup(spark).collect()) == [("1P", "Partial"), ("2F", "Fulfilled")]
     assert fx.STATUS_LOOKUP_LINES == ("1PPartial", "2FFulfilled")
+
+
+def test_flag_null_parent_rejected_and_blank_spread(spark):
+    rows = spark.createDataFrame([("a", ""), ("b", None), ("c", "x"), ("d", "")], "id string, parent string")
+    keys = spark.createDataFrame([("x",)], "k string")
+    out = reconcile.flag_missing_parent(rows, keys, "parent", "k", "flag")
+    assert {r.id: r.flag for r in out.collect()} == {"a": "N", "b": "Y", "c": "N", "d": "N"}
