@@ -32,16 +32,17 @@ def lookup_join(
     return joined.select(*[df[c] for c in df.columns], *[lk[c] for c in keep])
 
 
-def parent_keys(keys: DataFrame, key_col: str, distinct: bool = False) -> DataFrame:
+def parent_keys(keys: DataFrame, key_col: str, deduplicate: bool = True) -> DataFrame:
     """Non-blank parent candidates, as a single ``_parent_key`` column.
 
-    ``distinct=True`` skips the aggregation: for keys already free of
-    duplicates, or for semi / anti joins, which do not fan out. It also leaves the join with a plain shuffle
-    on this side, the shape AQE needs to split a skewed partition of the
-    other side (one parent owning a large share of the rows).
+    ``deduplicate=False`` skips the aggregation: for keys already free of
+    duplicates, or for semi / anti joins, which do not fan out. It also
+    leaves the join with a plain shuffle on this side, the shape AQE needs to
+    split a skewed partition of the other side (one parent owning a large
+    share of the rows).
     """
     pk = keys.select(F.col(key_col).alias("_parent_key")).filter(F.col("_parent_key") != "")
-    return pk if distinct else pk.distinct()
+    return pk.distinct() if deduplicate else pk
 
 
 def match_parent(rows: DataFrame, keys: DataFrame, parent_col: str, key_col: str) -> DataFrame:
@@ -51,14 +52,14 @@ def match_parent(rows: DataFrame, keys: DataFrame, parent_col: str, key_col: str
     not deduplicated: both inputs stay plain shuffles and AQE can split a
     hot parent's partition.
     """
-    pk = parent_keys(keys, key_col, distinct=True)
+    pk = parent_keys(keys, key_col, deduplicate=False)
     nb = rows.filter(F.col(parent_col) != "")
     return nb.join(pk, nb[parent_col] == pk["_parent_key"], "left_semi")
 
 
 def orphans(rows: DataFrame, keys: DataFrame, parent_col: str, key_col: str) -> DataFrame:
     """Rows with a non-blank parent missing from ``keys`` (left anti join)."""
-    pk = parent_keys(keys, key_col, distinct=True)
+    pk = parent_keys(keys, key_col, deduplicate=False)
     nb = rows.filter(F.col(parent_col) != "")
     return nb.join(pk, nb[parent_col] == pk["_parent_key"], "left_anti")
 
@@ -80,24 +81,24 @@ def flag_missing_parent(
 
     Rows with a blank parent never need a partner. A NULL join key would send
     all of them (every head office: easily a third of the rows) to the one
-    partition NULL hashes to, so they join on ``(0, hash of the row)``
-    instead: spread evenly, and never equal to a key row, which always
-    carries side ``1``. A NULL parent (the standardised parent never is) is
-    spread the same way and flagged rejected.
+    partition NULL hashes to, so their join key is a hash of the row
+    instead (spread evenly), and a residual condition keeps them from ever
+    matching. A NULL parent (the standardised parent never is) is spread the
+    same way and flagged rejected.
 
     Skew: a parent shared by a large share of rows lands in one partition of
     the left side; with ``keys_distinct=True`` both join inputs are plain
     shuffles and AQE's skew-join handling splits it (left outer joins split
     the left side).
     """
-    pk = parent_keys(keys, key_col, keys_distinct).withColumn("_pside", F.lit(1))
+    pk = parent_keys(keys, key_col, deduplicate=not keys_distinct)
     parent = F.col(parent_col)
     no_partner = parent.isNull() | (parent == "")
     left = rows.withColumns({
-        "_jside": F.when(no_partner, F.lit(0)).otherwise(F.lit(1)),
+        "_has_parent": ~no_partner,
         "_jk": F.when(no_partner, F.xxhash64(*[F.col(c) for c in rows.columns]).cast("string")).otherwise(parent),
     })
-    cond = (left["_jside"] == pk["_pside"]) & (left["_jk"] == pk["_parent_key"])
+    cond = (left["_jk"] == pk["_parent_key"]) & left["_has_parent"]
     joined = left.join(pk, cond, "left")
     # blank parent: accepted; known parent: accepted; unknown or NULL parent: rejected
     flag = (
