@@ -34,8 +34,6 @@ from ..functions.rules import (
 )
 from ..operators.dedup import dedup_keys, latest_per_key
 from ..operators.filters import split_valid_reject
-from ..session import materialize
-from ..sinks.delimited import write_delimited
 from ..operators.reconcile import (
     flag_missing_parent,
     lookup_join,
@@ -43,6 +41,8 @@ from ..operators.reconcile import (
     orphans,
     record_diff,
 )
+from ..session import materialize
+from ..sinks.delimited import write_delimited
 
 Rule = Callable[[Column], Column]
 
@@ -200,8 +200,8 @@ def feed_reconciliation(
     With the default ``split`` diff each side is read by two joins. With
     ``checkpoint_inputs`` the accepted feed (the expensive side: feed scan,
     dedup shuffle, parent join) is written once as Parquet to the shared
-    checkpoint folder here, so the dedup never runs twice and a lost executor does not
-    restart it. The master side is a 1:1 key join whose second use reads
+    checkpoint folder here, so the dedup never runs twice and a lost
+    executor does not restart it. The master side is a 1:1 key join whose second use reads
     only the key columns, so recomputing it is cheaper than writing it.
     """
     flow = feed_flow(feed, lookup, spec)
