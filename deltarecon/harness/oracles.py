@@ -260,6 +260,7 @@ SELECT reg_no, version_id,
 FROM feed WHERE reg_name <> ''""", "feed")
 ORACLES["dedup_latest"] = flow_sql(
     "SELECT * REPLACE (CAST(ts_last_update AS VARCHAR) AS ts_last_update) FROM dedup")
+ORACLES["dedup_latest_agg"] = ORACLES["dedup_latest"]
 ORACLES["dedup_latest_refshape"] = with_fixtures("""
 SELECT reg_no, CAST(max(ts_last_update) AS VARCHAR) AS ts_last_update
 FROM feed WHERE reg_name <> '' AND ts_last_update IS NOT NULL GROUP BY reg_no""", "feed")
@@ -281,6 +282,7 @@ ORACLES["union_accepted_rejected"] = flow_sql("SELECT * FROM accepted")
 ORACLES["branch_flag"] = flow_sql("SELECT * FROM accepted")
 ORACLES["master_view"] = flow_sql("SELECT * FROM master")
 ORACLES["diff_full_outer"] = flow_sql(diff_select())
+ORACLES["diff_full_outer_single"] = ORACLES["diff_full_outer"]
 ORACLES["diff_full_outer_nullsafe"] = flow_sql(diff_select(null_safe=True, side=True, hq_null=True))
 ORACLES["diff_summary"] = flow_sql(
     f"SELECT diff_side, count(*) AS records FROM ({diff_select(side=True)}) d GROUP BY diff_side")

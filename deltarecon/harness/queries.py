@@ -301,6 +301,12 @@ def dedup_latest(spark, sf_dir):
     return _ts_text(dedup.latest_per_key(_valid(spark, sf_dir), "reg_no", "ts_last_update", "version_id"))
 
 
+@query
+def dedup_latest_agg(spark, sf_dir):
+    """Same rows through the max_by aggregation form."""
+    return _ts_text(dedup.latest_per_key_agg(_valid(spark, sf_dir), "reg_no", "ts_last_update", "version_id"))
+
+
 @query
 def dedup_latest_refshape(spark, sf_dir):
     return _ts_text(dedup.latest_keys_with_ts(_valid(spark, sf_dir), "reg_no", "ts_last_update"))
@@ -373,6 +379,13 @@ def diff_full_outer(spark, sf_dir):
     return reconcile.record_diff(acc, _master(spark, sf_dir), fx.DIFF_KEYS)
 
 
+@query
+def diff_full_outer_single(spark, sf_dir):
+    """Same rows through one full outer join (strategy="full_outer")."""
+    acc = fr.accepted_and_rejected(_flow(spark, sf_dir))
+    return reconcile.record_diff(acc, _master(spark, sf_dir), fx.DIFF_KEYS, strategy="full_outer")
+
+
 @query
 def diff_full_outer_nullsafe(spark, sf_dir):
     # Blank head-office ids become NULL on both sides, so only the null-safe
