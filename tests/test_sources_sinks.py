@@ -87,3 +87,13 @@ def test_stream_history_appends_each_file_once(spark):
     write_count_rows(_count_rows(spark).filter(F.col("entity") == "E1"), f"{landing}/run2")
     assert append_new_counts(spark, landing, hist, ckpt) == 1
     assert read_history(spark, hist).count() == 3
+
+
+def test_registry_short_line_fails_without_ansi(spark):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="fewer than six fields"):
+            parse_registry(lines(spark, "q,E,p,c,u,d", "q,E,p")).select("deleted").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
