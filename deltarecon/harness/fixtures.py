@@ -15,6 +15,7 @@ AS_OF_SINCE = "1998-06-15"
 AS_OF_ON_DAY = "2001-07-30"
 AS_OF_EVENTS = "2024-01-15"
 JOB_TIME = "2024-01-15 06:00:00"
+JOB_TIME_NEXT_DAY = "2024-01-16 06:00:00"
 STATUS_LOOKUP_LINES = ("1PPartial", "2FFulfilled")
 HUB_SOURCE = "SRC_A"
 HUB_ACTIVE = "A"

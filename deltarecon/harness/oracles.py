@@ -296,6 +296,10 @@ _DIFF_COLS = [f"l_{c}" for c in ACCEPTED_COLS] + [f"r_{c}" for c in MASTER_COLS]
 ORACLES["sink_diff_roundtrip"] = flow_sql(f"SELECT {delimited(_DIFF_COLS)} AS value FROM ({diff_select()}) d")
 ORACLES["sink_overwrite_counts"] = sweep_sql()
 ORACLES["sink_history_append"] = sweep_sql(copies=2)
+ORACLES["sink_history_by_day"] = sweep_sql(outer=f"""
+SELECT *, left(job_time, 10) AS job_date FROM {{rows}} t0
+UNION ALL
+SELECT * REPLACE ('{fx.JOB_TIME_NEXT_DAY}' AS job_time), left('{fx.JOB_TIME_NEXT_DAY}', 10) AS job_date FROM {{rows}} t1""")
 ORACLES["report_consolidate"] = sweep_sql()
 ORACLES["report_current"] = sweep_sql(outer="""
 SELECT entity, process, coalesce(CAST(inserts AS VARCHAR), 'NA') AS inserts,

@@ -456,6 +456,18 @@ def sink_history_append(spark, sf_dir):
     return count_sources.read_count_rows(spark, path)
 
 
+@query
+def sink_history_by_day(spark, sf_dir):
+    """Two runs of the same day, one of another day: each day kept once."""
+    rows = sweep(spark, sf_dir)
+    path = scratch_path(spark, "history_by_day")
+    other_day = rows.withColumn("job_time", F.lit(fx.JOB_TIME_NEXT_DAY))
+    count_sinks.replace_history_day(rows, path)
+    count_sinks.replace_history_day(other_day, path)
+    count_sinks.replace_history_day(rows, path)  # re-run of the first day replaces it
+    return count_sources.read_history_by_day(spark, path)
+
+
 def _count_runs(spark, sf_dir) -> str:
     """Two runs' count files under one base folder, as the daily jobs leave them."""
     rows = sweep(spark, sf_dir)

@@ -7,6 +7,7 @@ Count rows are one per registry table, so a single output file is cheap
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.deltas import COUNT_ROW_COLUMNS
 from ..sources.counts import NA_TEXT
@@ -33,6 +34,21 @@ def append_history(df: DataFrame, history_path: str) -> None:
     """Append to the history; re-running a day appends it again (no dedup).
 
     For exactly-once appends of newly landed count files use
-    ``deltarecon.streaming.history.append_new_counts``.
+    ``deltarecon.streaming.history.append_new_counts``; for a re-runnable
+    daily batch use ``replace_history_day``.
     """
     _csv(df, history_path, "append", single_file=True)
+
+
+def replace_history_day(df: DataFrame, history_path: str) -> None:
+    """Idempotent history: one partition per job day (first ten characters
+    of ``job_time``), written with dynamic partition overwrite, so running a
+    day again replaces that day's rows and leaves every other day alone."""
+    out = df.select(*COUNT_ROW_COLUMNS).withColumn("job_date", F.substring("job_time", 1, 10))
+    (
+        out.coalesce(1).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("nullValue", NA_TEXT)
+        .partitionBy("job_date")
+        .csv(history_path)
+    )

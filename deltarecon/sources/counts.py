@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..operators.deltas import COUNT_ROW_SCHEMA
 
@@ -18,3 +19,11 @@ def read_count_rows(spark: SparkSession, path: str) -> DataFrame:
 def read_count_tree(spark: SparkSession, base: str) -> DataFrame:
     """Every count file two levels below ``base`` (one folder per process run)."""
     return read_count_rows(spark, f"{base.rstrip('/')}/*/*")
+
+
+HISTORY_BY_DAY_SCHEMA = T.StructType(COUNT_ROW_SCHEMA.fields + [T.StructField("job_date", T.StringType())])
+
+
+def read_history_by_day(spark: SparkSession, path: str) -> DataFrame:
+    """History written by ``replace_history_day`` (``job_date`` partitions as text)."""
+    return spark.read.schema(HISTORY_BY_DAY_SCHEMA).option("nullValue", NA_TEXT).option("mode", "FAILFAST").csv(path)

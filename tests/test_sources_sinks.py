@@ -97,3 +97,19 @@ def test_registry_short_line_fails_without_ansi(spark):
             parse_registry(lines(spark, "q,E,p,c,u,d", "q,E,p")).select("deleted").collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_history_by_day_is_idempotent(spark):
+    from deltarecon.operators.deltas import COUNT_ROW_SCHEMA
+    from deltarecon.sinks import replace_history_day
+    from deltarecon.sources import read_history_by_day
+
+    path = scratch_path(spark, "hist_day")
+    day1 = _count_rows(spark).withColumn("job_time", F.lit("2024-01-01 06:00:00"))
+    day2 = _count_rows(spark).withColumn("job_time", F.lit("2024-01-02 06:00:00"))
+    replace_history_day(day1, path)
+    replace_history_day(day2, path)
+    replace_history_day(day1, path)
+    back = read_history_by_day(spark, path)
+    assert sorted(r.job_date for r in back.collect()) == ["2024-01-01"] * 2 + ["2024-01-02"] * 2
+    assert "job_date" not in COUNT_ROW_SCHEMA.fieldNames()
