@@ -25,6 +25,30 @@ RECOMMENDED_CONF = {
 }
 
 
+def scale_conf(largest_shuffle_bytes: int, partition_bytes: int = 256 << 20,
+               min_partitions: int = 200) -> dict[str, str]:
+    """SQL settings for a run whose largest shuffle moves ``largest_shuffle_bytes``.
+
+    Shuffle partitions are sized so each holds about ``partition_bytes``
+    (they fit in executor memory and spill gracefully); AQE then coalesces
+    the small shuffles (count merges, key sets) down to the same target.
+    For the feed job the largest shuffle is the dedup's, roughly the feed's
+    size after the valid-name filter.
+    """
+    parts = max(min_partitions, -(-largest_shuffle_bytes // partition_bytes))
+    return {
+        **RECOMMENDED_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+
+
 def local_session(cores: int | str = "*", app: str = "deltarecon", shuffle_partitions: int | None = None) -> SparkSession:
     """A local session for tests and benchmarks (UI off, AQE on)."""
     parts = shuffle_partitions or (8 if cores == "*" else int(cores))

@@ -45,3 +45,12 @@ def test_chunked_run_writes_every_table(spark):
     run_delta_counts(r, mapping_resolver(tables), fx.AS_OF_SINCE, path, job_time="t", chunk_tables=3)
     whole = delta_counts_for_registry(r, mapping_resolver(tables), fx.AS_OF_SINCE, "t")
     assert sorted(read_count_rows(spark, path).collect()) == sorted(whole.collect())
+
+
+def test_scale_conf_sizes_partitions():
+    from deltarecon.session import scale_conf
+
+    c = scale_conf(100 << 40)  # 100 TiB through the largest shuffle
+    assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert c["spark.sql.adaptive.enabled"] == "true"
+    assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
