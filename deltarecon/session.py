@@ -17,12 +17,13 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 # Settings the operators rely on at scale: AQE re-plans joins from runtime
 # sizes (broadcast when a side turns out small, splits skewed partitions of
 # joins, coalesces small shuffle partitions).
-RECOMMENDED_CONF = {
+AQE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
+# Local sessions (tests, bench) also pin the time zone for reproducible output.
+RECOMMENDED_CONF = {**AQE_CONF, "spark.sql.session.timeZone": "UTC"}
 
 
 def scale_conf(largest_shuffle_bytes: int, partition_bytes: int = 256 << 20,
@@ -37,7 +38,7 @@ def scale_conf(largest_shuffle_bytes: int, partition_bytes: int = 256 << 20,
     """
     parts = max(min_partitions, -(-largest_shuffle_bytes // partition_bytes))
     return {
-        **RECOMMENDED_CONF,
+        **AQE_CONF,
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
