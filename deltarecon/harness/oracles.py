@@ -224,6 +224,10 @@ ORACLES["delta_counts_on_day"] = with_fixtures(
 ORACLES["delta_counts_typed"] = with_fixtures(
     count_select("events_delta", "events", "events_delta", fx.AS_OF_EVENTS, "created", "updated", "deleted", typed=True),
     "events_delta")
+ORACLES["delta_counts_typed_on_day"] = with_fixtures(
+    count_select("events_delta", "events", "events_delta", fx.AS_OF_EVENTS, "created", "updated", "deleted",
+                 typed=True, mode="on"),
+    "events_delta")
 ORACLES["delta_no_delete_col"] = with_fixtures(
     count_select("lineitem_delta", "lines", "lineitem_delta", fx.AS_OF_SINCE, "created", "updated", None),
     "lineitem_delta")
@@ -231,6 +235,13 @@ ORACLES["delta_totals_only"] = with_fixtures(
     count_select("customer_totals", "customer", "customer_totals", fx.AS_OF_SINCE, None, None, None),
     "customer_totals")
 ORACLES["delta_registry_all"] = sweep_sql()
+ORACLES["delta_registry_on_day"] = with_fixtures("\nUNION ALL\n".join([
+    count_select("orders_delta", "orders", "orders_delta", fx.AS_OF_ON_DAY, "created", "updated", "deleted", mode="on"),
+    count_select("lineitem_delta", "lines", "lineitem_delta", fx.AS_OF_ON_DAY, "created", "updated", None, mode="on"),
+    count_select("events_delta", "events", "events_delta", fx.AS_OF_ON_DAY, "created", "updated", "deleted",
+                 typed=True, mode="on"),
+    count_select("customer_totals", "customer", "customer_totals", fx.AS_OF_ON_DAY, None, None, None, mode="on"),
+]), *SWEEP_FIXTURES)
 
 # --- scalar rules -------------------------------------------------------------------------
 

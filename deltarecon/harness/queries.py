@@ -191,6 +191,14 @@ def delta_counts_typed(spark, sf_dir):
     )
 
 
+@query
+def delta_counts_typed_on_day(spark, sf_dir):
+    return deltas.delta_counts(
+        fx.events_delta(spark, sf_dir), fx.AS_OF_EVENTS, "created", "updated", "deleted",
+        mode="on", entity="events", process="events_delta", job_time=fx.JOB_TIME,
+    )
+
+
 @query
 def delta_no_delete_col(spark, sf_dir):
     return deltas.delta_counts(
@@ -221,6 +229,14 @@ def delta_registry_all(spark, sf_dir):
     return sweep(spark, sf_dir)
 
 
+@query
+def delta_registry_on_day(spark, sf_dir):
+    """The exact-day variant over the whole registry."""
+    resolve = tables.mapping_resolver({k: (lambda f=f: f(spark, sf_dir)) for k, f in fx.DELTA_TABLES.items()})
+    return delta_sweep.delta_counts_for_registry(registry_frame(spark), resolve, fx.AS_OF_ON_DAY,
+                                                 job_time=fx.JOB_TIME, mode="on")
+
+
 # --- scalar rules -----------------------------------------------------------
 
 @query
