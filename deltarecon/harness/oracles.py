@@ -295,6 +295,7 @@ ORACLES["master_view"] = flow_sql("SELECT * FROM master")
 ORACLES["diff_full_outer"] = flow_sql(diff_select())
 ORACLES["diff_full_outer_single"] = ORACLES["diff_full_outer"]
 ORACLES["diff_full_outer_nullsafe"] = flow_sql(diff_select(null_safe=True, side=True, hq_null=True))
+ORACLES["diff_full_outer_null_keys"] = flow_sql(diff_select(side=True, hq_null=True))
 ORACLES["diff_summary"] = flow_sql(
     f"SELECT diff_side, count(*) AS records FROM ({diff_select(side=True)}) d GROUP BY diff_side")
 ORACLES["feed_reconciliation"] = flow_sql(diff_select(side=True))

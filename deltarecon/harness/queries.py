@@ -412,6 +412,15 @@ def diff_full_outer_nullsafe(spark, sf_dir):
                                  side_names=("both", "feed_only", "master_only"))
 
 
+@query
+def diff_full_outer_null_keys(spark, sf_dir):
+    """Same NULL-ed inputs with plain equality: NULL keys never pair, both sides surface."""
+    acc = fr.accepted_and_rejected(_flow(spark, sf_dir)).withColumn("hq_no", F.expr("nullif(hq_no, '')"))
+    m = _master(spark, sf_dir).withColumn("hq_no", F.expr("nullif(hq_no, '')"))
+    return reconcile.record_diff(acc, m, fx.DIFF_KEYS, side_col="diff_side",
+                                 side_names=("both", "feed_only", "master_only"))
+
+
 @query
 def diff_summary(spark, sf_dir):
     fl = _flow(spark, sf_dir)
