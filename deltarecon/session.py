@@ -108,7 +108,13 @@ def materialize(df, name: str = "materialized"):
     the job back to the raw inputs. Never a local checkpoint: the copy must
     survive the loss of the executor that wrote it.
     """
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import NullType
+
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    # Parquet cannot store an untyped NULL column (an uncast lit(None)).
+    cols = [F.col(f.name).cast("string") if isinstance(f.dataType, NullType) else F.col(f.name)
+            for f in df.schema.fields]
+    df.select(*cols).write.parquet(path)
     return spark.read.parquet(path)

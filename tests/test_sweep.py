@@ -54,3 +54,13 @@ def test_scale_conf_sizes_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert c["spark.sql.adaptive.enabled"] == "true"
     assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_materialize_keeps_rows_and_untyped_nulls(spark):
+    from pyspark.sql import functions as F
+
+    from deltarecon.session import materialize
+
+    df = spark.range(5).withColumn("n", F.lit(None))
+    back = materialize(df, "probe")
+    assert back.count() == 5 and dict(back.dtypes)["n"] == "string"
