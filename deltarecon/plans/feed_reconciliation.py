@@ -41,7 +41,7 @@ from ..operators.reconcile import (
     orphans,
     record_diff,
 )
-from ..session import materialize
+from ..session import materialize_to, scratch_path
 from ..sinks.delimited import write_delimited
 
 Rule = Callable[[Column], Column]
@@ -181,6 +181,9 @@ class Reconciliation:
     rejects: DataFrame
     accepted: DataFrame
     master: DataFrame
+    # Intermediate copies under the checkpoint folder; remove them after the
+    # final writes (or leave them to the folder's retention policy).
+    scratch: tuple[str, ...] = ()
 
 
 def feed_reconciliation(
@@ -207,11 +210,13 @@ def feed_reconciliation(
     flow = feed_flow(feed, lookup, spec)
     accepted = accepted_and_rejected(flow, spec)
     master = build_master(detail, hub, hub_filter)
+    scratch: tuple[str, ...] = ()
     if checkpoint_inputs and diff_strategy == "split":
-        accepted = materialize(accepted, "accepted_feed")
+        copy = scratch_path(accepted.sparkSession, "accepted_feed")
+        accepted, scratch = materialize_to(accepted, copy), (copy,)
     diff = record_diff(accepted, master, diff_keys, side_col="diff_side", side_names=side_names,
                        strategy=diff_strategy)
-    return Reconciliation(diff=diff, rejects=flow["reject"], accepted=accepted, master=master)
+    return Reconciliation(diff=diff, rejects=flow["reject"], accepted=accepted, master=master, scratch=scratch)
 
 
 def write_reconciliation(rec: Reconciliation, result_path: str, reject_path: str | None = None,

@@ -99,8 +99,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df, name: str = "materialized"):
-    """Write ``df`` once as Parquet under the shared checkpoint folder and
-    return a DataFrame reading that copy.
+    """``materialize_to`` a fresh path under the shared checkpoint folder."""
+    return materialize_to(df, scratch_path(df.sparkSession, name))
+
+
+def materialize_to(df, path: str):
+    """Write ``df`` once as Parquet at ``path`` (a shared folder, normally
+    under the checkpoint folder) and return a DataFrame reading that copy.
 
     Used where one intermediate feeds several branches of a plan: later
     branches read the written copy instead of recomputing its lineage (and
@@ -112,7 +117,6 @@ def materialize(df, name: str = "materialized"):
     from pyspark.sql.types import NullType
 
     spark = df.sparkSession
-    path = scratch_path(spark, name)
     # Parquet cannot store an untyped NULL column (an uncast lit(None)).
     cols = [F.col(f.name).cast("string") if isinstance(f.dataType, NullType) else F.col(f.name)
             for f in df.schema.fields]
