@@ -3,6 +3,7 @@
 ``counts``     registry file -> one count file (one row per registered table)
 ``reconcile``  feed + status lookup + master tables -> delimited diff and rejects
 ``report``     per-run count folders -> current snapshot, history, report rows
+``preview``    first lines of a text file
 
 Tables are catalog names (``db.table``) or Parquet paths (anything with a
 ``/``). The session comes from the launcher, so cluster settings and
@@ -23,6 +24,7 @@ from .plans.report import consolidate_and_publish
 from .sources.fixed_width import read_fixed_width
 from .sources.registry import read_registry
 from .sources.tables import catalog_resolver, parquet_resolver
+from .sources.text import preview, read_lines
 
 
 def _table(spark: SparkSession, name: str) -> DataFrame:
@@ -58,6 +60,13 @@ def cmd_report(spark: SparkSession, a: argparse.Namespace) -> None:
     rows.select("html_row").write.mode("overwrite").text(a.report)
 
 
+def cmd_preview(spark: SparkSession, a: argparse.Namespace) -> None:
+    lines = read_lines(spark, a.path)
+    rows = preview(lines, a.n).collect() if a.ordered else lines.take(a.n)  # at most n rows
+    for r in rows:
+        print(r.value)
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="deltarecon")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -90,6 +99,12 @@ def parser() -> argparse.ArgumentParser:
     rp.add_argument("history")
     rp.add_argument("report", help="output folder for the HTML table rows")
     rp.set_defaults(run=cmd_report)
+
+    pv = sub.add_parser("preview", help="print the first lines of a text file")
+    pv.add_argument("path")
+    pv.add_argument("-n", type=int, default=10)
+    pv.add_argument("--ordered", action="store_true", help="first n in value order instead of file order")
+    pv.set_defaults(run=cmd_preview)
     return p
 
 

@@ -46,3 +46,9 @@ def test_reconcile_and_report_jobs(spark):
     cli.main(["report", runs, scratch_path(spark, "current"), scratch_path(spark, "history"), report], spark=spark)
     rows = [r.value for r in spark.read.text(report).collect()]
     assert len(rows) == len(fx.REGISTRY_LINES) and all(r.startswith("<tr>") for r in rows)
+
+
+def test_preview_job(spark, capsys):
+    path = _text(spark, [f"line{i:02d}" for i in range(30)], "lines")
+    cli.main(["preview", path, "-n", "3"], spark=spark)
+    assert capsys.readouterr().out.split() == ["line00", "line01", "line02"]
