@@ -6,6 +6,8 @@ brought to the driver. Each table contributes one single-scan aggregation;
 ``unionByName`` joins the one-row results into one lazy plan, so a single
 write runs every scan and the scheduler overlaps them. A table that lacks a
 named column fails the analysis of the union, before anything is written.
+Registries larger than ``CHUNK_TABLES`` tables are planned as several
+unions (``delta_count_chunks``), all analysed before the first write.
 """
 
 from __future__ import annotations
