@@ -5,8 +5,8 @@ Runs each query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 then three interleaved timed rounds; each time is the median of its rounds. A run builds the DataFrame and executes it in full into Spark's
 ``noop`` sink (nothing is collected to the driver). Prints one JSON line.
 
-``value`` is the sum of the headline medians. ``comparisons`` times the
-reference-shaped plans (one count job per metric, the three-branch union,
+``value`` is the sum of the headline medians; ``spark_jobs`` counts the Spark
+jobs of one run of each query. ``comparisons`` times the reference-shaped plans (one count job per metric, the three-branch union,
 the window dedup) next to the ones this library uses.
 """
 
@@ -80,10 +80,14 @@ def main() -> None:
         for runner, arg in runners.values():
             runner(arg)
     samples = {k: [] for k in runners}
-    for _ in range(repeats):
+    sc = spark.sparkContext
+    for rnd in range(repeats):
         for k, (runner, arg) in runners.items():
+            sc.setJobGroup(f"bench-{rnd}-{k}", k)
             samples[k].append(runner(arg))
     med = {k: round(statistics.median(v), 3) for k, v in samples.items()}
+    # Spark jobs per run (AQE submits each query stage as a job), last round.
+    jobs = {k: len(sc.statusTracker().getJobIdsForGroup(f"bench-{repeats - 1}-{k}")) for k in runners}
 
     times = {k: med[k] for k in HEADLINE}
     comparisons = {
@@ -104,6 +108,7 @@ def main() -> None:
         "sf": sf,
         "cpus": cpus,
         "comparisons": comparisons,
+        "spark_jobs": jobs,
     }))
     spark.stop()
 
