@@ -2,12 +2,15 @@
 
 Runs each query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` (default 8): two warm-up passes over every query,
-then three interleaved timed rounds; each time is the median of its rounds. A run builds the DataFrame and executes it in full into Spark's
-``noop`` sink (nothing is collected to the driver). Prints one JSON line.
-
-``value`` is the sum of the headline medians; ``spark_jobs`` counts the Spark
-jobs of one run of each query. ``comparisons`` times the reference-shaped plans (one count job per metric, the three-branch union,
-the window dedup) next to the ones this library uses.
+then three interleaved timed rounds; each time is the median of its rounds.
+A run builds the DataFrame and executes it in full into Spark's ``noop``
+sink (nothing is collected to the driver). Prints one JSON line.
+
+``value`` is the sum of the headline medians; ``spark_jobs`` counts the
+Spark jobs of one run of each query. ``comparisons`` times the
+reference-shaped plans (one count job per metric, the three-branch union,
+the ``max_by`` dedup, the single full outer join) next to the ones this
+library uses.
 """
 
 from __future__ import annotations
