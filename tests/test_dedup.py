@@ -49,3 +49,18 @@ def test_with_latest_ts_equals_window_first(spark):
 def test_partial_group_limit_before_shuffle(spark):
     plan = plan_text(dedup.latest_per_key(_valid(spark, SF_SMALL), "reg_no", "ts_last_update", "version_id"))
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_bucketed_feed_dedups_without_shuffle(spark):
+    import re
+
+    from deltarecon.harness import fixtures as fx
+    from deltarecon.sinks import write_bucketed
+
+    write_bucketed(fx.feed(spark, SF_SMALL), "feed_bucketed_test", "reg_no", 4)
+    valid = spark.table("feed_bucketed_test").filter(F.col("reg_name") != "")
+    d = dedup.latest_per_key(valid, "reg_no", "ts_last_update", "version_id")
+    assert not re.search(r"\(\d+\) Exchange", plan_text(d))
+    ref = dedup.latest_per_key(_valid(spark, SF_SMALL), "reg_no", "ts_last_update", "version_id")
+    assert d.exceptAll(ref).count() == 0 and ref.exceptAll(d).count() == 0
+    spark.sql("DROP TABLE IF EXISTS feed_bucketed_test")
