@@ -32,8 +32,19 @@ REGISTRY_LINES = (
 DIFF_KEYS = ("reg_no", "hq_no", "status_code", "reg_name", "country")
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. Its schema is read once per process and passed on
+    later reads, which skips Spark's footer-reading schema job (the test
+    tables are read-only)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _lpad(c, n: int):

@@ -120,5 +120,6 @@ def materialize_to(df, path: str):
     # Parquet cannot store an untyped NULL column (an uncast lit(None)).
     cols = [F.col(f.name).cast("string") if isinstance(f.dataType, NullType) else F.col(f.name)
             for f in df.schema.fields]
-    df.select(*cols).write.parquet(path)
-    return spark.read.parquet(path)
+    out = df.select(*cols)
+    out.write.parquet(path)
+    return spark.read.schema(out.schema).parquet(path)  # known schema: no inference job
