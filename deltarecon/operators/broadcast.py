@@ -5,23 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row bound under which a lookup side is shipped to every task.
+# Bounds under which a lookup side is shipped to every task.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows.
+def has_at_most(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (and, if given, at most
+    ``max_bytes`` of field text).
 
-    Reads at most ``max_rows + 1`` rows (a limit job), so the check stays
-    cheap even when the answer is no.
+    One job over at most ``max_rows + 1`` rows, so the check stays cheap even
+    when the answer is no. Bytes are the UTF-8 length of every field rendered
+    as text, a close measure of what a broadcast ships.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    probe = df.limit(max_rows + 1)
+    if max_bytes is None:
+        return probe.count() <= max_rows
+    size = F.coalesce(F.sum(F.octet_length(F.concat_ws("\u0001", *[F.col(c).cast("string") for c in df.columns]))),
+                      F.lit(0))
+    n, nbytes = probe.agg(F.count(F.lit(1)), size).first()
+    return n <= max_rows and nbytes <= max_bytes
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven small, else ``df``.
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its size is proven small, else ``df``.
 
-    Beyond the bound the join stays a shuffle join, which AQE may still turn
+    Beyond the bounds the join stays a shuffle join, which AQE may still turn
     into a broadcast from runtime sizes or split where skewed.
     """
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+    return F.broadcast(df) if has_at_most(df, max_rows, max_bytes) else df

@@ -92,3 +92,11 @@ def test_flag_null_parent_rejected_and_blank_spread(spark):
     keys = spark.createDataFrame([("x",)], "k string")
     out = reconcile.flag_missing_parent(rows, keys, "parent", "k", "flag")
     assert {r.id: r.flag for r in out.collect()} == {"a": "N", "b": "Y", "c": "N", "d": "N"}
+
+
+def test_broadcast_bound_checks_rows_and_bytes(spark):
+    from deltarecon.operators.broadcast import has_at_most
+
+    df = spark.createDataFrame([("k", "x" * 1000)] * 10, "a string, b string")
+    assert has_at_most(df, 10) and not has_at_most(df, 9)
+    assert has_at_most(df, 10, max_bytes=20_000) and not has_at_most(df, 10, max_bytes=5_000)
