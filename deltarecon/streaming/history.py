@@ -15,20 +15,23 @@ from ..operators.deltas import COUNT_ROW_SCHEMA
 from ..sources.counts import NA_TEXT, read_count_rows
 
 
-def count_file_stream(spark: SparkSession, landing: str) -> DataFrame:
-    """Streaming count rows from ``landing/<run>/<files>``."""
-    return (
-        spark.readStream.schema(COUNT_ROW_SCHEMA)
-        .option("nullValue", NA_TEXT)
-        .option("recursiveFileLookup", "true")
-        .csv(landing)
-    )
+def count_file_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming count rows from ``landing/<run>/<files>``.
+
+    ``max_files_per_trigger`` bounds each micro-batch; an ``availableNow``
+    run then drains a large backlog in several bounded batches.
+    """
+    reader = spark.readStream.schema(COUNT_ROW_SCHEMA).option("nullValue", NA_TEXT).option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.csv(landing)
 
 
-def append_new_counts(spark: SparkSession, landing: str, history_path: str, checkpoint_path: str) -> int:
+def append_new_counts(spark: SparkSession, landing: str, history_path: str, checkpoint_path: str,
+                      max_files_per_trigger: int | None = None) -> int:
     """Append count files that arrived since the last run; returns rows appended."""
     q = (
-        count_file_stream(spark, landing)
+        count_file_stream(spark, landing, max_files_per_trigger)
         .writeStream.format("csv")
         .option("nullValue", NA_TEXT)
         .option("checkpointLocation", checkpoint_path)

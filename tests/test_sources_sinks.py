@@ -113,3 +113,13 @@ def test_history_by_day_is_idempotent(spark):
     back = read_history_by_day(spark, path)
     assert sorted(r.job_date for r in back.collect()) == ["2024-01-01"] * 2 + ["2024-01-02"] * 2
     assert "job_date" not in COUNT_ROW_SCHEMA.fieldNames()
+
+
+def test_stream_history_bounded_batches(spark):
+    landing = scratch_path(spark, "landing")
+    hist, ckpt = scratch_path(spark, "shist"), scratch_path(spark, "sckpt")
+    for i in range(3):
+        write_count_rows(_count_rows(spark), f"{landing}/run{i}")
+    assert append_new_counts(spark, landing, hist, ckpt, max_files_per_trigger=1) == 6
+    assert append_new_counts(spark, landing, hist, ckpt, max_files_per_trigger=1) == 0
+    assert read_history(spark, hist).count() == 6
