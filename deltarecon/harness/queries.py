@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import formatting, rules
 from ..operators import dedup, deltas, filters, reconcile
 from ..plans import delta_sweep, feed_reconciliation as fr, report
-from ..session import scratch_path
+from ..session import _app_id, scratch_path
 from ..sinks import counts as count_sinks
 from ..sinks import delimited
 from ..sources import counts as count_sources
@@ -44,7 +44,7 @@ _FIXED_FILES: dict[tuple[str, str], str] = {}
 
 def _fixed_file(spark: SparkSession, name: str, lines: tuple[str, ...]) -> str:
     """Write a small fixed text input once per application and reuse it."""
-    key = (spark.sparkContext.applicationId, name)
+    key = (_app_id(spark), name)
     if key not in _FIXED_FILES:
         df = spark.createDataFrame([(x,) for x in lines], "value string")
         _FIXED_FILES[key] = _write_lines(spark, df, name)

@@ -69,6 +69,10 @@ def local_session(cores: int | str = "*", app: str = "deltarecon", shuffle_parti
     return spark
 
 
+def _app_id(spark: SparkSession) -> str:
+    return spark.conf.get("spark.app.id", None) or spark.conf.get("spark.app.name", "app")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -76,15 +80,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     store path); it is read from the session. Only a local-mode session with
     nothing configured (tests) gets a fresh temporary folder.
     """
-    sc = spark.sparkContext
-    d = spark.conf.get(CHECKPOINT_CONF, None) or _LOCAL_DIRS.get(sc.applicationId)
+    app = _app_id(spark)
+    d = spark.conf.get(CHECKPOINT_CONF, None) or _LOCAL_DIRS.get(app)
     if not d:
-        if not sc.master.startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError(f"{CHECKPOINT_CONF} is not set; point it at a shared folder")
         d = tempfile.mkdtemp(prefix="deltarecon-ckpt-")
-        _LOCAL_DIRS[sc.applicationId] = d
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
+        _LOCAL_DIRS[app] = d
+    try:  # classic sessions: also register it for RDD checkpoints
+        sc = spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
+    except Exception:  # Spark Connect has no SparkContext; the folder is only used for writes
+        pass
     return d
 
 
