@@ -100,3 +100,18 @@ def test_broadcast_bound_checks_rows_and_bytes(spark):
     df = spark.createDataFrame([("k", "x" * 1000)] * 10, "a string, b string")
     assert has_at_most(df, 10) and not has_at_most(df, 9)
     assert has_at_most(df, 10, max_bytes=20_000) and not has_at_most(df, 10, max_bytes=5_000)
+
+
+def test_lookup_join_beyond_bound_is_a_shuffle_join_with_same_rows(spark):
+    from deltarecon.harness.queries import _valid
+
+    d = _valid(spark, SF_SMALL)
+    small = reconcile.lookup_join(d, _lookup(spark), "status_code", "status_key")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = reconcile.lookup_join(d, _lookup(spark), "status_code", "status_key", max_broadcast_rows=1)
+        assert "BroadcastHashJoin" not in plan_text(big)
+        assert big.exceptAll(small).count() == 0 and small.exceptAll(big).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
