@@ -57,6 +57,11 @@ COUNT_ROW_SCHEMA = T.StructType(
 _TYPED_DAY = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
+def _c(name: str) -> Column:
+    """Column by its exact name (registry names may contain dots or spaces)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _as_date(value: str | dt.date) -> dt.date:
     if isinstance(value, dt.datetime):
         return value.date()
@@ -71,8 +76,8 @@ def _day_exprs(df: DataFrame, cols: list[str], as_of: str | dt.date) -> tuple[di
     typed = bool(cols) and all(isinstance(types[c], _TYPED_DAY) for c in cols)
     d = _as_date(as_of)
     if typed:
-        return {c: F.to_date(F.col(c)) for c in cols}, F.lit(d)
-    return {c: day_prefix(c) for c in cols}, F.lit(d.isoformat())
+        return {c: F.to_date(_c(c)) for c in cols}, F.lit(d)
+    return {c: day_prefix(_c(c)) for c in cols}, F.lit(d.isoformat())
 
 
 def delta_metric_columns(
@@ -93,8 +98,8 @@ def delta_metric_columns(
     def reached(c: Column) -> Column:
         return c >= d if mode == "since" else c == d
 
-    live = F.col(deleted) == F.lit(LIVE_FLAG) if deleted else None
-    gone = F.col(deleted) == F.lit(DELETED_FLAG) if deleted else None
+    live = _c(deleted) == F.lit(LIVE_FLAG) if deleted else None
+    gone = _c(deleted) == F.lit(DELETED_FLAG) if deleted else None
 
     if created and updated:
         crt, upd = day[created], day[updated]

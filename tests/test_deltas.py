@@ -82,3 +82,9 @@ def test_typed_stamps_match_text_stamps(spark):
 def test_missing_column_fails_at_analysis(edge):
     with pytest.raises(Exception):
         delta_counts(edge, "2024-01-03", "nope", "updated", "deleted").columns
+
+
+def test_column_names_with_dots(spark):
+    df = spark.createDataFrame(EDGE, "`c.at` string, `u at` string, `d.x` string")
+    got = counts(delta_counts(df, "2024-01-03", "c.at", "u at", "d.x", job_time="t"))
+    assert got == {"inserts": 2, "updates": 2, "deletes": 1, "total": 7, "active": 4, "inactive": 2}
