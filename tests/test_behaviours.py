@@ -70,3 +70,30 @@ def test_zero_head_office_is_blank_and_accepted(spark):
     rows = [("500", "000000000", "", "1P", "H", "01", "5", "1", "2024-01-01", 1)]
     out = fr.accepted_and_rejected(fr.feed_flow(feed(spark, rows), lookup(spark))).first()
     assert (out.hq_no, out.rejected_branch_record) == ("", "N")
+
+
+def test_custom_feed_spec_with_renamed_columns(spark):
+    from pyspark.sql import functions as F
+
+    from deltarecon.functions import strip_letters, suffix_key, suffix_nonzero, trim_keep_ws, zero_to_blank
+    from deltarecon.harness import fixtures as fx
+    from deltarecon.harness.queries import _lookup
+
+    from .conftest import SF_SMALL
+
+    names = {"reg_no": "record_id", "hq_no": "head_office_id", "parent_no": "parent_id", "status_code": "status",
+             "reg_name": "name", "country": "country", "trading_status": "trading", "cro_number": "registration_no",
+             "ts_last_update": "last_update", "version_id": "load_seq"}
+    feed = fx.feed(spark, SF_SMALL)
+    renamed = feed.select(*[F.col(k).alias(v) for k, v in names.items()])
+    spec = fr.FeedSpec(
+        key="record_id", ts="last_update", tiebreak=("load_seq",), name="name", status="status",
+        parent="head_office_id", trading_status="trading",
+        columns=tuple(names[c] for c in fr.FEED_COLUMNS),
+        rules={"record_id": suffix_key, "head_office_id": suffix_nonzero, "parent_id": suffix_key,
+               "status": strip_letters, "name": trim_keep_ws, "registration_no": zero_to_blank},
+    )
+    custom = fr.accepted_and_rejected(fr.feed_flow(renamed, _lookup(spark), spec), spec)
+    default = fr.accepted_and_rejected(fr.feed_flow(feed, _lookup(spark)))
+    back = custom.select(*[F.col(names.get(c, c)).alias(c) for c in default.columns])
+    assert back.exceptAll(default).count() == 0 and default.exceptAll(back).count() == 0
