@@ -14,11 +14,13 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import json
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .plans.delta_sweep import run_delta_counts
+from .functions import rules as rule_functions
 from .plans.feed_reconciliation import FeedSpec, feed_reconciliation, write_reconciliation
 from .plans.report import consolidate_and_publish
 from .sources.fixed_width import read_fixed_width
@@ -46,11 +48,33 @@ def cmd_counts(spark: SparkSession, a: argparse.Namespace) -> None:
                      mode=a.mode)
 
 
+RULE_NAMES = ("suffix_key", "suffix_nonzero", "zero_to_blank", "strip_letters", "trim_keep_ws", "trim_text")
+
+
+def spec_from_json(text: str) -> FeedSpec:
+    """FeedSpec from JSON: the FeedSpec fields, with ``rules`` as
+    ``{column: rule name}`` (names from ``deltarecon.functions.rules``)."""
+    raw = json.loads(text)
+    rules = {}
+    for col, name in raw.pop("rules", {}).items():
+        if name not in RULE_NAMES:
+            raise ValueError(f"unknown rule {name!r} for {col!r}; choose from {RULE_NAMES}")
+        rules[col] = getattr(rule_functions, name)
+    for k in ("tiebreak", "columns"):
+        if k in raw:
+            raw[k] = tuple(raw[k])
+    return FeedSpec(**raw, **({"rules": rules} if rules else {}))
+
+
 def cmd_reconcile(spark: SparkSession, a: argparse.Namespace) -> None:
+    if a.spec_json:
+        spec = spec_from_json(open(a.spec_json).read() if not a.spec_json.lstrip().startswith("{") else a.spec_json)
+    else:
+        spec = FeedSpec(tiebreak=tuple(a.tiebreak.split(",")) if a.tiebreak else ())
     rec = feed_reconciliation(
         _table(spark, a.feed), read_fixed_width(spark, a.lookup),
         _table(spark, a.detail), _table(spark, a.hub), _pairs(a.hub_filter),
-        a.diff_keys.split(","), FeedSpec(tiebreak=tuple(a.tiebreak.split(",")) if a.tiebreak else ()),
+        a.diff_keys.split(","), spec,
     )
     write_reconciliation(rec, a.result, a.rejects, mode=a.mode)
 
@@ -88,6 +112,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--hub-filter", action="append", metavar="COL=VALUE")
     r.add_argument("--diff-keys", required=True, help="comma-separated compare columns")
     r.add_argument("--tiebreak", default="version_id", help="comma-separated tie-break columns ('' for none)")
+    r.add_argument("--spec-json", help="FeedSpec as JSON text or a JSON file path (column roles, columns, rules)")
     r.add_argument("--result", required=True)
     r.add_argument("--rejects")
     r.add_argument("--mode", default="errorifexists")

@@ -52,3 +52,15 @@ def test_preview_job(spark, capsys):
     path = _text(spark, [f"line{i:02d}" for i in range(30)], "lines")
     cli.main(["preview", path, "-n", "3"], spark=spark)
     assert capsys.readouterr().out.split() == ["line00", "line01", "line02"]
+
+
+def test_spec_from_json():
+    import pytest
+
+    from deltarecon.functions import rules
+
+    spec = cli.spec_from_json('{"key": "rid", "ts": "t", "tiebreak": ["seq"], "columns": ["rid", "t"], '
+                              '"rules": {"rid": "suffix_key"}}')
+    assert spec.key == "rid" and spec.tiebreak == ("seq",) and spec.rules == {"rid": rules.suffix_key}
+    with pytest.raises(ValueError):
+        cli.spec_from_json('{"rules": {"x": "eval"}}')
