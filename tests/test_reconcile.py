@@ -115,3 +115,18 @@ def test_lookup_join_beyond_bound_is_a_shuffle_join_with_same_rows(spark):
         assert big.exceptAll(small).count() == 0 and small.exceptAll(big).count() == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_failed_diff_write_leaves_no_reject_folder(spark):
+    import pytest
+
+    from deltarecon.harness.queries import reconciliation
+    from deltarecon.session import scratch_path
+
+    rec = reconciliation(spark, SF_SMALL)
+    result, rejects = scratch_path(spark, "result"), scratch_path(spark, "rejects")
+    spark.createDataFrame([("x",)], "value string").write.text(result)  # result path already taken
+    with pytest.raises(Exception):
+        fr.write_reconciliation(rec, result, rejects)
+    with pytest.raises(Exception):
+        spark.read.text(rejects).count()  # rejects were never written
