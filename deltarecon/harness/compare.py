@@ -39,15 +39,24 @@ def _rows(cols, rows):
     return [tuple(_norm(r[i]) for i in order) for r in rows]
 
 
+# Spark simple type -> DuckDB type of the same values.
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+              "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 def compare(spark: SparkSession, con, name: str, q, sql: str, sf_dir: str) -> dict:
     sdf = q(spark, sf_dir)
     scols = sdf.columns
+    duck_types = dict(con.execute(f"SELECT column_name, column_type FROM (DESCRIBE {sql})").fetchall())
+    type_diffs = [(c, t, duck_types.get(c)) for c, t in sdf.dtypes if DUCK_TYPES.get(t, t) != duck_types.get(c)]
     srows = [tuple(r) for r in sdf.collect()]
     cur = con.execute(sql)
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     res = {"name": name, "spark_rows": len(srows), "oracle_rows": len(drows),
-           "cols_match": sorted(scols) == sorted(dcols)}
+           "cols_match": sorted(scols) == sorted(dcols), "types_match": not type_diffs}
+    if type_diffs:
+        res["type_diffs"] = type_diffs
     res["values_match"] = res["cols_match"] and Counter(_rows(scols, srows)) == Counter(_rows(dcols, drows))
     if not res["cols_match"]:
         res["spark_cols"], res["oracle_cols"] = scols, dcols
