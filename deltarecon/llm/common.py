@@ -46,7 +46,7 @@ def run_lengths(spans: Column) -> Column:
         new = F.greatest(F.lit(0), x["e"] - F.greatest(acc["upto"], x["s"]))
         return F.struct(F.greatest(acc["upto"], x["e"]).alias("upto"), (acc["n"] + new).alias("n"))
 
-    return F.aggregate(F.array_sort(spans), zero, step, lambda acc: acc["n"])
+    return F.aggregate(F.sort_array(spans), zero, step, lambda acc: acc["n"])
 
 
 def free_name(df: DataFrame, name: str) -> str:

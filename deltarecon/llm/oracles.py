@@ -6,19 +6,19 @@ _DOC_WORDS = r"""string_split_regex(
 
 _OP9 = rf"""
 WITH d AS (
-  SELECT row_number() OVER () AS r, doc_id, list_filter({_DOC_WORDS}, w -> w <> '') AS ws FROM documents
+  SELECT row_number() OVER () AS r, doc_id, list_filter({_DOC_WORDS}, lambda w: w <> '') AS ws FROM documents
 ), i AS (
-  SELECT item_id, list_filter({_DOC_WORDS}, w -> w <> '') AS ws FROM benchmark
+  SELECT item_id, list_filter({_DOC_WORDS}, lambda w: w <> '') AS ws FROM benchmark
 ), iw AS (
   SELECT DISTINCT item_id, least(len(ws), 10) AS k,
     unnest(list_transform(range(1, len(ws) - least(len(ws), 10) + 2),
-                          s -> array_to_string(ws[s:s + least(len(ws), 10) - 1], ' '))) AS win
+                          lambda s: array_to_string(ws[s:s + least(len(ws), 10) - 1], ' '))) AS win
   FROM i WHERE len(ws) > 0
 ), ks AS (
   SELECT DISTINCT k FROM iw
 ), dw AS (
   SELECT r, k, unnest(range(1, len(ws) - k + 2)) AS s,
-    unnest(list_transform(range(1, len(ws) - k + 2), s -> array_to_string(ws[s:s + k - 1], ' '))) AS win
+    unnest(list_transform(range(1, len(ws) - k + 2), lambda s: array_to_string(ws[s:s + k - 1], ' '))) AS win
   FROM d, ks WHERE len(ws) >= k
 ), hit AS (
   SELECT dw.r, dw.s, dw.k, iw.item_id FROM dw JOIN iw USING (k, win)
