@@ -1,5 +1,49 @@
 """DuckDB SQL for those queries of this folder that SQL can express."""
 
+from deltarecon.llm import quality as _q
+
+_SPACE = r"[\x20\x09-\x0D]+"
+
+
+def _text(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+_OP5 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT r, doc_id, text, list_filter(string_split_regex(text, '{_SPACE}'), lambda w: w <> '') AS ws,
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM d
+), g AS (
+  SELECT *, list_filter(lines, lambda l: regexp_matches(l, {_text(_q.SENTENCE_END)})
+      AND length(l) - length(regexp_replace(l, {_text(_q.NOISE)}, '', 'g')) <= length(l) * {_q.MAX_NOISE}
+      AND NOT regexp_matches(l, {_text(_q.NAVIGATION)}) AND NOT regexp_matches(l, {_text(_q.BOILERPLATE)})) AS good
+  FROM w
+), win AS (
+  SELECT r, unnest(range(1, len(ws) - 1)) AS s,
+    unnest(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))) AS x
+  FROM w WHERE len(ws) >= 3
+), again AS (
+  SELECT r, s FROM (SELECT r, s, count(*) OVER (PARTITION BY r, x) AS n FROM win) WHERE n > 1
+), repeated AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([s, s + 1, s + 2]) AS p FROM again) GROUP BY r
+), m AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(text, '{_SPACE}', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '{_q.SYMBOLS}', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+    length(array_to_string(lines, '')) AS before, length(array_to_string(good, '')) AS after
+  FROM g LEFT JOIN repeated USING (r)
+), v AS (
+  SELECT *, n_words < {_q.MIN_WORDS} OR 100 * n_repeat_words > {_q.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND CASE WHEN before > 0 THEN 1 - after / before ELSE 0 END <= {_q.MAX_LOST} AS kept
+FROM v
+"""
+
 _DOC_WORDS = r"""string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
@@ -34,5 +78,6 @@ FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
 
 ORACLES = {
+    "op5_line_quality_rules": _OP5,
     "op9_benchmark_decontamination": _OP9,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deltarecon.llm import decontaminate, simhash
+from deltarecon.llm import decontaminate, quality, simhash
 from deltarecon.llm.common import table
 
 
@@ -13,11 +13,16 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_line_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
+    op5_line_quality_rules,
     op7_simhash_near_dedup,
     op9_benchmark_decontamination,
 )}
