@@ -1,5 +1,7 @@
 """DuckDB SQL for those queries of this folder that SQL can express."""
 
+from deltarecon.llm import licenses as _l
+from deltarecon.llm import mixing as _m
 from deltarecon.llm import quality as _q
 
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -77,7 +79,106 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
 
+def _bisected(measure: str, up: str) -> str:
+    """A recursive query's halving step: ``measure`` is of ``mid`` over the list ``p``."""
+    return f"""
+  SELECT 0 AS i, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high
+  UNION ALL
+  SELECT i + 1, CASE WHEN up THEN mid ELSE low END, CASE WHEN up THEN high ELSE mid END
+  FROM (SELECT i, low, high, mid, {measure} {up} AS up
+        FROM (SELECT i, low, high, (low + high) / 2 AS mid FROM SELF WHERE i < {_m.HALVINGS}) b, shares)"""
+
+
+def _powers(a: str) -> str:
+    return f"list_sum(list_transform(p, lambda x: x ** {a}))"
+
+
+_OP1 = rf"""
+WITH RECURSIVE rows0 AS (
+  SELECT doc_id, source, coalesce('=' || source, 'null') AS key,
+    CAST(len(list_filter(string_split_regex(coalesce(text, ''), '{_SPACE}'), lambda w: w <> '')) AS BIGINT) AS n_tokens
+  FROM documents
+), src AS (
+  SELECT key, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM rows0 GROUP BY key HAVING sum(n_tokens) > 0
+), shares AS (
+  SELECT list(tokens / total ORDER BY key) AS p, list(CAST(tokens AS DOUBLE) ORDER BY key) AS t, any_value(total) AS total
+  FROM src, (SELECT CAST(sum(tokens) AS DOUBLE) AS total FROM src)
+), by_entropy AS ({_bisected(
+    f"ln({_powers('mid')}) - mid * list_sum(list_transform(p, lambda x: x ** mid * ln(x))) / {_powers('mid')}",
+    f"> {_m.TARGET_ENTROPY} * ln(len(p))").replace("SELF", "by_entropy")}
+), by_repeats AS ({_bisected(
+    f"list_max(list_transform(p, lambda x, k: x ** mid / t[k])) * total / {_powers('mid')}",
+    f"> {_m.MAX_REPEATS}").replace("SELF", "by_repeats")}
+), exponent AS (
+  SELECT CASE WHEN len(p) = 1 THEN 1.0::DOUBLE
+    ELSE greatest((SELECT (low + high) / 2 FROM by_entropy WHERE i = {_m.HALVINGS}),
+                  (SELECT (low + high) / 2 FROM by_repeats WHERE i = {_m.HALVINGS})) END AS a
+  FROM shares
+), weights AS (
+  SELECT key, tokens, (tokens / total) ** a / {_powers('a')} AS weight,
+    CAST(floor((tokens / total) ** a / {_powers('a')} * total + 0.5) AS BIGINT) AS budget
+  FROM src, shares, exponent
+), dealt AS (
+  SELECT doc_id, source, n_tokens, key, tokens, weight, budget,
+    CAST(floor(CAST('0x' || substr(md5(concat_ws('/', '{_m.SEED}', 'block', coalesce(CAST(doc_id AS VARCHAR), '-'),
+      n_tokens)), 1, 8) AS BIGINT) / 4294967296.0 * ceil(tokens / {float(_m.BLOCK_TOKENS)})) AS BIGINT) AS block
+  FROM rows0 JOIN weights USING (key)
+), turns AS (
+  SELECT *, unnest(range(0, CAST(floor(budget / tokens) AS BIGINT) + 1)) AS epoch FROM dealt
+), placed AS (
+  SELECT *, epoch * tokens + coalesce(sum(n_tokens) OVER (
+      PARTITION BY key, epoch
+      ORDER BY md5(concat_ws('/', '{_m.SEED}', 'epoch', epoch, key, block)), block,
+        md5(concat_ws('/', '{_m.SEED}', 'turn', epoch, coalesce(CAST(doc_id AS VARCHAR), '-'), n_tokens)), doc_id, n_tokens
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_token
+  FROM turns
+)
+SELECT doc_id, source, n_tokens, epoch, CAST(start_token AS BIGINT) AS start_token, round(weight, 9) AS weight,
+  round((start_token + n_tokens / 2) / budget, 9) AS mix_at
+FROM placed WHERE start_token < budget
+"""
+
+def _template_rows() -> str:
+    rows = (f"({i}, '{name}', {len(pairs)}, [{', '.join(repr(' '.join(p)) for p in sorted(pairs))}])"
+            for i, (name, text) in enumerate(_l.TEMPLATES) for pairs in [_l.template_bigrams(text)])
+    return ", ".join(rows)
+
+
+_OP2 = rf"""
+WITH t(i, name, n, pairs) AS (VALUES {_template_rows()}
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), u AS (
+  SELECT r, doc_id, list_filter(list_distinct(list_concat(
+    string_split_regex(text, '{_l.SENTENCE_BREAK}'), string_split(text, chr(10)),
+    string_split_regex(text, '{_l.PARAGRAPH_BREAK}'), [text])), lambda x: x <> '') AS units FROM d
+), uw AS (
+  SELECT r, unnest(range(len(units))) AS k, list_filter(string_split_regex(
+    translate(unnest(units), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '{_l.BETWEEN_WORDS}'), lambda w: w <> '') AS ws FROM u
+), up AS (
+  SELECT r, k, list_distinct(list_transform(range(1, len(ws)), lambda j: ws[j] || ' ' || ws[j + 1])) AS pairs
+  FROM uw WHERE len(ws) > 1
+), scored AS (
+  SELECT r, k, name, 2.0 * len(list_intersect(up.pairs, t.pairs)) / (len(up.pairs) + t.n) AS dice
+  FROM up JOIN t ON t.n <= len(up.pairs) * {2 - _l.MIN_DICE} / {_l.MIN_DICE}
+    AND len(up.pairs) <= t.n * {2 - _l.MIN_DICE} / {_l.MIN_DICE}
+), hit AS (
+  SELECT * FROM scored WHERE dice >= {_l.MIN_DICE}
+), agg AS (
+  SELECT r, count(DISTINCT k) AS n_matched, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses,
+    max(dice) AS best_dice FROM hit GROUP BY r
+), first AS (
+  SELECT r, min(name) AS best_license FROM hit JOIN agg USING (r) WHERE hit.dice = agg.best_dice GROUP BY r
+)
+SELECT doc_id, CAST(len(units) AS BIGINT) AS n_units, coalesce(n_matched, 0) AS n_matched,
+  coalesce(licenses, '') AS licenses, round(best_dice, 9) AS best_dice, best_license
+FROM u LEFT JOIN agg USING (r) LEFT JOIN first USING (r)
+"""
+
 ORACLES = {
+    "op1_temperature_mixing": _OP1,
+    "op2_license_scan": _OP2,
     "op5_line_quality_rules": _OP5,
     "op9_benchmark_decontamination": _OP9,
 }

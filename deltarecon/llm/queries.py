@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from deltarecon.llm import decontaminate, quality, simhash
+from deltarecon.llm import decontaminate, licenses, mixing, quality, simhash, token_counts
 from deltarecon.llm.common import table
 
 
@@ -13,6 +14,18 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op1_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_line_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
@@ -22,6 +35,9 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_temperature_mixing,
+    op2_license_scan,
+    op3_token_counts,
     op5_line_quality_rules,
     op7_simhash_near_dedup,
     op9_benchmark_decontamination,
