@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from deltarecon.llm.common import let, lower_ascii, words
 
-MIN_DICE = 0.8
+MIN_PERCENT = 80  # of Dice; whole numbers keep the bounds exact
+WIDE = 200 - MIN_PERCENT
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SENTENCE_BREAK = r"[.!?]+[\x20\x09-\x0D]+|\n"
 PARAGRAPH_BREAK = r"\n[\x20\x09-\x0D]*\n"
@@ -99,14 +100,14 @@ def units(text: Column) -> Column:
 
 def _matches(unit: Column, templates: Column, fewest: int) -> Column:
     """``(dice, name)`` of the templates that the unit matches."""
-    wide = (2 - MIN_DICE) / MIN_DICE
-
     def against(pairs: Column) -> Column:
-        near = F.filter(templates, lambda t: (t["n"] <= F.size(pairs) * wide) & (F.size(pairs) <= t["n"] * wide))
+        near = F.filter(templates, lambda t: (
+            t["n"] * MIN_PERCENT <= F.size(pairs) * WIDE) & (F.size(pairs) * MIN_PERCENT <= t["n"] * WIDE))
         scored = F.transform(near, lambda t: F.struct(
-            (2.0 * F.size(F.array_intersect(pairs, t["pairs"])) / (F.size(pairs) + t["n"])).alias("dice"),
+            F.size(F.array_intersect(pairs, t["pairs"])).alias("shared"), (F.size(pairs) + t["n"]).alias("both"),
             t["name"].alias("name")))
-        return F.filter(scored, lambda s: s["dice"] >= MIN_DICE)
+        enough = F.filter(scored, lambda s: 200 * s["shared"] >= MIN_PERCENT * s["both"])
+        return F.transform(enough, lambda s: F.struct((2.0 * s["shared"] / s["both"]).alias("dice"), s["name"].alias("name")))
 
     def pairs_of(ws: Column) -> Column:
         hashed = F.transform(F.slice(ws, 1, F.greatest(F.size(ws) - 1, F.lit(0))),
@@ -122,7 +123,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
     a template), ``licenses`` (names, sorted, comma-joined), ``best_dice`` and
     ``best_license`` (null without a match)."""
     sizes = [len(template_bigrams(t)) for _, t in TEMPLATES]
-    fewest = min(-(-int(n * MIN_DICE * 1000) // int((2 - MIN_DICE) * 1000)) for n in sizes)
+    fewest = min(-(-n * MIN_PERCENT // WIDE) for n in sizes)
     df = docs.select("doc_id", F.filter(units(F.col("text")), lambda u: u != "").alias("units"))
     df = df.select("doc_id", F.size("units").cast("long").alias("n_units"), F.filter(
         F.transform("units", lambda u: _matches(u, _template_column(), fewest)), lambda m: F.size(m) > 0).alias("found"))

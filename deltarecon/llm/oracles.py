@@ -160,11 +160,10 @@ WITH t(i, name, n, pairs) AS (VALUES {_template_rows()}
   SELECT r, k, list_distinct(list_transform(range(1, len(ws)), lambda j: ws[j] || ' ' || ws[j + 1])) AS pairs
   FROM uw WHERE len(ws) > 1
 ), scored AS (
-  SELECT r, k, name, 2.0 * len(list_intersect(up.pairs, t.pairs)) / (len(up.pairs) + t.n) AS dice
-  FROM up JOIN t ON t.n <= len(up.pairs) * {2 - _l.MIN_DICE} / {_l.MIN_DICE}
-    AND len(up.pairs) <= t.n * {2 - _l.MIN_DICE} / {_l.MIN_DICE}
+  SELECT r, k, name, len(list_intersect(up.pairs, t.pairs)) AS shared, len(up.pairs) + t.n AS sizes
+  FROM up JOIN t ON t.n * {_l.MIN_PERCENT} <= len(up.pairs) * {_l.WIDE} AND len(up.pairs) * {_l.MIN_PERCENT} <= t.n * {_l.WIDE}
 ), hit AS (
-  SELECT * FROM scored WHERE dice >= {_l.MIN_DICE}
+  SELECT *, 2.0 * shared / sizes AS dice FROM scored WHERE 200 * shared >= {_l.MIN_PERCENT} * sizes
 ), agg AS (
   SELECT r, count(DISTINCT k) AS n_matched, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses,
     max(dice) AS best_dice FROM hit GROUP BY r

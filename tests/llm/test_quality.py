@@ -4,7 +4,11 @@ import re
 
 from deltarecon.llm import quality as q
 
-PROSE = "This is a plain sentence with quite a few words in it. "
+
+def prose(n):
+    """Lines without a repeated three-word window."""
+    return "\n".join(" ".join(f"word{i}{c}" for c in "abcdefgh") + "." for i in range(n))
+
 
 
 def brute(text):
@@ -38,14 +42,14 @@ def test_edge_texts(make_docs):
 
 def test_empty_table_and_clashing_columns(make_docs, spark):
     assert got(make_docs([])) == []
-    text = "\n".join(f"{PROSE}Sentence number {i} ends here." for i in range(30))
+    text = prose(30)
     df = spark.createDataFrame([(1, text, 7, 2)], "doc_id long, text string, quality int, n_chars int")
     assert [tuple(r) for r in q.clean(df).collect()] == [(1, text, 7, len(text))]
 
 
 def test_lines_go_then_documents(make_docs):
-    prose = "\n".join(f"Line {i} of some honest prose, unlike line {i + 1}, says {i * i}." for i in range(20))
+    good = prose(20)
     nav = "\n".join(f"home{i} | news{i} | about{i} | terms{i}" for i in range(60))
-    rows = [(1, prose + "\nHome\nAll rights reserved."), (2, nav + "\n" + prose[:120]), (3, prose)]
+    rows = [(1, good + "\nHome\nAll rights reserved."), (2, nav + "\n" + good[:120]), (3, good)]
     kept = {r["doc_id"]: r["text"] for r in q.clean(make_docs(rows)).collect()}
-    assert kept == {1: prose, 3: prose}
+    assert kept == {1: good, 3: good}
