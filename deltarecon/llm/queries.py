@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from deltarecon.llm import decontaminate, licenses, mixing, quality, simhash, token_counts
+from deltarecon.llm import decontaminate, katz, licenses, mixing, quality, simhash, token_counts
 from deltarecon.llm.common import table
 
 
@@ -26,6 +27,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(table(spark, sf_dir, "documents"), katz.held_out(F.col("doc_id"), 7, 2))
+
+
 def op5_line_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
@@ -38,6 +43,7 @@ QUERIES = {f.__name__: f for f in (
     op1_temperature_mixing,
     op2_license_scan,
     op3_token_counts,
+    op4_katz_scoring,
     op5_line_quality_rules,
     op7_simhash_near_dedup,
     op9_benchmark_decontamination,
