@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deltarecon.llm import decontaminate, katz, licenses, mixing, quality, simhash, token_counts
+from deltarecon.llm import (
+    decontaminate, katz, langid, licenses, mixing, quality, simhash, token_counts, toxicity)
 from deltarecon.llm.common import table
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_report(table(spark, sf_dir, "documents"), katz.held_out(F.col("doc_id"), 4, 2))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -35,6 +40,11 @@ def op5_line_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), katz.held_out(F.col("doc_id"), 3, 1))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(table(spark, sf_dir, "documents"))
 
@@ -45,6 +55,8 @@ QUERIES = {f.__name__: f for f in (
     op3_token_counts,
     op4_katz_scoring,
     op5_line_quality_rules,
+    op6_toxicity,
     op7_simhash_near_dedup,
+    op8_language_id,
     op9_benchmark_decontamination,
 )}
