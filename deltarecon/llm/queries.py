@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deltarecon.llm import (
-    decontaminate, katz, langid, licenses, mixing, quality, simhash, token_counts, toxicity)
+    decontaminate, katz, langid, licenses, mixing, quality, simhash, suffix_dedup, token_counts,
+    toxicity)
 from deltarecon.llm.common import table
 
 
@@ -49,6 +50,10 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_temperature_mixing,
     op2_license_scan,
@@ -59,4 +64,5 @@ QUERIES = {f.__name__: f for f in (
     op7_simhash_near_dedup,
     op8_language_id,
     op9_benchmark_decontamination,
+    op10_suffix_array_dedup,
 )}
