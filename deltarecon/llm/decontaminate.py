@@ -123,7 +123,7 @@ def _run_left(doc: Column, item: Column) -> Column:
     """Equal words before the fingerprint, none beyond the reach."""
     out = F.lit(REACH)
     for i in range(0, REACH):  # the outermost mismatch is overruled by those nearer
-        out = F.when(F.coalesce(doc[i] == item[i], F.lit(False)), out).otherwise(F.lit(REACH - 1 - i))
+        out = F.when(F.coalesce(F.get(doc, F.lit(i)) == F.get(item, F.lit(i)), F.lit(False)), out).otherwise(F.lit(REACH - 1 - i))
     return out
 
 
@@ -131,7 +131,7 @@ def _run_right(doc: Column, item: Column) -> Column:
     out = F.lit(REACH)
     for i in reversed(range(0, REACH)):
         at = WINDOW + i
-        out = F.when(F.coalesce(doc[at] == item[at], F.lit(False)), out).otherwise(F.lit(i))
+        out = F.when(F.coalesce(F.get(doc, F.lit(at)) == F.get(item, F.lit(at)), F.lit(False)), out).otherwise(F.lit(i))
     return out
 
 
