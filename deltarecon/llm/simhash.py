@@ -72,17 +72,21 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE, name: str = "fingerprint") -> DataFrame:
+def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE, name: str = "fingerprint",
+                      keep_text: bool = True) -> DataFrame:
     """``docs`` with the fingerprint as a signed long; ``text`` must be among the columns."""
+    names = docs.columns
+    kept = [i for i, c in enumerate(names) if keep_text or c != "text"]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(names.index("text")).cast(pa.large_binary())
             prints = np.fromiter((fingerprint(t.as_py(), shingle) for t in texts), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_signed(prints))], [*names, name])
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(i) for i in kept), pa.array(_signed(prints))], [*(names[i] for i in kept), name])
 
-    names = docs.columns
-    return docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+    fields = [docs.schema.fields[i] for i in kept]
+    return docs.mapInArrow(add, T.StructType([*fields, T.StructField(name, T.LongType())]))
 
 
 def _chains(values: np.ndarray, width: int) -> list[tuple[np.ndarray, int, np.ndarray, list[int]]]:
@@ -225,12 +229,12 @@ def fingerprint_links(prints: DataFrame) -> DataFrame:
     return by_key.mapInArrow(_links_of_partition, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` with ``fingerprint`` (signed long), ``component_id`` and
-    ``is_first`` (true for just one row of each component); taken names get a
-    number."""
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, keep_text: bool = True) -> DataFrame:
+    """``docs`` (without ``text`` if so asked) with ``fingerprint`` (signed long),
+    ``component_id`` and ``is_first`` (true for just one row of each component);
+    taken names get a number."""
     fp, comp, first, row = (free_name(docs, n) for n in ("fingerprint", "component_id", "is_first", "row_nr"))
-    marked = with_fingerprints(docs, shingle, fp).withColumn(row, F.monotonically_increasing_id())
+    marked = with_fingerprints(docs, shingle, fp, keep_text).withColumn(row, F.monotonically_increasing_id())
     marked = materialize(marked, "simhash")
     # Least (id, row), ids before nulls.
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
@@ -241,13 +245,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     firsts = roots.groupBy("root").agg(F.min("first").alias("least"))
     by_print = roots.join(firsts, "root").select(F.col("fingerprint").alias("print"), "least")
     joined = marked.join(by_print, marked[fp] == by_print["print"])
-    return joined.select(*docs.columns, fp, F.col("least.id").alias(comp),
+    kept = [c for c in docs.columns if keep_text or c != "text"]
+    return joined.select(*kept, fp, F.col("least.id").alias(comp),
                          (F.col(row) == F.col("least.row")).alias(first))
 
 
 def near_duplicate_report(docs: DataFrame) -> DataFrame:
     """The digest columns per document."""
-    found = near_duplicates(docs.select("doc_id", "text")).drop("text")
+    found = near_duplicates(docs.select("doc_id", "text"), keep_text=False)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
