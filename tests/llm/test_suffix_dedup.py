@@ -8,7 +8,7 @@ import numpy as np
 from deltarecon.llm import suffix_dedup as sd
 
 
-def brute(rows):
+def gone_bytes(rows):
     """Rows in order of id (nulls last); of equal windows all but the first are removed."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
     seen, out = set(), [None] * len(rows)
@@ -22,9 +22,22 @@ def brute(rows):
                 gone[s:s + 100] = b"\1" * 100
             new.add(w)
         seen |= new
+        out[i] = data, gone
+    return out
+
+
+def brute_texts(rows):
+    """What stays of each text, by id."""
+    return {i: bytes(b for b, g in zip(data, gone) if not g).decode("utf-8", "ignore")
+            for (i, _), (data, gone) in zip(rows, gone_bytes(rows))}
+
+
+def brute(rows):
+    out = []
+    for (i, _), (data, gone) in zip(rows, gone_bytes(rows)):
         kept = bytes(b for b, g in zip(data, gone) if not g)
         spans = sum(1 for s in range(len(gone)) if gone[s] and (s == 0 or not gone[s - 1]))
-        out[i] = (rows[i][0], len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+        out.append((i, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return sorted(out, key=str)
 
 
