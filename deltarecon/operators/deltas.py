@@ -25,8 +25,8 @@ active    deleted = 'N'                                deleted
 inactive  deleted = 'Y'                                deleted
 ========  ==========================================  =====================
 
-``mode='on'`` replaces ``>= d`` by ``= d`` and inserts test only the created
-day. A row whose stamp or flag is NULL never satisfies a predicate, so it is
+``mode='on'`` replaces ``>= d`` by ``= d``; inserts test only the created day
+and need only that column. A row whose stamp or flag is NULL never satisfies a predicate, so it is
 in ``total`` only; ``active + inactive`` may be below ``total``.
 """
 
@@ -67,7 +67,7 @@ def _as_date(value: str | dt.date) -> dt.date:
         return value.date()
     if isinstance(value, dt.date):
         return value
-    return dt.date.fromisoformat(str(value)[:10])
+    return dt.date.fromisoformat(str(value))
 
 
 def _day_exprs(df: DataFrame, cols: list[str], as_of: str | dt.date) -> tuple[dict[str, Column], Column]:
@@ -101,17 +101,16 @@ def delta_metric_columns(
     live = _c(deleted) == F.lit(LIVE_FLAG) if deleted else None
     gone = _c(deleted) == F.lit(DELETED_FLAG) if deleted else None
 
+    inserts = updates = deletes = na
+    if created and mode == "on":
+        inserts = F.count_if(reached(day[created]))
     if created and updated:
         crt, upd = day[created], day[updated]
         if mode == "since":
             inserts = F.count_if(reached(crt) & reached(upd))
-        else:
-            inserts = F.count_if(reached(crt))
         changed = reached(upd) & (upd != crt)
         updates = F.count_if(changed & live) if deleted else F.count_if(changed)
         deletes = F.count_if(changed & gone) if deleted else na
-    else:
-        inserts = updates = deletes = na
 
     return [
         inserts.alias("inserts"),
@@ -155,6 +154,12 @@ def delta_counts(
     )
 
 
+def day_count_row(counts: DataFrame, as_of: str | dt.date) -> DataFrame:
+    """The six fields of an exact-day row: entity, process, the three changes, the day."""
+    return counts.select("entity", "process", "inserts", "updates", "deletes",
+                         F.lit(_as_date(as_of).isoformat()).alias("as_of"))
+
+
 def delta_counts_separate(
     df: DataFrame,
     as_of: str | dt.date,

@@ -3,7 +3,7 @@
 import pytest
 
 from deltarecon.harness import fixtures as fx
-from deltarecon.operators.deltas import COUNT_ROW_COLUMNS, delta_counts, delta_counts_separate
+from deltarecon.operators.deltas import COUNT_ROW_COLUMNS, day_count_row, delta_counts, delta_counts_separate
 
 from .conftest import SF_SMALL, plan_text
 
@@ -88,3 +88,19 @@ def test_column_names_with_dots(spark):
     df = spark.createDataFrame(EDGE, "`c.at` string, `u at` string, `d.x` string")
     got = counts(delta_counts(df, "2024-01-03", "c.at", "u at", "d.x", job_time="t"))
     assert got == {"inserts": 2, "updates": 2, "deletes": 1, "total": 7, "active": 4, "inactive": 2}
+
+
+def test_inserts_of_a_day_need_created_only(spark):
+    df = spark.createDataFrame([("2024-01-15 10:00:00",), ("2024-01-14",), (None,)], "c string")
+    on = delta_counts(df, "2024-01-15", "c", mode="on", job_time="t").first()
+    assert (on.inserts, on.updates, on.deletes) == (1, None, None)
+    assert delta_counts(df, "2024-01-15", "c", job_time="t").first().inserts is None
+    row = day_count_row(delta_counts(df, "2024-01-15", "c", mode="on", entity="e", process="p"), "2024-01-15").first()
+    assert tuple(row) == ("e", "p", 1, None, None, "2024-01-15")
+
+
+@pytest.mark.parametrize("day", ["2024-01-15garbage", "2024-1-5", ""])
+def test_as_of_must_be_a_day(spark, day):
+    df = spark.createDataFrame([("2024-01-15",)], "c string")
+    with pytest.raises(ValueError):
+        delta_counts(df, day, "c", mode="on")
