@@ -1,11 +1,22 @@
 """Fixed-width code lookup: the first ``key_width`` characters are the key,
-the rest of the line the description; both trimmed."""
+the rest of the line the description.
+
+Both are stripped of every character up to the space at both ends (tabs and
+control characters too). A line shorter than the key fails the read.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: what is stripped from both ends.
+_EDGES = r"^[\x00-\x20]+|[\x00-\x20]+$"
+
+
+def _strip(c: Column) -> Column:
+    return F.regexp_replace(c, _EDGES, "")
+
 
 def parse_fixed_width(
     lines: DataFrame,
@@ -15,9 +26,10 @@ def parse_fixed_width(
     value_col: str = "value",
 ) -> DataFrame:
     v = F.col(value_col)
+    short = F.raise_error(F.concat(F.lit(f"lookup line shorter than {key_width} characters: "), v)).cast("string")
     return lines.select(
-        F.trim(F.substring(v, 1, key_width)).alias(key_col),
-        F.trim(v.substr(F.lit(key_width + 1), F.length(v))).alias(desc_col),
+        F.when(F.length(v) >= key_width, _strip(F.substring(v, 1, key_width))).otherwise(short).alias(key_col),
+        _strip(v.substr(F.lit(key_width + 1), F.length(v))).alias(desc_col),
     )
 
 

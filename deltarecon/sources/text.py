@@ -10,10 +10,10 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def preview(lines: DataFrame, n: int = 10, order_by: str | None = "value") -> DataFrame:
-    """First ``n`` lines. Text files have no stable order across partitions,
-    so by default the preview is the first ``n`` in value order (a top-k,
-    which Spark plans as a per-partition take plus one small merge)."""
+def preview(lines: DataFrame, n: int = 10, order_by: str | None = None) -> DataFrame:
+    """First ``n`` lines as read (a limit, which stops after the first
+    partitions). With ``order_by`` the first ``n`` in that order: a top-k that
+    reads every line, for a stable answer."""
     if order_by:
         lines = lines.orderBy(F.col(order_by))
     return lines.limit(n)
