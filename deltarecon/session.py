@@ -26,17 +26,19 @@ AQE_CONF = {
 RECOMMENDED_CONF = {**AQE_CONF, "spark.sql.session.timeZone": "UTC"}
 
 
-def scale_conf(largest_shuffle_bytes: int, partition_bytes: int = 256 << 20,
-               min_partitions: int = 200) -> dict[str, str]:
+def scale_conf(largest_shuffle_bytes: int, partition_bytes: int = 1 << 30,
+               min_partitions: int = 200, max_partitions: int = 50_000) -> dict[str, str]:
     """SQL settings for a run whose largest shuffle moves ``largest_shuffle_bytes``.
 
+    A shuffle has map tasks times reducers blocks, so both are kept in the tens of
+    thousands: beyond ``max_partitions`` partitions grow instead, and spill.
     Shuffle partitions are sized so each holds about ``partition_bytes``
     (they fit in executor memory and spill gracefully); AQE then coalesces
     the small shuffles (count merges, key sets) down to the same target.
     For the feed job the largest shuffle is the dedup's, roughly the feed's
     size after the valid-name filter.
     """
-    parts = max(min_partitions, -(-largest_shuffle_bytes // partition_bytes))
+    parts = min(max_partitions, max(min_partitions, -(-largest_shuffle_bytes // partition_bytes)))
     return {
         **AQE_CONF,
         "spark.sql.shuffle.partitions": str(parts),
@@ -45,11 +47,6 @@ def scale_conf(largest_shuffle_bytes: int, partition_bytes: int = 256 << 20,
     }
 
 
-def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-
-
 def local_session(cores: int | str = "*", app: str = "deltarecon", shuffle_partitions: int | None = None) -> SparkSession:
     """A local session for tests and benchmarks (UI off, AQE on)."""
     parts = shuffle_partitions or (8 if cores == "*" else int(cores))
@@ -106,6 +103,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/deltarecon-scratch/{uuid.uuid4().hex}/{name}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this library wrote (scratch copies after their last use)."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def materialize(df, name: str = "materialized"):
     """``materialize_to`` a fresh path under the shared checkpoint folder."""
     return materialize_to(df, scratch_path(df.sparkSession, name))

@@ -9,25 +9,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.deltas import COUNT_ROW_COLUMNS
-from ..sources.counts import NA_TEXT
+from ..session import path_exists
+from ..sources.counts import count_line
 
 
-def _csv(df: DataFrame, path: str, mode: str, single_file: bool) -> None:
-    out = df.select(*COUNT_ROW_COLUMNS)
-    if single_file:
-        out = out.coalesce(1)
-    out.write.mode(mode).option("nullValue", NA_TEXT).csv(path)
+def _text(df: DataFrame, path: str, mode: str) -> None:
+    df.select(count_line().alias("value")).coalesce(1).write.mode(mode).text(path)
 
 
 def write_count_rows(df: DataFrame, path: str) -> None:
     """Replace ``path`` with one comma file of count rows (``NA`` for NULL)."""
-    _csv(df, path, "overwrite", single_file=True)
+    _text(df, path, "overwrite")
 
 
 def replace_current(df: DataFrame, current_path: str) -> None:
     """Current snapshot = exactly these rows (``df`` must not read ``current_path``)."""
-    _csv(df, current_path, "overwrite", single_file=True)
+    _text(df, current_path, "overwrite")
 
 
 def append_history(df: DataFrame, history_path: str) -> None:
@@ -37,18 +34,20 @@ def append_history(df: DataFrame, history_path: str) -> None:
     ``deltarecon.streaming.history.append_new_counts``; for a re-runnable
     daily batch use ``replace_history_day``.
     """
-    _csv(df, history_path, "append", single_file=True)
+    if path_exists(df.sparkSession, f"{history_path.rstrip('/')}/_spark_metadata"):
+        raise ValueError(f"{history_path} was written by a stream, whose log would hide these rows; "
+                         "append with append_new_counts or use another folder")
+    _text(df, history_path, "append")
 
 
 def replace_history_day(df: DataFrame, history_path: str) -> None:
     """Idempotent history: one partition per job day (first ten characters
     of ``job_time``), written with dynamic partition overwrite, so running a
     day again replaces that day's rows and leaves every other day alone."""
-    out = df.select(*COUNT_ROW_COLUMNS).withColumn("job_date", F.substring("job_time", 1, 10))
+    out = df.select(count_line().alias("value"), F.substring("job_time", 1, 10).alias("job_date"))
     (
         out.coalesce(1).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("nullValue", NA_TEXT)
         .partitionBy("job_date")
-        .csv(history_path)
+        .text(history_path)
     )

@@ -9,6 +9,8 @@ from deltarecon.sinks import append_history, write_count_rows, write_delimited
 from deltarecon.sources import parse_fixed_width, parse_registry, preview, read_count_rows, read_count_tree
 from deltarecon.streaming import append_new_counts, read_history
 
+from .conftest import plan_text
+
 
 def lines(spark, *xs):
     return spark.createDataFrame([(x,) for x in xs], "value string")
@@ -26,13 +28,24 @@ def test_registry_short_line_fails(spark, bad):
 
 
 def test_fixed_width(spark):
-    got = [tuple(r) for r in parse_fixed_width(lines(spark, "A1Active", "B2 Closed ", "Z")).collect()]
-    assert got == [("A1", "Active"), ("B2", "Closed"), ("Z", "")]
+    got = [tuple(r) for r in parse_fixed_width(lines(spark, "A1Active", "B2 Closed ", "1\tPartial\t", "\x01Z\x00 x", "  ")).collect()]
+    assert got == [("A1", "Active"), ("B2", "Closed"), ("1", "Partial"), ("Z", "x"), ("", "")]
+
+
+@pytest.mark.parametrize("short", ["Z", ""])
+def test_fixed_width_short_line_fails(spark, short):
+    with pytest.raises(Exception, match="shorter than 2"):
+        parse_fixed_width(lines(spark, "A1Active", short)).collect()
 
 
-def test_preview_is_ordered_top_n(spark):
+def test_preview_orders_only_when_asked(spark):
     df = lines(spark, *[f"line{i:03d}" for i in range(50, 0, -1)])
-    assert [r.value for r in preview(df, 3).collect()] == ["line001", "line002", "line003"]
+    assert [r.value for r in preview(df, 3, order_by="value").collect()] == ["line001", "line002", "line003"]
+    assert preview(df, 3).count() == 3
+    path = scratch_path(spark, "preview")
+    df.write.text(path)
+    plan = plan_text(preview(spark.read.text(path), 3))
+    assert "Limit" in plan and "Sort" not in plan and "TakeOrdered" not in plan
 
 
 def _count_rows(spark):
@@ -54,6 +67,45 @@ def test_count_files_roundtrip_with_na(spark):
     assert sorted(back.collect()) == sorted(rows.collect())
 
 
+def test_names_are_written_verbatim(spark):
+    names = [" padded ", "NA", 'p"q', "back\\slash", ""]
+    rows = spark.createDataFrame([(n, "NA", None, 1, 2, 3, 4, 5, "t") for n in names], _count_rows(spark).schema)
+    path = scratch_path(spark, "names")
+    write_count_rows(rows, path)
+    assert sorted(r.value for r in spark.read.text(path).collect()) == sorted(f"{n},NA,NA,1,2,3,4,5,t" for n in names)
+    assert sorted(read_count_rows(spark, path).collect()) == sorted(rows.collect())
+
+
+@pytest.mark.parametrize("bad", ["E,p,xx,1,2,3,4,5,t", "E,p", "E,p,1,2,3,4,5,6,t,more"])
+def test_malformed_count_lines_fail(spark, bad):
+    landing = scratch_path(spark, "landing")
+    lines(spark, bad).write.text(f"{landing}/run1")
+    with pytest.raises(Exception):
+        read_count_tree(spark, landing).collect()
+    with pytest.raises(Exception):
+        append_new_counts(spark, landing, scratch_path(spark, "h"), scratch_path(spark, "c"))
+
+
+def test_stream_reads_two_levels_only(spark):
+    landing = scratch_path(spark, "landing")
+    hist, ckpt = scratch_path(spark, "h"), scratch_path(spark, "c")
+    write_count_rows(_count_rows(spark), f"{landing}/run1")
+    lines(spark, "no count line").coalesce(1).write.text(f"{landing}/run1/deep/deeper")
+    assert append_new_counts(spark, landing, hist, ckpt) == 2
+
+
+def test_history_forms_dont_mix(spark):
+    landing, hist = scratch_path(spark, "landing"), scratch_path(spark, "h")
+    write_count_rows(_count_rows(spark), f"{landing}/run1")
+    append_new_counts(spark, landing, hist, scratch_path(spark, "c"))
+    with pytest.raises(ValueError, match="stream"):
+        append_history(_count_rows(spark), hist)
+    batch = scratch_path(spark, "h2")
+    append_history(_count_rows(spark), batch)
+    with pytest.raises(ValueError, match="batch"):
+        append_new_counts(spark, landing, batch, scratch_path(spark, "c2"))
+
+
 def test_history_append_keeps_every_run(spark):
     path = scratch_path(spark, "hist")
     append_history(_count_rows(spark), path)
