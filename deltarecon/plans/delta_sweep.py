@@ -1,41 +1,42 @@
-"""Count changes for every table of a registry, in one Spark action.
+"""Count changes for every table of a registry.
 
 The registry is configuration (one short row per table), so it is read to
 the driver to build one plan per table; the tables themselves are never
-brought to the driver. Each table contributes one single-scan aggregation;
-``unionByName`` joins the one-row results into one lazy plan, so a single
-write runs every scan and the scheduler overlaps them. A table that lacks a
-named column fails the analysis of the union, before anything is written.
-Registries larger than ``CHUNK_TABLES`` tables are planned as several
-unions (``delta_count_chunks``), all analysed before the first write.
+brought to the driver. Each table contributes one single-scan aggregation.
+
+``delta_counts_for_registry`` returns one lazy plan (a balanced union).
+``run_delta_counts`` plans a registry of any length in batches: every batch is
+built, and so analysed, before anything runs; the batches are then counted, several
+at a time, into staging folders under the checkpoint folder; and only when all have
+succeeded is the output replaced, by one write of one file. A table that fails, at
+whatever point, leaves the previous output as it was.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..operators.deltas import delta_counts
+from ..operators.deltas import COUNT_ROW_COLUMNS, delta_counts
+from ..session import materialize_to, remove_path, scratch_path
 from ..sinks.counts import write_count_rows
 from ..sources.tables import TableResolver
 
-# Upper bound of registry rows read to the driver (plan size, not data size).
-MAX_REGISTRY_ROWS = 100_000
-# Registry rows planned as one union; larger registries become several unions.
-CHUNK_TABLES = 200
+# Tables planned together, and batches that run at a time.
+BATCH_TABLES = 50
+BATCHES_AT_ONCE = 4
 
 
-def registry_entries(registry: DataFrame, max_rows: int = MAX_REGISTRY_ROWS) -> list[dict]:
+def registry_entries(registry: DataFrame) -> list[dict]:
     """Registry rows as dicts, checked: every name present, no blank field.
 
     A blank field (e.g. a trailing comma) names no column; it fails the run
     like a short line does, instead of silently counting something else.
     """
-    rows = registry.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"registry has more than {max_rows} rows; split it into several runs")
+    rows = registry.collect()
     entries = [r.asDict() for r in rows]
     for e in entries:
         if any(e[k] in (None, "") for k in ("queue", "entity", "process")):
@@ -45,56 +46,34 @@ def registry_entries(registry: DataFrame, max_rows: int = MAX_REGISTRY_ROWS) ->
     return entries
 
 
-def delta_counts_for_registry(
-    registry: DataFrame,
-    resolve: TableResolver,
-    as_of: str | dt.date,
-    job_time: str | dt.datetime | None = None,
-    mode: str = "since",
-) -> DataFrame:
-    """Count rows (entity, process, six counts, job_time) for every registry row."""
-    parts = []
-    for e in registry_entries(registry):
-        df = resolve(e["queue"], e["process"])
-        parts.append(
-            delta_counts(
-                df, as_of, e["created"], e["updated"], e["deleted"],
-                mode=mode, entity=e["entity"], process=e["process"], job_time=job_time,
-            )
-        )
-    if not parts:
+def _union(parts: list[DataFrame]) -> DataFrame:
+    """A balanced union (all parts have the count row's columns): no step holds more
+    than twice what it adds, where a chain would analyse everything again each time."""
+    while len(parts) > 1:
+        parts = [a.union(b) for a, b in zip(parts[::2], parts[1::2])] + (parts[-1:] if len(parts) % 2 else [])
+    return parts[0]
+
+
+def _count_rows(entries: list[dict], resolve: TableResolver, as_of: str | dt.date,
+                job_time: str | dt.datetime | None, mode: str) -> list[DataFrame]:
+    if not entries:
         raise ValueError("empty registry")
-    return reduce(DataFrame.unionByName, parts)
+    return [
+        delta_counts(resolve(e["queue"], e["process"]), as_of, e["created"], e["updated"], e["deleted"],
+                     mode=mode, entity=e["entity"], process=e["process"], job_time=job_time)
+        for e in entries
+    ]
 
 
-def delta_count_chunks(
+def delta_counts_for_registry(
     registry: DataFrame,
     resolve: TableResolver,
     as_of: str | dt.date,
     job_time: str | dt.datetime | None = None,
     mode: str = "since",
-    chunk_tables: int = CHUNK_TABLES,
-) -> list[DataFrame]:
-    """Count rows as several unions of at most ``chunk_tables`` tables each.
-
-    Every chunk is built (and so analysed) here, before anything runs: a
-    registry row naming a missing table or column fails the whole run
-    before any output is written.
-    """
-    entries = registry_entries(registry)
-    if not entries:
-        raise ValueError("empty registry")
-    chunks = []
-    for i in range(0, len(entries), chunk_tables):
-        parts = [
-            delta_counts(
-                resolve(e["queue"], e["process"]), as_of, e["created"], e["updated"], e["deleted"],
-                mode=mode, entity=e["entity"], process=e["process"], job_time=job_time,
-            )
-            for e in entries[i : i + chunk_tables]
-        ]
-        chunks.append(reduce(DataFrame.unionByName, parts))
-    return chunks
+) -> DataFrame:
+    """Count rows (entity, process, six counts, job_time) for every registry row."""
+    return _union(_count_rows(registry_entries(registry), resolve, as_of, job_time, mode))
 
 
 def run_delta_counts(
@@ -104,14 +83,17 @@ def run_delta_counts(
     output_path: str,
     job_time: str | dt.datetime | None = None,
     mode: str = "since",
-    chunk_tables: int = CHUNK_TABLES,
+    batch_tables: int = BATCH_TABLES,
 ) -> None:
-    """Replace ``output_path`` with one comma file of count rows.
-
-    One write per chunk (one for a registry of up to ``chunk_tables``
-    tables); all chunks are analysed before the first write.
-    """
-    chunks = delta_count_chunks(registry, resolve, as_of, job_time, mode, chunk_tables)
-    write_count_rows(chunks[0], output_path)
-    for c in chunks[1:]:
-        c.coalesce(1).write.mode("append").option("nullValue", "NA").csv(output_path)
+    """Replace ``output_path`` with one comma file of count rows, in registry order."""
+    spark = registry.sparkSession
+    rows = _count_rows(registry_entries(registry), resolve, as_of, job_time, mode)
+    rows = [r.withColumn("_nth", F.lit(i)) for i, r in enumerate(rows)]
+    batches = [_union(rows[i:i + batch_tables]) for i in range(0, len(rows), batch_tables)]
+    stage = scratch_path(spark, "delta_counts")
+    try:
+        with ThreadPoolExecutor(BATCHES_AT_ONCE) as pool:
+            done = list(pool.map(lambda b: materialize_to(b[1], f"{stage}/{b[0]}"), enumerate(batches)))
+        write_count_rows(_union(done).orderBy("_nth").select(*COUNT_ROW_COLUMNS), output_path)
+    finally:
+        remove_path(spark, stage)
