@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .plans.delta_sweep import run_delta_counts
 from .functions import rules as rule_functions
-from .plans.feed_reconciliation import FeedSpec, feed_reconciliation, write_reconciliation
+from .plans.feed_reconciliation import (
+    FeedSpec, feed_reconciliation, named_master_mapping, write_reconciliation)
 from .plans.report import consolidate_and_publish
 from .sources.fixed_width import read_fixed_width
 from .sources.registry import read_registry
@@ -66,15 +67,25 @@ def spec_from_json(text: str) -> FeedSpec:
     return FeedSpec(**raw, **({"rules": rules} if rules else {}))
 
 
+def _text_or_file(text: str) -> str:
+    if text.lstrip().startswith("{"):
+        return text
+    with open(text) as f:
+        return f.read()
+
+
 def cmd_reconcile(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.spec_json:
-        spec = spec_from_json(open(a.spec_json).read() if not a.spec_json.lstrip().startswith("{") else a.spec_json)
+        spec = spec_from_json(_text_or_file(a.spec_json))
     else:
         spec = FeedSpec(tiebreak=tuple(a.tiebreak.split(",")) if a.tiebreak else ())
+    master = {"master_key": a.master_key}
+    if a.master_json:
+        master["master_mapping"] = named_master_mapping(json.loads(_text_or_file(a.master_json)))
     rec = feed_reconciliation(
         _table(spark, a.feed), read_fixed_width(spark, a.lookup),
         _table(spark, a.detail), _table(spark, a.hub), _pairs(a.hub_filter),
-        a.diff_keys.split(","), spec,
+        a.diff_keys.split(","), spec, **master,
     )
     write_reconciliation(rec, a.result, a.rejects, mode=a.mode)
 
@@ -113,6 +124,9 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--diff-keys", required=True, help="comma-separated compare columns")
     r.add_argument("--tiebreak", default="version_id", help="comma-separated tie-break columns ('' for none)")
     r.add_argument("--spec-json", help="FeedSpec as JSON text or a JSON file path (column roles, columns, rules)")
+    r.add_argument("--master-key", default="cir_key", help="key column of the detail and hub tables")
+    r.add_argument("--master-json", help="master columns as JSON text or a JSON file path: output column -> "
+                                         "'detail.col', 'hub.col', a quoted constant, or remove_first(side.col, ...)")
     r.add_argument("--result", required=True)
     r.add_argument("--rejects")
     r.add_argument("--mode", default="errorifexists")

@@ -175,6 +175,50 @@ def master_hub(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- wide register: 37 feed columns, 31 master columns, 27 diff keys -----------
+
+EXTRAS = tuple(f"a{i:02d}" for i in range(1, 29))
+WIDE_MASTER_EXTRAS = EXTRAS[:20]
+WIDE_DIFF_KEYS = (*DIFF_KEYS, "trading_status", "cro_number", *WIDE_MASTER_EXTRAS)
+
+
+def _extra_number(i: int, k):
+    return (k * (i + 3)) % (50 + i)
+
+
+def feed_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with 28 more raw columns, of four kinds in turn: with an id suffix to
+    come, zeros to blank, with letters to strip, padded."""
+    k = F.col("reg_no").cast("long")
+
+    def raw(i: int):
+        v = _extra_number(i, k)
+        text = _lpad(v, 4)
+        return (
+            F.when(v % 5 == 0, F.lit("")).otherwise(text) if i % 4 == 1
+            else F.when(v % 7 == 0, F.lit("0000")).otherwise(text) if i % 4 == 2
+            else F.concat(F.lit("X"), text) if i % 4 == 3
+            else F.concat(F.lit("  "), text, F.lit(" "))
+        )
+
+    return feed(spark, sf_dir).withColumns(
+        {"trading_status": (k % 20).cast("string"), **{c: raw(i) for i, c in enumerate(EXTRAS, 1)}})
+
+
+def master_detail_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detail table with 20 clean columns; one in thirteen records differs in one."""
+    k = F.col("cir_key")
+
+    def clean(i: int):
+        v = _extra_number(i, k)
+        text = _lpad(v, 4)
+        out = (F.when(v % 5 == 0, F.lit("")).otherwise(F.concat(text, F.lit("D"))) if i % 4 == 1
+               else F.when(v % 7 == 0, F.lit("")).otherwise(text) if i % 4 == 2 else text)
+        return F.when(k % 13 == i % 13, F.lit("other")).otherwise(out) if i == 5 else out
+
+    return master_detail(spark, sf_dir).withColumns({c: clean(i) for i, c in enumerate(WIDE_MASTER_EXTRAS, 1)})
+
+
 # --- the same derivations as SQL (DuckDB dialect) ---------------------------
 
 SQL_FIXTURES = {

@@ -119,6 +119,51 @@ def diff_select(null_safe: bool = False, side: bool = False, hq_null: bool = Fal
             f"FULL OUTER JOIN (SELECT *, 1 AS _r FROM {rsrc}) m ON {cond}")
 
 
+# --- wide register: the standardised values, written out -------------------------
+
+def _wide_value(i: int, k: str) -> str:
+    v = f"(({k} * {i + 3}) % {50 + i})"
+    text = f"lpad(CAST({v} AS VARCHAR), 4, '0')"
+    if i % 4 == 1:
+        return f"CASE WHEN {v} % 5 = 0 THEN '' ELSE {text} || 'D' END"
+    if i % 4 == 2:
+        return f"CASE WHEN {v} % 7 = 0 THEN '' ELSE {text} END"
+    return text
+
+
+_WIDE_K = "CAST(left(reg_no, 9) AS BIGINT)"
+_WIDE_TRADING = f"CAST({_WIDE_K} % 20 AS VARCHAR)"
+_WIDE_EXTRAS = ", ".join(f"{_wide_value(i, _WIDE_K)} AS {c}" for i, c in enumerate(fx.EXTRAS, 1))
+_WIDE_CLEAN = ", ".join(
+    f"CASE WHEN CAST(cir_key AS BIGINT) % 13 = 5 THEN 'other' ELSE {_wide_value(i, 'CAST(cir_key AS BIGINT)')} END AS {c}"
+    if i == 5 else f"{_wide_value(i, 'CAST(cir_key AS BIGINT)')} AS {c}" for i, c in enumerate(fx.WIDE_MASTER_EXTRAS, 1))
+
+
+def wide_sql(select: str) -> str:
+    return with_fixtures(f"""WITH {FLOW_CTES},
+std_wide AS (SELECT * REPLACE ({_WIDE_TRADING} AS trading_status), {_WIDE_EXTRAS} FROM std),
+accepted_wide AS (
+  SELECT * REPLACE ({remove_first(_WIDE_TRADING, "'0'")} AS trading_status), {_WIDE_EXTRAS} FROM accepted),
+master_wide AS (SELECT *, {_WIDE_CLEAN} FROM master)
+{select}""", *FLOW_FIXTURES)
+
+
+def wide_diff(side: bool) -> str:
+    cols = [f"a.{c} AS l_{c}" for c in (*ACCEPTED_COLS, *fx.EXTRAS)]
+    cols += [f"m.{c} AS r_{c}" for c in (*MASTER_COLS, *fx.WIDE_MASTER_EXTRAS)]
+    if side:
+        cols.append("CASE WHEN a._l IS NOT NULL AND m._r IS NOT NULL THEN 'both' "
+                    "WHEN a._l IS NOT NULL THEN 'feed_only' ELSE 'master_only' END AS diff_side")
+    cond = " AND ".join(f"a.{k} = m.{k}" for k in fx.WIDE_DIFF_KEYS)
+    return wide_sql(f"SELECT {', '.join(cols)} FROM (SELECT *, 1 AS _l FROM accepted_wide) a "
+                    f"FULL OUTER JOIN (SELECT *, 1 AS _r FROM master_wide) m ON {cond}")
+
+
+ORACLES["std_feed_wide"] = wide_sql("SELECT * FROM std_wide")
+ORACLES["master_view_wide"] = wide_sql("SELECT * FROM master_wide")
+ORACLES["diff_27_keys"] = wide_diff(side=False)
+ORACLES["feed_reconciliation_wide"] = wide_diff(side=True)
+
 # --- delta counts ---------------------------------------------------------------
 
 def count_select(src: str, entity: str, process: str, as_of: str, created: str | None,
@@ -198,6 +243,11 @@ ORACLES["scan_filtered"] = with_fixtures(
 ORACLES["preview_limit"] = with_fixtures(
     f"SELECT {REGISTRY_LINE} AS value FROM orders_delta ORDER BY value LIMIT 10", "orders_delta")
 
+ORACLES["delta_on_day_created_only"] = with_fixtures("""
+SELECT 'orders' AS entity, 'orders_delta' AS process, count(*) FILTER (WHERE left(created, 10) = '1998-06-15') AS inserts,
+       CAST(NULL AS BIGINT) AS updates, CAST(NULL AS BIGINT) AS deletes, '1998-06-15' AS as_of
+FROM orders_delta""", "orders_delta")
+
 # --- filters -------------------------------------------------------------------------
 
 ORACLES["filter_not_blank"] = with_fixtures(
@@ -291,6 +341,15 @@ ORACLES["hq_unmatched_anti"] = flow_sql(
 ORACLES["union_accepted"] = flow_sql("SELECT * FROM accepted WHERE rejected_branch_record = 'N'")
 ORACLES["union_accepted_rejected"] = flow_sql("SELECT * FROM accepted")
 ORACLES["branch_flag"] = flow_sql("SELECT * FROM accepted")
+ORACLES["branch_flag_custom_rules"] = flow_sql("""
+SELECT CASE WHEN hq = '' OR hq IN (SELECT trim(reg_no) FROM valid WHERE ts_last_update IS NOT NULL AND trim(reg_no) <> '')
+         THEN 'N' ELSE 'Y' END AS rejected_branch_record,
+       trim(u.reg_no) AS reg_no, hq AS hq_no, s.parent_no, s.status_code, s.reg_name, s.country,
+       CASE WHEN strpos(s.trading_status, '0') = 0 THEN ''
+            ELSE left(s.trading_status, strpos(s.trading_status, '0') - 1)
+                 || substr(s.trading_status, strpos(s.trading_status, '0') + 1) END AS trading_status, s.cro_number
+FROM (SELECT *, CASE WHEN trim(replace(hq_no, '0', '')) = '' THEN '' ELSE trim(hq_no) END AS hq FROM looked_up) u
+JOIN std s ON s.reg_no = u.reg_no || 'D'""")
 ORACLES["master_view"] = flow_sql("SELECT * FROM master")
 ORACLES["diff_full_outer"] = flow_sql(diff_select())
 ORACLES["diff_full_outer_single"] = ORACLES["diff_full_outer"]

@@ -96,7 +96,8 @@ def src_fixed_width(spark, sf_dir):
     o = fx.table(spark, sf_dir, "orders")
     code = F.when(F.col("o_orderstatus") == "P", "1P").when(F.col("o_orderstatus") == "F", "2F").otherwise("3O")
     value = (
-        F.when(F.col("o_orderkey") % 9 == 0, F.substring(code, 1, 1))
+        F.when(F.col("o_orderkey") % 9 == 0, F.concat(F.substring(code, 1, 1), F.lit("\t")))
+        .when(F.col("o_orderkey") % 9 == 1, F.concat(code, F.lit("\t"), F.col("o_orderpriority"), F.lit(" \t ")))
         .otherwise(F.concat(code, F.lit(" "), F.col("o_orderpriority"), F.lit("  ")))
     )
     path = _write_lines(spark, o.select(value.alias("value")), "fixed_width")
@@ -116,7 +117,7 @@ def scan_filtered(spark, sf_dir):
 @query
 def preview_limit(spark, sf_dir):
     path = _write_lines(spark, registry_lines(spark, sf_dir), "preview")
-    return text.preview(text.read_lines(spark, path), 10)
+    return text.preview(text.read_lines(spark, path), 10, order_by="value")
 
 
 # --- filters ----------------------------------------------------------------
@@ -183,6 +184,14 @@ def delta_counts_on_day(spark, sf_dir):
     return _orders_counts(spark, sf_dir, mode="on", as_of=fx.AS_OF_ON_DAY)
 
 
+@query
+def delta_on_day_created_only(spark, sf_dir):
+    """Inserts of a day need the created column alone; the six fields of a day's row."""
+    counts = deltas.delta_counts(fx.orders_delta(spark, sf_dir), "1998-06-15", "created", mode="on",
+                                 entity="orders", process="orders_delta", job_time=fx.JOB_TIME)
+    return deltas.day_count_row(counts, "1998-06-15")
+
+
 @query
 def delta_counts_typed(spark, sf_dir):
     return deltas.delta_counts(
@@ -379,6 +388,57 @@ def branch_flag(spark, sf_dir):
     return fr.accepted_and_rejected(_flow(spark, sf_dir))
 
 
+@query
+def branch_flag_custom_rules(spark, sf_dir):
+    """Parent check under the spec's own key rules (letters stripped, blanks kept)."""
+    spec = fr.FeedSpec(rules={**fr.DEFAULT_RULES, "reg_no": rules.trim_text, "hq_no": rules.zero_to_blank})
+    flow = fr.feed_flow(fx.feed(spark, sf_dir), _lookup(spark), spec)
+    return fr.accepted_and_rejected(flow, spec)
+
+
+_EXTRA_RULES = {1: rules.suffix_key, 2: rules.zero_to_blank, 3: rules.strip_letters, 0: rules.trim_text}
+WIDE_SPEC = fr.FeedSpec(
+    columns=(*fr.FEED_COLUMNS, *fx.EXTRAS),
+    rules={**fr.DEFAULT_RULES, **{c: _EXTRA_RULES[i % 4] for i, c in enumerate(fx.EXTRAS, 1)}},
+)
+
+
+def _wide_mapping(detail, hub):
+    return {**fr.default_master_mapping(detail, hub), **{c: F.trim(detail[c]) for c in fx.WIDE_MASTER_EXTRAS}}
+
+
+def _wide_master(spark, sf_dir):
+    return fr.build_master(fx.master_detail_wide(spark, sf_dir), fx.master_hub(spark, sf_dir),
+                           {"cir_src": fx.HUB_SOURCE, "status": fx.HUB_ACTIVE}, mapping=_wide_mapping)
+
+
+@query
+def std_feed_wide(spark, sf_dir):
+    """37 columns, each through its rule."""
+    return fr.feed_flow(fx.feed_wide(spark, sf_dir), _lookup(spark), WIDE_SPEC)["std"]
+
+
+@query
+def master_view_wide(spark, sf_dir):
+    """31 columns."""
+    return _wide_master(spark, sf_dir)
+
+
+@query
+def diff_27_keys(spark, sf_dir):
+    flow = fr.feed_flow(fx.feed_wide(spark, sf_dir), _lookup(spark), WIDE_SPEC)
+    return reconcile.record_diff(fr.accepted_and_rejected(flow, WIDE_SPEC), _wide_master(spark, sf_dir), fx.WIDE_DIFF_KEYS)
+
+
+@query
+def feed_reconciliation_wide(spark, sf_dir):
+    """The whole job on the wide register."""
+    return fr.feed_reconciliation(
+        fx.feed_wide(spark, sf_dir), _lookup(spark), fx.master_detail_wide(spark, sf_dir), fx.master_hub(spark, sf_dir),
+        {"cir_src": fx.HUB_SOURCE, "status": fx.HUB_ACTIVE}, fx.WIDE_DIFF_KEYS, WIDE_SPEC, master_mapping=_wide_mapping,
+    ).diff
+
+
 def _master(spark, sf_dir):
     hub_filter = {"cir_src": fx.HUB_SOURCE, "status": fx.HUB_ACTIVE}
     return fr.build_master(fx.master_detail(spark, sf_dir), fx.master_hub(spark, sf_dir), hub_filter)

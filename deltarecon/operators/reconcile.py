@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 
 
@@ -109,11 +110,6 @@ def flag_missing_parent(
     return joined.select(flag.alias(flag_col), *[left[c] for c in rows.columns])
 
 
-def rename_columns(df: DataFrame, mapping: Mapping[str, Column | str]) -> DataFrame:
-    """Project ``df`` to ``{output name: expression or input column}``."""
-    return df.select(*[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in mapping.items()])
-
-
 def record_diff(
     left: DataFrame,
     right: DataFrame,
@@ -124,6 +120,7 @@ def record_diff(
     side_col: str | None = None,
     side_names: tuple[str, str, str] = ("both", "left_only", "right_only"),
     strategy: str = "split",
+    left_is_copy: bool = False,
 ) -> DataFrame:
     """Full outer join on ``keys``: matched pairs plus each side's leftovers.
 
@@ -143,6 +140,12 @@ def record_diff(
       and split, and the anti join probes right keys that a partial
       aggregation has already reduced to one row each. Put the side that is
       unique on its keys (the deduplicated feed) on the left.
+      Both joins are on one hash of the key columns, with the columns themselves
+      as a residual test: rows are shuffled and sorted by eight bytes instead of
+      by every key. Both branches read the left side, so it is written once to
+      the shared checkpoint folder first (``left_is_copy=True``: it already is a
+      written copy): it is computed once, and a record whose dedup had a tie is
+      the same record in both branches.
     * ``"full_outer"``: one sort-merge full outer join (one task per hot key).
 
     Output size is ``pairs + unmatched``; with the left side unique on its
@@ -150,28 +153,40 @@ def record_diff(
     """
     if strategy not in ("split", "full_outer"):
         raise ValueError("strategy must be 'split' or 'full_outer'")
-    lsel = left.select(*[F.col(c).alias(f"{left_prefix}{c}") for c in left.columns], F.lit(True).alias("_in_left"))
-    rsel = right.select(*[F.col(c).alias(f"{right_prefix}{c}") for c in right.columns], F.lit(True).alias("_in_right"))
+    split = strategy == "split"
+    if split and not left_is_copy:
+        left = materialize(left, "diff_left")
     lk = [f"{left_prefix}{k}" for k in keys]
     rk = [f"{right_prefix}{k}" for k in keys]
+    types = dict(left.dtypes)
+
+    def hashed(columns: Sequence[str]) -> list[Column]:
+        """The join key: equal columns give equal hashes (as one type on both sides)."""
+        return [F.xxhash64(*[F.col(c).cast(types[k]) for c, k in zip(columns, keys)]).alias("_h")] if split else []
+
+    lsel = left.select(*[F.col(c).alias(f"{left_prefix}{c}") for c in left.columns], F.lit(True).alias("_in_left"),
+                       *hashed(keys))
+    rsel = right.select(*[F.col(c).alias(f"{right_prefix}{c}") for c in right.columns], F.lit(True).alias("_in_right"),
+                        *hashed(keys))
 
     def cond(a: DataFrame, b: DataFrame, acols: list[str], bcols: list[str]) -> Column:
         eqs = [a[x].eqNullSafe(b[y]) if null_safe else a[x] == b[y] for x, y in zip(acols, bcols)]
-        return reduce(and_, eqs)
+        if not split:
+            return reduce(and_, eqs)
+        # In a coalesce the test stays a residual and doesn't become a join key.
+        return (a["_h"] == b["_h"]) & F.coalesce(reduce(and_, eqs), F.lit(False))
 
     out_cols = [f"{left_prefix}{c}" for c in left.columns] + [f"{right_prefix}{c}" for c in right.columns]
-    if strategy == "full_outer":
+    if not split:
         joined = lsel.join(rsel, cond(lsel, rsel, lk, rk), "full_outer")
     else:
         matched_and_right = rsel.join(lsel, cond(rsel, lsel, rk, lk), "left")
-        rkeys = right.select(*[F.col(k).alias(f"_rk_{i}") for i, k in enumerate(keys)]).distinct()
+        rkeys = right.select(*[F.col(k).alias(f"_rk_{i}") for i, k in enumerate(keys)], *hashed(keys)).distinct()
         left_only = lsel.join(rkeys, cond(lsel, rkeys, lk, [f"_rk_{i}" for i in range(len(keys))]), "left_anti")
-        left_only = left_only.select(
-            *[F.col(c) for c in lsel.columns],
-            *[F.lit(None).cast(t).alias(c) for c, t in rsel.dtypes if c != "_in_right"],
-            F.lit(None).cast("boolean").alias("_in_right"),
-        )
-        joined = matched_and_right.select(*lsel.columns, *rsel.columns).unionByName(left_only)
+        nulls = [F.lit(None).cast(t).alias(c) for c, t in rsel.drop("_h").dtypes]
+        shown = [lsel[c] for c in lsel.columns if c != "_h"]
+        joined = matched_and_right.select(*shown, *[rsel[c] for c in rsel.columns if c != "_h"]).unionByName(
+            left_only.select(*shown, *nulls))
     if side_col:
         both, lonly, ronly = side_names
         side = (

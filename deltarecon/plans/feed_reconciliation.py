@@ -1,6 +1,7 @@
 """Feed reconciliation: clean a record feed and diff it against the master.
 
-Steps (one lazy plan; the caller's write is the only action):
+Steps (the size probe of the lookup and the written copy of the accepted feed run when
+the plan is built; the rest is lazy):
 
 1. split on a blank name: valid rows go on, blank ones to the reject sink;
 2. latest version per record key (deterministic tie-break);
@@ -41,8 +42,9 @@ from ..operators.reconcile import (
     orphans,
     record_diff,
 )
-from ..session import materialize_to, scratch_path
+from ..session import materialize_to, remove_path, scratch_path
 from ..sinks.delimited import write_delimited
+from ..sources.tables import scan_filtered
 
 Rule = Callable[[Column], Column]
 
@@ -86,6 +88,11 @@ def standardize(df: DataFrame, columns: Sequence[str], rules: Mapping[str, Rule]
     return df.select(*[rules.get(c, trim_text)(F.col(c)).alias(c) for c in columns])
 
 
+def _injective(spec: FeedSpec) -> bool:
+    """Whether distinct raw keys stay distinct (non-blank ones, which alone can match)."""
+    return spec.rules.get(spec.key, trim_text) is suffix_key
+
+
 def feed_flow(feed: DataFrame, lookup: DataFrame, spec: FeedSpec = FeedSpec()) -> dict[str, DataFrame]:
     """The named intermediate results of steps 1-5 (all lazy)."""
     valid, reject = split_valid_reject(feed, spec.name, spec.null_names)
@@ -96,8 +103,10 @@ def feed_flow(feed: DataFrame, lookup: DataFrame, spec: FeedSpec = FeedSpec()) -
     # the key and stamp columns alone (a narrow partial aggregation), not from
     # the deduplicated rows, so the wide dedup is not evaluated twice.
     keys = dedup_keys(valid.filter(F.col(spec.ts).isNotNull()), spec.key).select(
-        suffix_key(F.col(spec.key)).alias(spec.key)
+        spec.rules.get(spec.key, trim_text)(F.col(spec.key)).alias(spec.key)
     )
+    if not _injective(spec):  # several raw keys may have become one
+        keys = keys.distinct()
     return {"valid": valid, "reject": reject, "dedup": dedup, "lookup_joined": looked_up, "std": std, "keys": keys}
 
 
@@ -114,7 +123,7 @@ def _finish(flagged: DataFrame, spec: FeedSpec) -> DataFrame:
 
 def accepted_and_rejected(flow: Mapping[str, DataFrame], spec: FeedSpec = FeedSpec()) -> DataFrame:
     """Step 5, one pass: every standardised row with its parent flag."""
-    # keys are distinct: distinct raw keys, and suffix_key is injective on non-blank ones
+    # keys are distinct: see feed_flow
     flagged = flag_missing_parent(flow["std"], flow["keys"], spec.parent, spec.key, spec.flag_col, keys_distinct=True)
     return _finish(flagged, spec)
 
@@ -153,11 +162,33 @@ def default_master_mapping(detail: DataFrame, hub: DataFrame) -> dict[str, Colum
     }
 
 
-def filter_equals(df: DataFrame, equalities: Mapping[str, object]) -> DataFrame:
-    """AND of ``column = value`` predicates (pushed into a Parquet scan)."""
-    for c, v in equalities.items():
-        df = df.filter(F.col(c) == F.lit(v))
-    return df
+MasterMapping = Callable[[DataFrame, DataFrame], Mapping[str, Column]]
+
+
+def named_master_mapping(columns: Mapping[str, str]) -> MasterMapping:
+    """A mapping from text: output column -> ``detail.col``, ``hub.col`` (both trimmed as
+    text), ``'constant'`` in single quotes, ``remove_first(side.col, side.col)``, or
+    ``remove_first(side.col, 'text')``."""
+
+    def column(text: str, sides: Mapping[str, DataFrame]) -> Column:
+        side, dot, name = text.strip().partition(".")
+        if not dot or side not in sides:
+            raise ValueError(f"{text!r} names no column of {sorted(sides)}")
+        return sides[side][name].cast("string")
+
+    def one(text: str, sides: Mapping[str, DataFrame]) -> Column:
+        text = text.strip()
+        if text.startswith("'") and text.endswith("'") and len(text) > 1:
+            return F.lit(text[1:-1])
+        if text.startswith("remove_first(") and text.endswith(")"):
+            value, _, search = text[len("remove_first("):-1].partition(",")
+            search = search.strip()
+            if search.startswith("'"):
+                return F.trim(remove_first(column(value, sides), literal=search.strip("'")))
+            return F.trim(remove_first(column(value, sides), column(search, sides)))
+        return F.trim(column(text, sides))
+
+    return lambda detail, hub: {n: one(t, {"detail": detail, "hub": hub}) for n, t in columns.items()}
 
 
 def build_master(
@@ -165,10 +196,10 @@ def build_master(
     hub: DataFrame,
     hub_filter: Mapping[str, object],
     key: str = "cir_key",
-    mapping: Callable[[DataFrame, DataFrame], Mapping[str, Column]] = default_master_mapping,
+    mapping: MasterMapping = default_master_mapping,
 ) -> DataFrame:
     """Master view: detail joined to the filtered hub on the surrogate key."""
-    h = filter_equals(hub, hub_filter)
+    h = scan_filtered(hub, **hub_filter)
     joined = detail.join(h, detail[key] == h[key], "inner")
     return joined.select(*[e.alias(n) for n, e in mapping(detail, h).items()])
 
@@ -181,10 +212,14 @@ class Reconciliation:
     rejects: DataFrame
     accepted: DataFrame
     master: DataFrame
-    # Intermediate copies under the checkpoint folder; remove them after the
-    # final writes (or leave them to the folder's retention policy).
+    # Intermediate copies under the checkpoint folder.
     scratch: tuple[str, ...] = ()
 
+    def drop_scratch(self) -> None:
+        """Deletes the intermediate copies; ``write_reconciliation`` does so at its end."""
+        for path in self.scratch:
+            remove_path(self.diff.sparkSession, path)
+
 
 def feed_reconciliation(
     feed: DataFrame,
@@ -197,6 +232,8 @@ def feed_reconciliation(
     side_names: tuple[str, str, str] = ("both", "feed_only", "master_only"),
     diff_strategy: str = "split",
     checkpoint_inputs: bool = True,
+    master_key: str = "cir_key",
+    master_mapping: MasterMapping = default_master_mapping,
 ) -> Reconciliation:
     """Steps 1-7 as lazy DataFrames.
 
@@ -209,13 +246,13 @@ def feed_reconciliation(
     """
     flow = feed_flow(feed, lookup, spec)
     accepted = accepted_and_rejected(flow, spec)
-    master = build_master(detail, hub, hub_filter)
+    master = build_master(detail, hub, hub_filter, master_key, master_mapping)
     scratch: tuple[str, ...] = ()
     if checkpoint_inputs and diff_strategy == "split":
         copy = scratch_path(accepted.sparkSession, "accepted_feed")
         accepted, scratch = materialize_to(accepted, copy), (copy,)
     diff = record_diff(accepted, master, diff_keys, side_col="diff_side", side_names=side_names,
-                       strategy=diff_strategy)
+                       strategy=diff_strategy, left_is_copy=bool(scratch))
     return Reconciliation(diff=diff, rejects=flow["reject"], accepted=accepted, master=master, scratch=scratch)
 
 
@@ -224,9 +261,14 @@ def write_reconciliation(rec: Reconciliation, result_path: str, reject_path: str
     """Write the diff as delimited records (both sides' columns) and the rejects.
 
     The diff is written first and the rejects last, so a failed run never
-    leaves a reject folder behind that would block the re-run.
+    leaves a reject folder behind that would block the re-run. The copies that
+    the plan made are deleted at the end, also of a failed run; ``rec`` can't be
+    read after that.
     """
     diff = rec.diff if label_sides else rec.diff.drop("diff_side")
-    write_delimited(diff, result_path, mode=mode)
-    if reject_path is not None:
-        write_delimited(rec.rejects, reject_path, mode=mode)
+    try:
+        write_delimited(diff, result_path, mode=mode)
+        if reject_path is not None:
+            write_delimited(rec.rejects, reject_path, mode=mode)
+    finally:
+        rec.drop_scratch()

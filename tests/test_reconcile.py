@@ -1,5 +1,6 @@
 """Joins of the reconciliation: diff semantics, parent flag forms, plans."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from deltarecon.harness import fixtures as fx
@@ -62,7 +63,7 @@ def test_lookup_is_broadcast_and_fans_out(spark):
 
 def test_master_filter_pushed_to_scan(spark):
     hub = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    f = fr.filter_equals(hub, {"o_orderstatus": "F", "o_orderpriority": "1-URGENT"})
+    f = fr.scan_filtered(hub, o_orderstatus="F", o_orderpriority="1-URGENT")
     plan = plan_text(f)
     assert "PushedFilters" in plan and "EqualTo(o_orderstatus,F)" in plan
 
@@ -130,3 +131,66 @@ def test_failed_diff_write_leaves_no_reject_folder(spark):
         fr.write_reconciliation(rec, result, rejects)
     with pytest.raises(Exception):
         spark.read.text(rejects).count()  # rejects were never written
+
+
+def test_diff_computes_the_left_side_once(spark):
+    """Two branches, one dedup; a tie can't give different records to them."""
+    from deltarecon.operators.dedup import latest_per_key
+    from deltarecon.operators.reconcile import record_diff
+
+    left = spark.range(400).selectExpr("id % 100 AS k", "cast(id % 2 AS string) AS v", "1 AS ts")
+    right = spark.range(120).selectExpr("id AS k", "cast(id % 2 AS string) AS v")
+    one = latest_per_key(left.repartition(7), "k", "ts", ())
+    diff = record_diff(one, right, ("k", "v"), side_col="side")
+    assert "Window" not in plan_text(diff)  # it ran once, before both branches
+    rows = diff.collect()
+    kept = [r.l_k for r in rows if r.l_k is not None]
+    assert sorted(kept) == list(range(100))
+    assert sorted(r.r_k for r in rows if r.r_k is not None) == list(range(120))
+
+
+def test_diff_joins_on_one_hash(spark):
+    from deltarecon.operators.reconcile import record_diff
+
+    cols = [f"cast(id % {i + 2} AS string) AS c{i}" for i in range(27)]
+    keys = [f"c{i}" for i in range(27)]
+    plan = plan_text(record_diff(spark.range(50).selectExpr(*cols), spark.range(60).selectExpr(*cols), keys))
+    joins = [x for x in plan.splitlines() if x.startswith("Left keys")]
+    assert joins and all(x.count("_h") == 1 and "c26" not in x for x in joins)
+
+
+def test_parent_check_uses_the_specs_key_rule(spark):
+    feed = spark.createDataFrame(
+        [("A", "", "1", "n", "2024-01-01", 1), ("B", "A", "1", "n", "2024-01-01", 2), ("C", "X", "1", "n", "2024-01-01", 3),
+         (" A", "", "1", "n", "2024-01-01", 4)], "reg_no string, hq_no string, status_code string, reg_name string, ts_last_update string, version_id int")
+    lookup = spark.createDataFrame([("1", "x")], "status_key string, status_description string")
+    spec = fr.FeedSpec(columns=("reg_no", "hq_no", "status_code", "reg_name", "ts_last_update"), rules={}, trading_status=None)
+    out = fr.accepted_and_rejected(fr.feed_flow(feed, lookup, spec), spec).collect()
+    assert sorted((r.reg_no, r.rejected_branch_record) for r in out) == [("A", "N"), ("A", "N"), ("B", "N"), ("C", "Y")]
+
+
+def test_named_master_mapping(spark):
+    detail = spark.createDataFrame([(1, " n ", "x0y")], "id int, name string, code string")
+    hub = spark.createDataFrame([(1, "SC123", "123")], "id int, a string, b string")
+    mapping = fr.named_master_mapping({"id": "detail.id", "name": "detail.name", "pre": "remove_first(hub.a, hub.b)",
+                                       "code": "remove_first(detail.code, '0')", "owner": "''"})
+    assert tuple(fr.build_master(detail, hub, {}, "id", mapping).first()) == ("1", "n", "SC23", "xy", "")
+    with pytest.raises(ValueError):
+        fr.build_master(detail, hub, {}, "id", fr.named_master_mapping({"x": "other.id"}))
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_scratch_is_deleted_after_the_write(spark, fails):
+    from deltarecon.session import path_exists, scratch_path
+
+    rec = fr.feed_reconciliation(fx.feed(spark, SF_SMALL), _lookup(spark), fx.master_detail(spark, SF_SMALL),
+                                 fx.master_hub(spark, SF_SMALL), {"cir_src": fx.HUB_SOURCE}, fx.DIFF_KEYS)
+    assert rec.scratch and all(path_exists(spark, p) for p in rec.scratch)
+    out = scratch_path(spark, "diff")
+    if fails:
+        spark.range(1).write.parquet(out)
+        with pytest.raises(Exception):
+            fr.write_reconciliation(rec, out)
+    else:
+        fr.write_reconciliation(rec, out)
+    assert not any(path_exists(spark, p) for p in rec.scratch)
