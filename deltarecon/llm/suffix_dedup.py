@@ -19,9 +19,9 @@ by interleave refinement: starting from the shards one after another, every
 round reads the symbols before the suffixes in the present order and deals the
 suffixes before them out by symbol, stably; after round r the interleave is the order
 by r symbols, and the borders between suffixes that differ show the common prefixes
-shorter than that. A symbol is a pair of bytes here, so fifty rounds find the
-intervals whose common prefix reaches ``LENGTH``. In each of them all but the earliest
-window are covered. No suffix is compared with one of another shard.
+shorter than that. Intervals of one suffix are final and leave the rounds. A symbol is
+a pair of bytes here, so fifty rounds find the intervals whose common prefix reaches
+``LENGTH``. In each of them all but the earliest window are covered. No suffix is compared with one of another shard.
 
 Skew: a passage that many documents share is one segment a block wherever its
 neighbourhood is the same, and equal texts are equal segments throughout. Segments at
@@ -44,13 +44,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deltarecon.llm.katz import _ddl, _mix, _pack, _part, _row, _tables, _unpack
+from deltarecon.llm.common import free_name
+from deltarecon.llm.packed import ddl, mix, pack, part_of, rows, unpack
 
 LENGTH = 100
 K = 32
 SPAN = LENGTH - K + 1  # K-byte strings in a window
 BLOCK_BYTES = 8 << 20
-PART_BYTES = 16 << 20
+PART_BYTES = 12 << 20
 PIECE = 1 << 19
 
 FIRST, COVERED, SEND = 0, 1, 2
@@ -101,7 +102,7 @@ def _segments(texts: list[bytes]) -> tuple[np.ndarray, ...]:
         number = np.array([i for i, _, _ in group])
         offset = np.array([o for _, o, _ in group]) - (ends - sizes)
         of = piece[starts]
-        out.append((number[of], starts + offset[of], stop - starts + 1, _mix(h[anchor[starts]])))
+        out.append((number[of], starts + offset[of], stop - starts + 1, mix(h[anchor[starts]])))
         group.clear()
 
     size = 0
@@ -124,12 +125,12 @@ class _Block:
     """A block's texts in order, their segments, and the distinct ones as they are sent."""
 
     def __init__(self, table: pa.Table, names: dict[str, str], parts: int) -> None:
-        rows = table[names["row"]].to_numpy().astype(np.int64)
+        nth = table[names["row"]].to_numpy().astype(np.int64)
         ids = table["doc_id"]
         none = ids.is_null().to_numpy(zero_copy_only=False).astype(np.int64)
-        order = np.lexsort((rows, ids.fill_null(0).to_numpy().astype(np.int64), none))
+        order = np.lexsort((nth, ids.fill_null(0).to_numpy().astype(np.int64), none))
         self.table = table.take(pa.array(order))
-        self.keys = np.stack([none[order], ids.fill_null(0).to_numpy().astype(np.int64)[order], rows[order]])
+        self.keys = np.stack([none[order], ids.fill_null(0).to_numpy().astype(np.int64)[order], nth[order]])
         self.texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in self.table["text"]]
         self.text, self.start, self.windows, self.anchor = _segments(self.texts)
         ends = (self.start + self.windows + LENGTH - 1).tolist()
@@ -141,7 +142,7 @@ class _Block:
         self.sent = order[new]  # by anchor and kind
         self.again = order[~new]  # covered within the block
         self.kind = kind[self.sent]
-        edges = np.searchsorted(_part(self.anchor[self.sent], parts), np.arange(parts + 1))
+        edges = np.searchsorted(part_of(self.anchor[self.sent], parts), np.arange(parts + 1))
         self.parts = list(zip(edges.tolist(), edges[1:].tolist()))
 
     def texts_of(self, segments: np.ndarray) -> tuple[np.ndarray, bytes]:
@@ -153,7 +154,7 @@ class _Block:
     def order_columns(self, segments: np.ndarray) -> dict[str, bytes]:
         """The documents of some segments, and which one each is of."""
         docs, which = np.unique(self.text[segments], return_inverse=True)
-        return {"docs": np.ascontiguousarray(self.keys[:, docs]).tobytes(), "which": _pack(which)}
+        return {"docs": pack(self.keys[:, docs].ravel().view(np.uint64)), "which": pack(which)}
 
 
 _ASK = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("anchors", pa.binary()), ("kinds", pa.binary()),
@@ -165,28 +166,28 @@ _ANSWER = pa.schema([("block", pa.int32()), ("step", pa.int32()), ("part", pa.in
 def _ask_kinds(table: pa.Table, names: dict[str, str], parts: int) -> pa.Table:
     b = _Block(table, names, parts)
     number = table[names["block"]][0].as_py()
-    rows = [_row(part=p, block=number, anchors=_pack(b.anchor[b.sent[lo:hi]]), kinds=_pack(b.kind[lo:hi]),
-                 starts=None, sizes=None, data=None, **b.order_columns(b.sent[lo:hi]))
-            for p, (lo, hi) in enumerate(b.parts) if hi > lo]
-    return _tables([r.select(_ASK.names) for r in rows], _ASK)
+    return rows(_ASK, [
+        dict(part=p, block=number, anchors=pack(b.anchor[b.sent[lo:hi]]), kinds=pack(b.kind[lo:hi]),
+             **b.order_columns(b.sent[lo:hi]))
+        for p, (lo, hi) in enumerate(b.parts) if hi > lo])
 
 
 def _ranks(asked: list[dict]) -> np.ndarray:
     """The place of each segment's document among all of the partition."""
-    docs = [np.frombuffer(x["docs"], np.int64).reshape(3, -1) for x in asked]
+    docs = [unpack(x["docs"]).astype(np.uint64).view(np.int64).reshape(3, -1) for x in asked]
     whole = np.concatenate(docs, axis=1)
     rank = np.empty(whole.shape[1], np.int64)
     rank[np.lexsort(whole[::-1])] = np.arange(whole.shape[1])
     at = np.cumsum([0, *(d.shape[1] for d in docs)])
-    return np.concatenate([rank[_unpack(x["which"]).astype(np.int64) + a] for x, a in zip(asked, at)])
+    return np.concatenate([rank[unpack(x["which"]).astype(np.int64) + a] for x, a in zip(asked, at)])
 
 
 def _answer_kinds(table: pa.Table) -> pa.Table:
     """For every segment sent: the first of its kind and anchor, a later one, or the
     first of one of several kinds."""
     asked = table.to_pylist()
-    anchors = np.concatenate([_unpack(x["anchors"]).astype(np.uint64) for x in asked])
-    kinds = np.concatenate([_unpack(x["kinds"]).astype(np.uint64) for x in asked])
+    anchors = np.concatenate([unpack(x["anchors"]).astype(np.uint64) for x in asked])
+    kinds = np.concatenate([unpack(x["kinds"]).astype(np.uint64) for x in asked])
     order = np.lexsort((_ranks(asked), kinds, anchors))
     a, k = anchors[order], kinds[order]
     other_anchor = np.concatenate([[True], a[1:] != a[:-1]])
@@ -195,9 +196,9 @@ def _answer_kinds(table: pa.Table) -> pa.Table:
     several = n_kinds[np.cumsum(other_anchor) - 1] > 1
     flags = np.empty(len(order), np.uint8)
     flags[order] = np.where(~first, COVERED, np.where(several, SEND, FIRST))
-    edges = np.cumsum([0, *(len(_unpack(x["anchors"])) for x in asked)])
-    return _tables([_row(block=x["block"], step=0, part=x["part"], flags=flags[lo:hi].tobytes())
-                    for x, lo, hi in zip(asked, edges, edges[1:])], _ANSWER)
+    edges = np.cumsum([0, *(len(unpack(x["anchors"])) for x in asked)])
+    return rows(_ANSWER, [dict(block=x["block"], step=0, part=x["part"], flags=flags[lo:hi].tobytes())
+                          for x, lo, hi in zip(asked, edges, edges[1:])])
 
 
 def _flags(answers: list[dict], step: int) -> dict[int, np.ndarray]:
@@ -208,15 +209,16 @@ def _ask_texts(docs: pa.Table, answers: pa.Table, names: dict[str, str], parts:
     if not docs.num_rows:
         return _ASK.empty_table()
     b = _Block(docs, names, parts)
-    rows = []
+    items = []
     for p, flags in sorted(_flags(answers.to_pylist(), 0).items()):
         lo, hi = b.parts[p]
         chosen = b.sent[lo:hi][flags == SEND]
         if len(chosen):
             sizes, data = b.texts_of(chosen)
-            rows.append(_row(part=p, block=docs[names["block"]][0].as_py(), anchors=None, kinds=None,
-                             starts=_pack(b.start[chosen]), sizes=_pack(sizes), data=data, **b.order_columns(chosen)))
-    return _tables([r.select(_ASK.names) for r in rows], _ASK)
+            items.append(dict(part=p, block=docs[names["block"]][0].as_py(), starts=pack(b.start[chosen]),
+                              sizes=pack(sizes), data=pa.compress(data, codec="zstd", asbytes=True),
+                              **b.order_columns(chosen)))
+    return rows(_ASK, items)
 
 
 def shard_suffixes(symbols: np.ndarray, shard: np.ndarray, strings: int) -> np.ndarray:
@@ -259,9 +261,14 @@ def shard_suffixes(symbols: np.ndarray, shard: np.ndarray, strings: int) -> np.n
     return order
 
 
-def merged_blocks(symbols: np.ndarray, shard: np.ndarray, strings: int) -> tuple[np.ndarray, np.ndarray]:
-    """The suffixes of all shards by their first ``LENGTH`` symbols, merged from the
-    shards' transforms, and for each the number of its interval of equal ones."""
+def repeated_intervals(symbols: np.ndarray, shard: np.ndarray, strings: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes whose first ``LENGTH`` symbols occur again, in the order of the
+    merged transforms, and the number of each one's interval of equal ones.
+
+    A suffix that is unlike all others by some round stays so, and so does every suffix
+    before it in its string: the interleave is refined only where an interval still
+    holds several suffixes, and the others are left out of the rounds that follow.
+    """
     order = shard_suffixes(symbols, shard, strings)
     n = len(order)
     inverse = np.empty(n, np.int32)
@@ -272,39 +279,37 @@ def merged_blocks(symbols: np.ndarray, shard: np.ndarray, strings: int) -> tuple
     if base > 256:
         raise ValueError("texts are not UTF-8")
     ends = np.flatnonzero(symbols == 0)
-    offset = np.arange(n) - np.repeat(np.concatenate([[0], ends[:-1] + 1]), np.diff(np.concatenate([[-1], ends])))
-    # The transform: the pair of symbols before each suffix in its shard's order, and
-    # where in that order the suffix that begins with the pair is.
-    before = np.zeros(n, np.uint16)
+    offset = np.arange(n, dtype=np.int32) - np.repeat(
+        np.concatenate([[0], ends[:-1] + 1]), np.diff(np.concatenate([[-1], ends]))).astype(np.int32)
     two = np.flatnonzero(offset >= 2)
-    before[two] = small[two - 2] * np.uint16(base) + small[two - 1]
-    before = before[order]
+    del offset
+    # The transform: the pair of symbols before each suffix in its shard's order (0:
+    # the string begins there), and where in that order the suffix with the pair is.
+    before = np.zeros(n, np.uint16)
+    before[inverse[two]] = small[two - 2] * np.uint16(base) + small[two - 1]
     jump = np.zeros(n, np.int32)
     jump[inverse[two]] = inverse[two - 2]
-    # Suffixes of one symbol or none end at once; they keep their place in every round.
-    fixed = np.sort(inverse[np.concatenate([ends, ends - 1])])
-    fixed_key = small[order[fixed]] * np.uint16(base)
-    fixed_block = np.arange(-len(fixed), 0, dtype=np.int32)
+    del inverse, two, small
 
+    # By no symbol all suffixes are equal, ends too; with one, an end is unlike all others,
+    # as is a suffix of one symbol with two: neither comes up again.
     at, block = np.arange(n, dtype=np.int32), np.zeros(n, np.int32)
     for _ in range(LENGTH // 2):
-        symbol = before[at]
-        some = symbol > 0
-        key = np.concatenate([fixed_key, symbol[some]])
+        key = before[at]
         by = np.argsort(key, kind="stable")
-        source = np.concatenate([fixed_block, block[some]])[by]
-        at = np.concatenate([fixed, jump[at[some]]])[by]
-        key = key[by]
-        new = np.zeros(n, bool)
-        new[1:] = (key[1:] != key[:-1]) | (source[1:] != source[:-1])
-        block = np.cumsum(new, dtype=np.int32)
+        by = by[np.searchsorted(key[by], 1):]
+        key, at, block = key[by], jump[at[by]], block[by]
+        new = np.ones(len(at), bool)
+        new[1:] = (key[1:] != key[:-1]) | (block[1:] != block[:-1])
+        several = ~(new & np.concatenate([new[1:], [True]]))
+        at, block = at[several], np.cumsum(new[several], dtype=np.int32)
     return order[at], block
 
 
 def _answer_texts(table: pa.Table) -> pa.Table:
     """For every window of the segments sent, whether it also starts earlier."""
     asked = sorted(table.to_pylist(), key=lambda x: x["block"])
-    sizes = [_unpack(x["sizes"]).astype(np.int64) for x in asked]
+    sizes = [unpack(x["sizes"]).astype(np.int64) for x in asked]
     size = np.concatenate(sizes)
     shard_of = np.repeat(np.arange(len(asked)), [len(s) for s in sizes])
     strings = len(size)
@@ -312,23 +317,27 @@ def _answer_texts(table: pa.Table) -> pa.Table:
     symbols = np.zeros(int(size.sum()) + strings, np.uint16)
     is_end = np.zeros(len(symbols), bool)
     is_end[np.cumsum(size + 1) - 1] = True
-    symbols[~is_end] = np.frombuffer(b"".join(x["data"] for x in asked), np.uint8).astype(np.uint16) + 1
-    suffix, block = merged_blocks(symbols, np.repeat(shard_of, size + 1), strings)
+    symbols[~is_end] = np.frombuffer(b"".join(
+        pa.decompress(x["data"], decompressed_size=int(n.sum()), codec="zstd", asbytes=True)
+        for x, n in zip(asked, sizes)), np.uint8).astype(np.uint16) + 1
+    suffix, block = repeated_intervals(symbols, np.repeat(shard_of, size + 1).astype(np.int32), strings)
 
     begin = np.cumsum(size + 1) - size - 1
-    starts = np.concatenate([_unpack(x["starts"]).astype(np.int64) for x in asked])
+    starts = np.concatenate([unpack(x["starts"]).astype(np.int64) for x in asked])
     first_byte = (_ranks(asked) << 36) + starts - begin  # plus the place: order of all windows
-    where = (np.repeat(first_byte, size + 1) + np.arange(len(symbols)))[suffix]
-    least = np.minimum.reduceat(where, np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])))
     covered = np.zeros(len(symbols), np.uint8)
-    covered[suffix] = where > least[block]
+    if len(suffix):
+        where = first_byte[np.searchsorted(begin, suffix, "right") - 1] + suffix
+        first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+        least = np.repeat(np.minimum.reduceat(where, first), np.diff(np.append(first, len(where))))
+        covered[suffix] = where > least
 
     windows = size - LENGTH + 1
     window = np.arange(int(windows.sum())) + np.repeat(begin - np.concatenate([[0], np.cumsum(windows)[:-1]]), windows)
     covered = covered[window]
     edges = np.cumsum([0, *(int(s.sum()) - (LENGTH - 1) * len(s) for s in sizes)])
-    return _tables([_row(block=x["block"], step=1, part=x["part"], flags=np.packbits(covered[lo:hi]).tobytes())
-                    for x, lo, hi in zip(asked, edges, edges[1:])], _ANSWER)
+    return rows(_ANSWER, [dict(block=x["block"], step=1, part=x["part"], flags=np.packbits(covered[lo:hi]).tobytes())
+                          for x, lo, hi in zip(asked, edges, edges[1:])])
 
 
 def _removed(b: _Block, answers: list[dict]) -> list[np.ndarray]:
@@ -362,8 +371,6 @@ def _removed(b: _Block, answers: list[dict]) -> list[np.ndarray]:
 
 
 def _dealt(docs: DataFrame, block_bytes: int, part_bytes: int) -> tuple[DataFrame, dict[str, str], int]:
-    from deltarecon.llm.common import free_name
-
     names = {n: free_name(docs, n) for n in ("row", "block")}
     size = int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     blocks, parts = max(1, -(-size // block_bytes)), max(1, -(-size // part_bytes))
@@ -376,11 +383,11 @@ def _removals(docs: DataFrame, finish, schema, block_bytes: int, part_bytes: int
     """Applies ``finish(block, removed)`` to every block."""
     dealt, names, parts = _dealt(docs, block_bytes, part_bytes)
     by_block = lambda: dealt.groupBy(names["block"])
-    kinds = by_block().applyInArrow(lambda t: _ask_kinds(t, names, parts), _ddl(_ASK))
-    kinds = kinds.groupBy("part").applyInArrow(_answer_kinds, _ddl(_ANSWER))
+    kinds = by_block().applyInArrow(lambda t: _ask_kinds(t, names, parts), ddl(_ASK))
+    kinds = kinds.groupBy("part").applyInArrow(_answer_kinds, ddl(_ANSWER))
     texts = by_block().cogroup(kinds.groupBy("block")).applyInArrow(
-        lambda d, a: _ask_texts(d, a, names, parts), _ddl(_ASK))
-    texts = texts.groupBy("part").applyInArrow(_answer_texts, _ddl(_ANSWER))
+        lambda d, a: _ask_texts(d, a, names, parts), ddl(_ASK))
+    texts = texts.groupBy("part").applyInArrow(_answer_texts, ddl(_ANSWER))
 
     def done(d: pa.Table, a: pa.Table) -> pa.Table:
         if not d.num_rows:
