@@ -25,7 +25,10 @@ a pair of bytes here, so fifty rounds find the intervals whose common prefix rea
 
 Skew: a passage that many documents share is one segment a block wherever its
 neighbourhood is the same, and equal texts are equal segments throughout. Segments at
-the edges of such a passage differ and meet in the partition of its anchor.
+the edges of such a passage differ and meet in the partition of its anchor. An anchor
+with more than ``hot_kinds`` kinds would be too much for one task: the windows of its
+segments are spread over all partitions by their own hashes (two of 64 bits) and
+compared by those.
 
 Cases: null is read as empty; texts shorter than ``LENGTH`` lose nothing; documents
 with a null id come last; rows of one id are ordered as they were read, so of repeated
@@ -54,7 +57,10 @@ BLOCK_BYTES = 8 << 20
 PART_BYTES = 12 << 20
 PIECE = 1 << 19
 
-FIRST, COVERED, SEND = 0, 1, 2
+# Kinds of one anchor up to which they are compared in one task (about 8 MB of text).
+HOT_KINDS = 50_000
+
+FIRST, COVERED, SEND, SPREAD = 0, 1, 2, 3
 
 
 def _hashes(data: np.ndarray) -> np.ndarray:
@@ -182,7 +188,7 @@ def _ranks(asked: list[dict]) -> np.ndarray:
     return np.concatenate([rank[unpack(x["which"]).astype(np.int64) + a] for x, a in zip(asked, at)])
 
 
-def _answer_kinds(table: pa.Table) -> pa.Table:
+def _answer_kinds(table: pa.Table, hot_kinds: int) -> pa.Table:
     """For every segment sent: the first of its kind and anchor, a later one, or the
     first of one of several kinds."""
     asked = table.to_pylist()
@@ -193,9 +199,9 @@ def _answer_kinds(table: pa.Table) -> pa.Table:
     other_anchor = np.concatenate([[True], a[1:] != a[:-1]])
     first = other_anchor | np.concatenate([[True], k[1:] != k[:-1]])
     n_kinds = np.add.reduceat(first.astype(np.int64), np.flatnonzero(other_anchor))
-    several = n_kinds[np.cumsum(other_anchor) - 1] > 1
+    n_kinds = n_kinds[np.cumsum(other_anchor) - 1]
     flags = np.empty(len(order), np.uint8)
-    flags[order] = np.where(~first, COVERED, np.where(several, SEND, FIRST))
+    flags[order] = np.select([~first, n_kinds == 1, n_kinds <= hot_kinds], [COVERED, FIRST, SEND], SPREAD)
     edges = np.cumsum([0, *(len(unpack(x["anchors"])) for x in asked)])
     return rows(_ANSWER, [dict(block=x["block"], step=0, part=x["part"], flags=flags[lo:hi].tobytes())
                           for x, lo, hi in zip(asked, edges, edges[1:])])
@@ -205,17 +211,55 @@ def _flags(answers: list[dict], step: int) -> dict[int, np.ndarray]:
     return {a["part"]: np.frombuffer(a["flags"], np.uint8) for a in answers if a["step"] == step}
 
 
+def _spread(b: _Block, flags_of: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of segments under hot anchors, by hash: text, start, both hashes."""
+    hot = [b.sent[b.parts[p][0]:b.parts[p][1]][f == SPREAD] for p, f in sorted(flags_of.items())]
+    hot = np.concatenate(hot) if hot else np.zeros(0, np.int64)
+    n = b.windows[hot]
+    text = np.repeat(b.text[hot], n)
+    start = np.arange(int(n.sum())) + np.repeat(b.start[hot] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) if len(hot) else text
+    strings = [b.texts[i][s:s + LENGTH] for i, s in zip(text.tolist(), start.tolist())]
+    one, two = (np.fromiter((xxhash.xxh64_intdigest(x, seed) for x in strings), np.uint64, len(strings)) for seed in (1, 2))
+    order = np.lexsort((start, text, two, one))
+    return text[order], start[order], one[order], two[order]
+
+
+def _ask_windows(b: _Block, spread: tuple, number: int, parts: int) -> list[dict]:
+    text, start, one, two = spread
+    edges = np.searchsorted(part_of(one, parts), np.arange(parts + 1)).tolist()
+    items = []
+    for p, (lo, hi) in enumerate(zip(edges, edges[1:])):
+        if hi > lo:
+            docs, which = np.unique(text[lo:hi], return_inverse=True)
+            items.append(dict(part=p, block=number, anchors=pack(one[lo:hi]), kinds=pack(two[lo:hi]), starts=pack(start[lo:hi]),
+                              docs=pack(b.keys[:, docs].ravel().view(np.uint64)), which=pack(which)))
+    return items
+
+
+def _answer_windows(asked: list[dict]) -> list[dict]:
+    """For windows sent by their hashes, whether each also starts earlier."""
+    one, two, start = (np.concatenate([unpack(x[c]).astype(np.uint64) for x in asked]) for c in ("anchors", "kinds", "starts"))
+    order = np.lexsort((start, _ranks(asked), two, one))
+    covered = np.zeros(len(order), np.uint8)
+    covered[order[1:]] = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
+    edges = np.cumsum([0, *(len(unpack(x["anchors"])) for x in asked)])
+    return [dict(block=x["block"], step=2, part=x["part"], flags=np.packbits(covered[lo:hi]).tobytes())
+            for x, lo, hi in zip(asked, edges, edges[1:])]
+
+
 def _ask_texts(docs: pa.Table, answers: pa.Table, names: dict[str, str], parts: int) -> pa.Table:
     if not docs.num_rows:
         return _ASK.empty_table()
     b = _Block(docs, names, parts)
-    items = []
-    for p, flags in sorted(_flags(answers.to_pylist(), 0).items()):
+    flags_of = _flags(answers.to_pylist(), 0)
+    number = docs[names["block"]][0].as_py()
+    items = _ask_windows(b, _spread(b, flags_of), number, parts)
+    for p, flags in sorted(flags_of.items()):
         lo, hi = b.parts[p]
         chosen = b.sent[lo:hi][flags == SEND]
         if len(chosen):
             sizes, data = b.texts_of(chosen)
-            items.append(dict(part=p, block=docs[names["block"]][0].as_py(), starts=pack(b.start[chosen]),
+            items.append(dict(part=p, block=number, starts=pack(b.start[chosen]),
                               sizes=pack(sizes), data=pa.compress(data, codec="zstd", asbytes=True),
                               **b.order_columns(chosen)))
     return rows(_ASK, items)
@@ -309,6 +353,13 @@ def repeated_intervals(symbols: np.ndarray, shard: np.ndarray, strings: int) ->
 def _answer_texts(table: pa.Table) -> pa.Table:
     """For every window of the segments sent, whether it also starts earlier."""
     asked = sorted(table.to_pylist(), key=lambda x: x["block"])
+    by_hash = [x for x in asked if x["data"] is None]
+    answers = _answer_windows(by_hash) if by_hash else []
+    asked = [x for x in asked if x["data"] is not None]
+    return rows(_ANSWER, answers + (_answer_shards(asked) if asked else []))
+
+
+def _answer_shards(asked: list[dict]) -> list[dict]:
     sizes = [unpack(x["sizes"]).astype(np.int64) for x in asked]
     size = np.concatenate(sizes)
     shard_of = np.repeat(np.arange(len(asked)), [len(s) for s in sizes])
@@ -336,11 +387,11 @@ def _answer_texts(table: pa.Table) -> pa.Table:
     window = np.arange(int(windows.sum())) + np.repeat(begin - np.concatenate([[0], np.cumsum(windows)[:-1]]), windows)
     covered = covered[window]
     edges = np.cumsum([0, *(int(s.sum()) - (LENGTH - 1) * len(s) for s in sizes)])
-    return rows(_ANSWER, [dict(block=x["block"], step=1, part=x["part"], flags=np.packbits(covered[lo:hi]).tobytes())
-                          for x, lo, hi in zip(asked, edges, edges[1:])])
+    return [dict(block=x["block"], step=1, part=x["part"], flags=np.packbits(covered[lo:hi]).tobytes())
+            for x, lo, hi in zip(asked, edges, edges[1:])]
 
 
-def _removed(b: _Block, answers: list[dict]) -> list[np.ndarray]:
+def _removed(b: _Block, answers: list[dict], parts: int) -> list[np.ndarray]:
     """For each text, which bytes go."""
     kinds, texts = _flags(answers, 0), _flags(answers, 1)
     whole, some_text, some_start = [b.again], [], []
@@ -354,6 +405,12 @@ def _removed(b: _Block, answers: list[dict]) -> list[np.ndarray]:
             starts = np.arange(int(n.sum())) + np.repeat(b.start[chosen] - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
             some_text.append(np.repeat(b.text[chosen], n)[bits])
             some_start.append(starts[bits])
+    text, start, one, _ = _spread(b, kinds)
+    for p, flags in sorted(_flags(answers, 2).items()):
+        mine = np.flatnonzero(part_of(one, parts) == p)
+        bits = np.unpackbits(flags, count=len(mine)).astype(bool)
+        some_text.append(text[mine][bits])
+        some_start.append(start[mine][bits])
     w = np.concatenate(whole)
     text = np.concatenate([b.text[w], *some_text])
     start = np.concatenate([b.start[w], *some_start])
@@ -379,12 +436,12 @@ def _dealt(docs: DataFrame, block_bytes: int, part_bytes: int) -> tuple[DataFram
     return docs.withColumns({names["row"]: row, names["block"]: block}).repartition(names["block"]), names, parts
 
 
-def _removals(docs: DataFrame, finish, schema, block_bytes: int, part_bytes: int) -> DataFrame:
+def _removals(docs: DataFrame, finish, schema, block_bytes: int, part_bytes: int, hot_kinds: int) -> DataFrame:
     """Applies ``finish(block, removed)`` to every block."""
     dealt, names, parts = _dealt(docs, block_bytes, part_bytes)
     by_block = lambda: dealt.groupBy(names["block"])
     kinds = by_block().applyInArrow(lambda t: _ask_kinds(t, names, parts), ddl(_ASK))
-    kinds = kinds.groupBy("part").applyInArrow(_answer_kinds, ddl(_ANSWER))
+    kinds = kinds.groupBy("part").applyInArrow(lambda t: _answer_kinds(t, hot_kinds), ddl(_ANSWER))
     texts = by_block().cogroup(kinds.groupBy("block")).applyInArrow(
         lambda d, a: _ask_texts(d, a, names, parts), ddl(_ASK))
     texts = texts.groupBy("part").applyInArrow(_answer_texts, ddl(_ANSWER))
@@ -393,12 +450,13 @@ def _removals(docs: DataFrame, finish, schema, block_bytes: int, part_bytes: int
         if not d.num_rows:
             return finish(None, [], d)
         b = _Block(d, names, parts)
-        return finish(b, _removed(b, a.to_pylist()), d)
+        return finish(b, _removed(b, a.to_pylist(), parts), d)
 
     return by_block().cogroup(kinds.union(texts).groupBy("block")).applyInArrow(done, schema)
 
 
-def repeat_report(docs: DataFrame, block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES) -> DataFrame:
+def repeat_report(docs: DataFrame, block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES,
+                  hot_kinds: int = HOT_KINDS) -> DataFrame:
     """Per document: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` (runs of removed
     bytes), ``kept_sha256`` of the bytes that stay."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -415,10 +473,12 @@ def repeat_report(docs: DataFrame, block_bytes: int = BLOCK_BYTES, part_bytes: i
             "kept_sha256": pa.array(kept, pa.string())})
 
     return _removals(docs.select("doc_id", "text"), finish,
-                     f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string", block_bytes, part_bytes)
+                     f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
+                     block_bytes, part_bytes, hot_kinds)
 
 
-def without_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES) -> DataFrame:
+def without_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES,
+                    hot_kinds: int = HOT_KINDS) -> DataFrame:
     """``docs`` with repeated strings removed from ``text`` (a character that a removal
     cuts goes whole) and ``n_chars``, where present, as the new text has it. Documents
     that lose all their text are left out."""
@@ -443,4 +503,4 @@ def without_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, part_bytes:
             out = out.set_column(columns.index("n_chars"), "n_chars", pa.array(new, out.schema.field("n_chars").type))
         return out.filter(pa.array([not x for x in lost]))
 
-    return _removals(docs, finish, schema, block_bytes, part_bytes)
+    return _removals(docs, finish, schema, block_bytes, part_bytes, hot_kinds)

@@ -73,6 +73,14 @@ def test_planted_passages_in_many_blocks(make_docs):
     assert got(make_docs(rows)) == want
 
 
+def test_hot_anchors_are_spread(make_docs):
+    rows = [(k, t) for k, (_, t) in enumerate(planted(random.Random(5), 60))]
+    rows += [(500 + k, f"{k * 7919} own words {k} " + rows[3][1][:300] + f" and an end {k * 31}") for k in range(60)]
+    want = brute(rows)
+    for hot in (1, 5):
+        assert got(make_docs(rows), block_bytes=4_000, part_bytes=9_000, hot_kinds=hot) == want
+
+
 def test_whole_small_table(make_docs, docs_small):
     assert got(make_docs(docs_small), block_bytes=60_000, part_bytes=150_000) == brute(docs_small)
 
