@@ -117,7 +117,10 @@ def quality_report(docs: DataFrame) -> DataFrame:
 def clean(docs: DataFrame) -> DataFrame:
     """The kept documents with their failing lines removed; the columns of
     ``docs``, ``n_chars`` (where present) as the cleaned text has it."""
-    kept = quality_measures(docs.withColumnRenamed("quality", "__quality")).filter("quality.kept")
+    # A filter on a computed column is pushed below it, where the expressions behind it
+    # would be written out in place, once for every use; not past a row number.
+    measured = quality_measures(docs.withColumnRenamed("quality", "__quality"))
+    kept = measured.withColumn("__row", F.monotonically_increasing_id()).filter("quality.kept and __row >= 0")
     new = {"text": F.col("quality.cleaned")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.char_length("quality.cleaned").cast(docs.schema["n_chars"].dataType)

@@ -53,3 +53,14 @@ def test_lines_go_then_documents(make_docs):
     rows = [(1, good + "\nHome\nAll rights reserved."), (2, nav + "\n" + good[:120]), (3, good)]
     kept = {r["doc_id"]: r["text"] for r in q.clean(make_docs(rows)).collect()}
     assert kept == {1: good, 3: good}
+
+
+def test_filter_stays_above_the_measures(make_docs):
+    """The verdict's filter must not pull the expressions behind it into itself."""
+    from tests.conftest import plan_text
+
+    long = "\n".join(" ".join(f"w{i}x{j}" for j in range(20)) + "." for i in range(2000))
+    df = q.clean(make_docs([(1, long)]))
+    line = next(x for x in plan_text(df).splitlines() if x.startswith("Condition"))
+    assert "kept" in line and "split" not in line and "regexp" not in line.lower()
+    assert df.count() == 1
