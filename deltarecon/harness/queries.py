@@ -528,7 +528,7 @@ def sink_overwrite_counts(spark, sf_dir):
     path = scratch_path(spark, "counts")
     for _ in range(2):  # the second run replaces the first; two tables per chunk
         delta_sweep.run_delta_counts(registry_frame(spark), resolve, fx.AS_OF_SINCE, path,
-                                     job_time=fx.JOB_TIME, chunk_tables=2)
+                                     job_time=fx.JOB_TIME, batch_tables=2)
     return count_sources.read_count_rows(spark, path)
 
 
