@@ -36,12 +36,14 @@ _GAP = ord("_")  # between words
 
 
 class Encoder:
-    """Bundles texts; n-gram vectors are made when first met."""
+    """Counts n-grams and bundles them; n-gram vectors are made when first met."""
 
     def __init__(self) -> None:
         self.letters: dict[int, np.ndarray] = {}
-        self.known = np.zeros(0, np.int64)
-        self.vectors = np.zeros((0, DIMS), np.float32)
+        self.kind = np.full(0x110000, 2, np.uint8)  # 1 a letter, 0 none, 2 not looked up yet
+        self.known = np.zeros(0, np.int64)  # ascending, with the row of each in vectors
+        self.row = np.zeros(0, np.int64)
+        self.vectors = np.zeros((256, DIMS), np.float32)
 
     def letter(self, code: int) -> np.ndarray:
         if code not in self.letters:
@@ -54,54 +56,99 @@ class Encoder:
             out *= np.roll(self.letter(key >> 21 * (N - 1 - place) & 0x1FFFFF), N - 1 - place)
         return out
 
-    def _places(self, keys: np.ndarray) -> np.ndarray:
-        """Rows of the vectors of ``keys`` (distinct, ascending)."""
+    def _vectors_of(self, keys: np.ndarray) -> np.ndarray:
+        """The vectors of ``keys`` (distinct, ascending)."""
         new = np.setdiff1d(keys, self.known, assume_unique=True)
         if len(new):
             if len(self.known) + len(new) > MAX_GRAMS:
                 new = keys
-                self.known, self.vectors = np.zeros(0, np.int64), np.zeros((0, DIMS), np.float32)
-            made = np.stack([self.gram(int(k)) for k in new])
-            order = np.argsort(np.concatenate([self.known, new]), kind="stable")
-            self.known = np.concatenate([self.known, new])[order]
-            self.vectors = np.concatenate([self.vectors, made])[order]
-        return np.searchsorted(self.known, keys)
-
-    def bundle(self, text: str | None) -> np.ndarray | None:
-        """The sum of the text's n-gram vectors; None without a letter."""
-        total = None
+                self.known, self.row = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            at, end = len(self.known), len(self.known) + len(new)
+            if end > len(self.vectors):
+                self.vectors = np.concatenate([self.vectors[:at], np.zeros((max(end, 2 * at) - at, DIMS), np.float32)])
+            for i, key in enumerate(new.tolist(), at):
+                self.vectors[i] = self.gram(key)
+            place = np.searchsorted(self.known, new)
+            self.known = np.insert(self.known, place, new)
+            self.row = np.insert(self.row, place, np.arange(at, end))
+        return self.vectors[self.row[np.searchsorted(self.known, keys)]]
+
+    def grams(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct n-grams of a text and their counts; none without a letter."""
+        keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         text = (text or "").lower()
         for at in range(0, len(text), PIECE):
             codes = np.frombuffer(text[max(0, at - N + 1):at + PIECE].encode("utf-32-le"), "<u4").astype(np.int64)
-            present = np.unique(codes)
-            letters = present[[chr(c).isalpha() for c in present.tolist()]]
-            if not len(letters):
+            kind = self.kind[codes]
+            if (kind == 2).any():
+                for c in np.unique(codes[kind == 2]).tolist():
+                    self.kind[c] = chr(c).isalpha()
+                kind = self.kind[codes]
+            if not kind.any():
                 continue
-            codes = np.where(np.isin(codes, letters), codes, _GAP)
+            codes = np.where(kind == 1, codes, _GAP)
             codes = codes[np.concatenate([[True], (codes[1:] != _GAP) | (codes[:-1] != _GAP)])]
             codes = np.concatenate([[_GAP], codes, [_GAP]]) if len(text) <= PIECE else codes
             if len(codes) < N:
                 codes = np.concatenate([codes, [_GAP] * (N - len(codes))])
-            keys = sum(codes[i:len(codes) - N + 1 + i] << 21 * (N - 1 - i) for i in range(N))
-            distinct, counts = np.unique(keys, return_counts=True)
-            part = np.zeros(DIMS, np.float64)
-            for i in range(0, len(distinct), 4096):
-                rows = self._places(distinct[i:i + 4096])
-                part += counts[i:i + 4096].astype(np.float32) @ self.vectors[rows]
-            total = part if total is None else total + part
-        return total
+            key = sum(codes[i:len(codes) - N + 1 + i] << 21 * (N - 1 - i) for i in range(N))
+            distinct, n = np.unique(key, return_counts=True)
+            keys.append(distinct)
+            counts.append(n)
+        return _added(keys, counts)
+
+    def bundles(self, grams: list[tuple[np.ndarray, np.ndarray]], kind: type = np.float32) -> np.ndarray:
+        """For each text's n-grams the sum of their vectors."""
+        out = np.zeros((len(grams), DIMS), np.float64)
+        for first in range(0, len(grams), _TEXTS):
+            some = grams[first:first + _TEXTS]
+            sizes = [len(k) for k, _ in some]
+            text = np.repeat(np.arange(len(some)), sizes)
+            distinct, which = np.unique(np.concatenate([k for k, _ in some]), return_inverse=True)
+            n = np.concatenate([c for _, c in some]).astype(kind)
+            for at in range(0, len(distinct), 4096):
+                inside = (which >= at) & (which < at + 4096)
+                counts = np.zeros((len(some), min(4096, len(distinct) - at)), kind)
+                counts[text[inside], which[inside] - at] = n[inside]
+                out[first:first + _TEXTS] += counts @ self._vectors_of(distinct[at:at + 4096]).astype(kind, copy=False)
+        return out
+
+    def bundle(self, text: str | None) -> np.ndarray | None:
+        """The sum of one text's n-gram vectors; None without a letter."""
+        grams = self.grams(text)
+        return self.bundles([grams])[0] if len(grams[0]) else None
+
+
+_TEXTS = 64  # bundled in one product
+
+
+def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of equal keys added up."""
+    if len(keys) <= 2:
+        return keys[-1], counts[-1]
+    distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
+    return distinct, np.bincount(which, np.concatenate(counts), len(distinct)).astype(np.int64)
 
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of ``(lang, text)``: one vector per language of this task."""
-    encoder, sums = Encoder(), {}
+    """Of ``(lang, text)``: one vector per language of this task. A language's counts
+    are added up first and bundled once."""
+    encoder = Encoder()
+    seen: dict[str, tuple[list, list]] = {}
     for b in batches:
         for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
-            vector = encoder.bundle(text.as_py())
-            if vector is not None:
-                sums[lang] = sums.get(lang, 0) + vector
-    for lang, vector in sums.items():
-        yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([vector.astype(np.int64).tolist()])], ["lang", "sums"])
+            grams = encoder.grams(text.as_py())
+            keys, counts = seen.setdefault(lang, ([], []))
+            keys.append(grams[0])
+            counts.append(grams[1])
+            if len(keys) > 500:
+                whole = _added(keys, counts)
+                seen[lang] = [whole[0]], [whole[1]]
+    for lang, (keys, counts) in seen.items():
+        grams = _added([np.zeros(0, np.int64), *keys], [np.zeros(0, np.int64), *counts])
+        if len(grams[0]):
+            vector = encoder.bundles([grams], np.float64)[0]
+            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([vector.astype(np.int64).tolist()])], ["lang", "sums"])
 
 
 def prototypes(training: DataFrame) -> dict[str, np.ndarray]:
@@ -129,15 +176,20 @@ def identify(docs: DataFrame, training: DataFrame) -> DataFrame:
         encoder = Encoder()
         for b in batches:
             langs, scores = [], []
-            for text in b.column(b.num_columns - 1):
-                vector = encoder.bundle(text.as_py()) if names else None
-                lang, score = UNKNOWN, 0.0
-                if vector is not None:
-                    cosines = matrix @ vector / (np.linalg.norm(vector) or 1.0)
-                    best = int(np.argmax(cosines))
-                    lang, score = names[best], float(min(1.0, max(0.0, cosines[best])))
-                langs.append(lang)
-                scores.append(score)
+            for at in range(0, b.num_rows, _TEXTS):
+                texts = b.column(b.num_columns - 1).slice(at, _TEXTS)
+                grams = [encoder.grams(t.as_py()) for t in texts]
+                vectors = encoder.bundles(grams)
+                norms = np.linalg.norm(vectors, axis=1)
+                cosines = (vectors @ matrix.T) / np.where(norms > 0, norms, 1.0)[:, None]
+                for (keys, _), row in zip(grams, cosines):
+                    if len(keys) and names:
+                        best = int(np.argmax(row))
+                        langs.append(names[best])
+                        scores.append(float(min(1.0, max(0.0, row[best]))))
+                    else:
+                        langs.append(UNKNOWN)
+                        scores.append(0.0)
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 [*b.schema.names[:-1], "lang_pred", "score"])
