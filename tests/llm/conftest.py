@@ -1,5 +1,3 @@
-import os
-
 import duckdb
 import pytest
 
@@ -22,4 +20,3 @@ def make_docs(spark):  # noqa: F811
     return make
 
 
-os.environ.setdefault("PYTHONHASHSEED", "0")
