@@ -4,15 +4,20 @@ A word that was disguised is restored before it is judged. Its characters span a
 lattice: each may stand for itself, for the letters it imitates (leetspeak), be a
 separator put between letters, or repeat the letter before; each choice has a
 channel cost, and a character language model of the corpus scores the letters
-read. Viterbi decoding finds the best reading. Single letters spaced out over
-several words are one lattice. Words of letters only have one reading and skip
-the lattice.
+read. Viterbi decoding finds the best reading. A word skips the lattice only if it
+is all letters, none of them doubled, between marks that imitate no letter.
+
+A word can have several readings, of which the judge takes the one that gains most:
+the word as it is, if it is all letters and none is tripled; the best one; and the
+best one that repeats no letter and leaves out only punctuation, so that "a$$" isn't
+only "a" or "as". A word without a letter is read if two different marks in it
+imitate some and it isn't a number.
 
 The judge is learned from restored words: of the distinct labelled training
 texts, for every word and its first ``STEM`` letters, how many of the toxic and of
 all texts hold it. A feature's precision is shrunk towards the base rate, and a
-text's log-odds are the base rate's plus, for each distinct word, the gain of its
-best feature.
+text's log-odds are the base rate's plus, for each distinct word of the readings
+taken, the gain of its best feature.
 
 Bounds: the character model has 28 classes, so 28 ** 3 counts whatever the corpus,
 and counts all of it. The judge learns from at most ``TRAIN_ROWS`` labelled rows,
@@ -32,6 +37,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +51,8 @@ MIN_GAIN = 2.0
 PRIOR_WEIGHT = 6.0
 STEM = 6
 THRESHOLD = 0.7
-MAX_WORD = 40  # characters of a lattice; longer words are read in such pieces
+SPAN = 40  # characters after which the lattice settles what all paths agree on
+MAX_OPEN = 2_000  # letters that may be left open; then the best path alone goes on
 CACHE = 400_000
 
 # What characters imitate, and the channel's costs in nats.
@@ -54,10 +61,15 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 COST_LEET, COST_REPEAT = 0.7, 1.6
 COST_DROP = 1.0  # of a character that imitates no letter
 COST_DROP_EDGE, COST_DROP_INSIDE = 3.0, 9.0  # of one that does, beside and between letters
+PUNCTUATION = "!|+(¡"  # what else those of LEET stand beside words for
 EDGE, OTHER = "^", "~"
 _PLAIN = re.compile(r"[^\W\d_]+")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
-_TRIPLE = re.compile(r"(.)\1\1")
+_DOUBLE = re.compile(r"(.)\1")
+_TRIPLE = re.compile(r"(.)\1\1+")
+_MARK = re.compile("[" + re.escape("".join(LEET)) + "]")
+_IDLE = re.compile(rf"^(?:(?!{_MARK.pattern})[\W_])+|(?:(?!{_MARK.pattern})[\W_])+$")
+_NUMBER = re.compile(r"[(+\-]*[$€£§]?[\d.,:;/%+\-]+[$€£]?[).,:;!?]*")
 
 
 def _classes(word: str) -> str:
@@ -103,45 +115,75 @@ class Restorer:
         p = self.model.get(two + c)
         return p if p is not None else self.model.get(two, self.unseen)
 
-    def decode(self, chars: str) -> str:
-        """The best reading of one lattice, letters only."""
+    def decode(self, chars: str, literal: bool = False) -> str:
+        """The best reading of one lattice, letters only. A literal one repeats no letter
+        and drops no imitation but ``PUNCTUATION``."""
         # By the last two classes and the last letter: cost and reading.
         paths: dict[tuple[str, str], tuple[float, str]] = {(EDGE * 2, ""): (0.0, "")}
         letters = [i for i, c in enumerate(chars) if c.isalpha()] or [0]
+        settled = []
         for i, c in enumerate(chars):
             inside = letters[0] < i < letters[-1]
             drop = COST_DROP if c not in LEET else COST_DROP_INSIDE if inside else COST_DROP_EDGE
+            can_drop = not c.isalpha() and not (literal and c in LEET and c not in PUNCTUATION)
+            readings = [(c, 0.0)] if c.isalpha() else [(x, COST_LEET) for x in LEET.get(c, "")]
+            readings = [(x, x if "a" <= x <= "z" else OTHER, extra) for x, extra in readings]
             nxt: dict[tuple[str, str], tuple[float, str]] = {}
-
-            def offer(key: tuple[str, str], cost: float, read: str) -> None:
-                if key not in nxt or (cost, read) < nxt[key]:
-                    nxt[key] = cost, read
-
             for (two, last), (cost, read) in paths.items():
-                readings = [(c, 0.0)] if c.isalpha() else [(x, COST_LEET) for x in LEET.get(c, "")]
-                for letter, extra in readings:
-                    k = letter if "a" <= letter <= "z" else OTHER
-                    offer((two[1] + k, letter), cost + extra - self._step(two, k), read + letter)
-                    if letter == last:
-                        offer((two, last), cost + extra + COST_REPEAT, read)
-                if not c.isalpha():
-                    offer((two, last), cost + drop, read)
+                offers = []
+                for letter, k, extra in readings:
+                    offers.append(((two[1] + k, letter), (cost + extra - self._step(two, k), read + letter)))
+                    if letter == last and not literal:
+                        offers.append(((two, last), (cost + extra + COST_REPEAT, read)))
+                if can_drop:
+                    offers.append(((two, last), (cost + drop, read)))
+                for key, path in offers:
+                    if key not in nxt or path < nxt[key]:
+                        nxt[key] = path
             paths = nxt
-        return min((cost - self._step(two, EDGE), read) for (two, _), (cost, read) in paths.items())[1]
-
-    def word(self, word: str) -> str:
-        """A restored word; empty if nothing in it is a letter or imitates one."""
+            if i % SPAN == SPAN - 1:
+                paths = self._settle(paths, settled)
+        settled.append(min((cost - self._step(two, EDGE), read) for (two, _), (cost, read) in paths.items())[1])
+        return "".join(settled)
+
+    def _unrepeated(self, word: str) -> str:
+        """``decode`` for letters only, none tripled: each doubled one is decided on its own."""
+        s, out, done = EDGE + _classes(word) + EDGE, "", 0
+        for m in _DOUBLE.finditer(word):
+            i = m.start()
+            two, x, after = s[i:i + 2], s[i + 1], s[i + 3]
+            if self._step(two, after) - self._step(two, x) - self._step(x + x, after) > COST_REPEAT:
+                out, done = out + word[done:i], i + 1
+        return out + word[done:]
+
+    @staticmethod
+    def _settle(paths: dict, settled: list[str]) -> dict:
+        """The paths without the beginning that all share, which is settled."""
+        if max(len(read) for _, read in paths.values()) > MAX_OPEN:
+            key = min(paths, key=paths.__getitem__)
+            paths = {key: paths[key]}
+        shared = commonprefix([read for _, read in paths.values()])
+        settled.append(shared)
+        return {key: (cost, read[len(shared):]) for key, (cost, read) in paths.items()}
+
+    def readings(self, word: str) -> tuple[str, ...]:
+        """The readings of a word; none if nothing in it is a letter or imitates one."""
+        if word.isalpha() and not _DOUBLE.search(word):
+            return (word,)
         inner = _EDGES.sub("", word)
-        if _PLAIN.fullmatch(inner) and not _TRIPLE.search(inner):
-            # Marks at the edges could be disguised letters only if they imitate some.
-            edges = [c for c in word if c in "@$!1|3045+" and not c.isalpha()]
-            if len(edges) != 1:
-                return inner
-        if sum(c.isalpha() for c in word) < 2:
-            return ""
-        if len(word) > MAX_WORD:
-            return "".join(self.decode(word[i:i + MAX_WORD]) for i in range(0, len(word), MAX_WORD))
-        return self.decode(word)
+        plain = inner if _PLAIN.fullmatch(inner) and not _TRIPLE.search(inner) else ""
+        marks = set(_MARK.findall(word))
+        if plain and not marks and not _DOUBLE.search(plain):
+            return (plain,)
+        n = sum(c.isalpha() or c in LEET for c in word)
+        if n < 2 or not any(map(str.isalpha, word)) and (len(marks) < 2 or _NUMBER.fullmatch(word)):
+            return (plain,) if plain else ()
+        if plain and not marks:
+            return tuple(dict.fromkeys((plain, self._unrepeated(plain))))
+        best = once = self.decode(word)
+        if len(best) < n:
+            once = self.decode(_TRIPLE.sub(r"\1\1", word), literal=True)
+        return tuple(w for w in dict.fromkeys((plain, best, once)) if w)
 
 
 class _Restored(dict):
@@ -149,10 +191,12 @@ class _Restored(dict):
         super().__init__()
         self.restorer = Restorer(model)
 
-    def __missing__(self, word: str) -> str:
+    def __missing__(self, word: str) -> tuple[str, ...]:
         if len(self) > CACHE:
             self.clear()
-        out = self[word] = self.restorer.word(word)
+        # Marks at the edges that imitate no letter cost every path the same.
+        bare = word if word.isalpha() else _IDLE.sub("", word)
+        out = self[word] = self[bare] if bare != word else self.restorer.readings(word)
         return out
 
 
@@ -169,18 +213,33 @@ def _spaced(tokens: list[str]) -> set[str]:
     return out
 
 
-def restored_words(text: str | None, restored: _Restored) -> set[str]:
+def restored_readings(text: str | None, restored: _Restored) -> set[tuple[str, ...]]:
+    """For each distinct word its readings."""
     tokens = (text or "").lower().split()
     found = set(tokens)
     if sum(len(t) == 1 for t in found) > 2:
         found |= _spaced(tokens)
-    return {w for w in map(restored.__getitem__, found) if w}
+    return {r for r in map(restored.__getitem__, found) if r}
+
+
+def restored_words(text: str | None, restored: _Restored) -> set[str]:
+    return {w for r in restored_readings(text, restored) for w in r}
 
 
 def _features(words: set[str]) -> set[str]:
     return words | {w[:STEM] + "*" for w in words if len(w) > STEM}
 
 
+def _gain(word: str, gains: dict[str, float]) -> float:
+    return max(gains.get(word, 0.0), gains.get(word[:STEM] + "*", 0.0) if len(word) > STEM else 0.0)
+
+
+def total_gain(readings: set[tuple[str, ...]], gains: dict[str, float]) -> float:
+    """Of the distinct words, each in its reading of most gain."""
+    taken = {r[0] if len(r) == 1 else max(r, key=lambda w: (_gain(w, gains), w)) for r in readings}
+    return sum(sorted(_gain(w, gains) for w in taken))
+
+
 def training_rows(labels: DataFrame, learn: Column, limit: int = TRAIN_ROWS) -> DataFrame:
     """``(label_id, toxic)`` of at most ``limit`` labelled rows that may be learned from."""
     rows = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & learn)
@@ -232,9 +291,7 @@ def score(docs: DataFrame, model: dict[str, float], base: float, gains: dict[str
         for b in batches:
             scores = []
             for text in b.column(b.num_columns - 1):
-                words = restored_words(text.as_py(), restored)
-                odds = base + sum(sorted(
-                    max(gains.get(w, 0.0), gains.get(w[:STEM] + "*", 0.0) if len(w) > STEM else 0.0) for w in words))
+                odds = base + total_gain(restored_readings(text.as_py(), restored), gains)
                 scores.append(1 / (1 + math.exp(-max(-500.0, min(500.0, odds)))))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(np.array(scores, np.float64))],
                                              [*b.schema.names[:-1], "score"])

@@ -62,6 +62,35 @@ def test_disguised_words_are_restored(model):
     assert "" not in found and "2024" not in found
 
 
+def test_doubled_letters_are_read_as_by_the_lattice(model):
+    r = tox.Restorer(model)
+    for w in ["mooron", "iddiott", "sttuupidd", "tree", "éé", "aabbccdd", "loosser", "a", "aa"]:
+        assert r._unrepeated(w) == r.decode(w) == exhaustive(model, w), w
+
+
+def test_doubled_letters_and_marks_at_the_edges(model):
+    restored = tox._Restored(model)
+    for said, want in {"stuupid": "stupid", "iddiot!": "idiot", "mooron": "moron", "$tupid!!": "stupid", "$cum!": "scum",
+                       "(lown": "clown", "1di0+": "idiot", "£oser": "loser", "¡diot": "idiot", "tra§h": "trash", "|d!0+": "idiot"}.items():
+        assert want in tox.restored_words(said, restored), said
+    # Doubled letters that may be meant stay a reading, and clean words are themselves.
+    assert {"ass"} <= tox.restored_words("a$$", restored) and {"ass"} <= tox.restored_words("@$$", restored)
+    assert "asshole" in tox.restored_words("@$$hole", restored)
+    for w in ["tree", "moor", "(house)", "this!", "\"that\""]:
+        assert w.strip("()!\"") in tox.restored_words(w, restored), w
+    assert tox.restored_words("1990 $100 (+49) 50! !!! $$$ -- 12:30", restored) == set()
+
+
+def test_long_words_are_not_cut(model):
+    r = tox.Restorer(model)
+    assert r.decode("stupid" * 30) == "stupid" * 30 and r.decode("tr@sh" * 30) == "trash" * 30
+
+
+def test_best_reading_counts_once():
+    gains = {"stupid": 3.0, "ass": 2.5}
+    assert tox.total_gain({("stuupid", "stupid"), ("stupid",), ("ass", "as"), ("tree",)}, gains) == 5.5
+
+
 def test_held_out_accuracy_and_planted_disguises(make_docs, spark):
     rows = duckdb.sql(f"SELECT doc_id, text FROM '{SF_CHECK}/documents.parquet' ORDER BY doc_id").fetchall()
     flags = dict(duckdb.sql(f"SELECT doc_id, toxic FROM '{SF_CHECK}/labels.parquet'").fetchall())
