@@ -4,7 +4,9 @@ A word that was disguised is restored before it is judged. Its characters span a
 lattice: each may stand for itself, for the letters it imitates (leetspeak), be a
 separator put between letters, or repeat the letter before; each choice has a
 channel cost, and a character language model of the corpus scores the letters
-read. Viterbi decoding finds the best reading. A word skips the lattice only if it
+read. Viterbi decoding finds the best reading. A run of three or more single
+characters is one lattice in which words may also end, so that "y o u f o o l" is
+read as two words. A word skips the lattice only if it
 is all letters, none of them doubled, between marks that imitate no letter.
 
 A word can have several readings, of which the judge takes the one that gains most:
@@ -59,6 +61,7 @@ CACHE = 400_000
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a",
         "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "§": "s"}
 COST_LEET, COST_REPEAT = 0.7, 1.6
+COST_END = 0.5  # of a word's end in a spaced run, besides the model's
 COST_DROP = 1.0  # of a character that imitates no letter
 COST_DROP_EDGE, COST_DROP_INSIDE = 3.0, 9.0  # of one that does, beside and between letters
 PUNCTUATION = "!|+(¡"  # what else those of LEET stand beside words for
@@ -69,6 +72,7 @@ _DOUBLE = re.compile(r"(.)\1")
 _TRIPLE = re.compile(r"(.)\1\1+")
 _MARK = re.compile("[" + re.escape("".join(LEET)) + "]")
 _IDLE = re.compile(rf"^(?:(?!{_MARK.pattern})[\W_])+|(?:(?!{_MARK.pattern})[\W_])+$")
+_RUN = re.compile(r"(?<!\S)\S(?:\s++\S(?!\S)){2,}+")
 _NUMBER = re.compile(r"[(+\-]*[$€£§]?[\d.,:;/%+\-]+[$€£]?[).,:;!?]*")
 
 
@@ -115,9 +119,10 @@ class Restorer:
         p = self.model.get(two + c)
         return p if p is not None else self.model.get(two, self.unseen)
 
-    def decode(self, chars: str, literal: bool = False) -> str:
+    def decode(self, chars: str, literal: bool = False, ends: bool = False) -> str:
         """The best reading of one lattice, letters only. A literal one repeats no letter
-        and drops no imitation but ``PUNCTUATION``."""
+        and drops no imitation but ``PUNCTUATION``. With ``ends`` words may end anywhere
+        and are read with spaces between them."""
         # By the last two classes and the last letter: cost and reading.
         paths: dict[tuple[str, str], tuple[float, str]] = {(EDGE * 2, ""): (0.0, "")}
         letters = [i for i, c in enumerate(chars) if c.isalpha()] or [0]
@@ -140,9 +145,17 @@ class Restorer:
                 for key, path in offers:
                     if key not in nxt or path < nxt[key]:
                         nxt[key] = path
+            if ends:
+                # A path at a word's end has read a space last, and its next letter begins a word.
+                for (two, _), (cost, read) in list(nxt.items()):
+                    path = cost + COST_END - self._step(two, EDGE), read + " "
+                    if two != EDGE * 2 and ((EDGE * 2, "") not in nxt or path < nxt[EDGE * 2, ""]):
+                        nxt[EDGE * 2, ""] = path
             paths = nxt
             if i % SPAN == SPAN - 1:
                 paths = self._settle(paths, settled)
+        if ends:
+            paths = {key: path for key, path in paths.items() if key[0] != EDGE * 2} or paths
         settled.append(min((cost - self._step(two, EDGE), read) for (two, _), (cost, read) in paths.items())[1])
         return "".join(settled)
 
@@ -200,30 +213,23 @@ class _Restored(dict):
         return out
 
 
-def _spaced(tokens: list[str]) -> set[str]:
-    """Runs of four or more single characters, joined."""
-    out, run = set(), []
-    for t in [*tokens, "  "]:
-        if len(t) == 1:
-            run.append(t)
-            continue
-        if len(run) > 3 and len(set(run)) > 2:
-            out.add("".join(run))
-        run = []
-    return out
+    def spaced(self, run: str) -> tuple[str, ...]:
+        """The readings of a run of single characters: as words with spaces between, and as one word."""
+        if len({c for c in run if c.isalpha() or c in LEET}) < 2 or not any(c.isalpha() or c in LEET and not c.isdigit() for c in run):
+            return ()
+        decode = self.restorer.decode
+        return tuple(dict.fromkeys((decode(run, ends=True), decode(run, literal=True, ends=True), *self[run])))
 
 
 def restored_readings(text: str | None, restored: _Restored) -> set[tuple[str, ...]]:
-    """For each distinct word its readings."""
-    tokens = (text or "").lower().split()
-    found = set(tokens)
-    if sum(len(t) == 1 for t in found) > 2:
-        found |= _spaced(tokens)
-    return {r for r in map(restored.__getitem__, found) if r}
+    """For each distinct word and spaced run its readings."""
+    text = (text or "").lower()
+    found = {r for r in map(restored.__getitem__, set(text.split())) if r}
+    return found | {r for r in map(restored.spaced, {"".join(m[0].split()) for m in _RUN.finditer(text)}) if r}
 
 
 def restored_words(text: str | None, restored: _Restored) -> set[str]:
-    return {w for r in restored_readings(text, restored) for w in r}
+    return {w for r in restored_readings(text, restored) for x in r for w in x.split()}
 
 
 def _features(words: set[str]) -> set[str]:
@@ -236,8 +242,11 @@ def _gain(word: str, gains: dict[str, float]) -> float:
 
 def total_gain(readings: set[tuple[str, ...]], gains: dict[str, float]) -> float:
     """Of the distinct words, each in its reading of most gain."""
-    taken = {r[0] if len(r) == 1 else max(r, key=lambda w: (_gain(w, gains), w)) for r in readings}
-    return sum(sorted(_gain(w, gains) for w in taken))
+    def gain(reading: str) -> float:
+        return sum(sorted(_gain(w, gains) for w in set(reading.split())))
+
+    taken = {r[0] if len(r) == 1 else max(r, key=lambda x: (gain(x), x)) for r in readings}
+    return sum(sorted(_gain(w, gains) for w in {w for x in taken for w in x.split()}))
 
 
 def training_rows(labels: DataFrame, learn: Column, limit: int = TRAIN_ROWS) -> DataFrame:

@@ -86,6 +86,25 @@ def test_long_words_are_not_cut(model):
     assert r.decode("stupid" * 30) == "stupid" * 30 and r.decode("tr@sh" * 30) == "trash" * 30
 
 
+def test_spaced_runs_hold_words(spark):
+    said = "you are a loser shut up and you idiot fool ass of the house".split()
+    model = tox.character_model(spark.createDataFrame([(" ".join(said * 40),)], "text string"))
+    restored = tox._Restored(model)
+    for text, want in {"you are a l o s e r": "a loser", "oh Y O U I D I 0 T yes": "you idiot", "s h u t u p": "shut up", "a s s": "ass",
+                       "a\n$  $ !": "ass", "f o o l": "fool"}.items():
+        assert set(want.split()) <= tox.restored_words(text, restored), text
+    # Longer than SPAN and MAX_OPEN: no word is cut.
+    long = ["the", "idiot", "and", "you", "loser"] * 400
+    assert restored.restorer.decode("".join(long), ends=True).split() == long
+    assert tox.restored_words(" ".join("".join(long)), restored) >= set(long)
+    assert tox.restored_readings("1 2 3 4 - - - x", restored) >= {("x",)} and restored.spaced("1234") == ()
+
+
+def test_spaced_reading_counts_its_words():
+    gains = {"idiot": 3.0, "loser": 2.5}
+    assert tox.total_gain({("you idiot loser", "youidiotloser"), ("idiot",)}, gains) == 5.5
+
+
 def test_best_reading_counts_once():
     gains = {"stupid": 3.0, "ass": 2.5}
     assert tox.total_gain({("stuupid", "stupid"), ("stupid",), ("ass", "as"), ("tree",)}, gains) == 5.5
