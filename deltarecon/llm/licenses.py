@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deltarecon.llm.common import let, lower_ascii, words
+from deltarecon.llm.license_texts import TEXTS
 
 MIN_PERCENT = 80  # of Dice; whole numbers keep the bounds exact
 WIDE = 200 - MIN_PERCENT
@@ -31,6 +32,11 @@ BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SENTENCE_BREAK = r"[.!?]+[\x20\x09-\x0D]+|\n"
 PARAGRAPH_BREAK = r"\n[\x20\x09-\x0D]*\n"
 
+def template_bigrams(text: str) -> set[tuple[str, str]]:
+    ws = "".join(c if c.isalnum() else " " for c in text.lower()).split()
+    return set(zip(ws, ws[1:]))
+
+
 # The usual statements and notices of public licences, by SPDX name.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -72,10 +78,53 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
-
-def template_bigrams(text: str) -> set[tuple[str, str]]:
-    ws = "".join(c if c.isalnum() else " " for c in text.lower()).split()
-    return set(zip(ws, ws[1:]))
+# What licences are called in statements, by SPDX name.
+NAMES = {
+    "0BSD": ["BSD Zero Clause License"],
+    "AGPL-3.0": ["GNU Affero General Public License v3.0", "GNU AGPLv3 license"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache 2.0 License", "Apache License 2.0"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "New BSD License"],
+    "BSL-1.0": ["Boost Software License, Version 1.0"],
+    "CC0-1.0": ["CC0 1.0 Universal license"],
+    "EPL-2.0": ["Eclipse Public License 2.0", "Eclipse Public License, v. 2.0"],
+    "GPL-2.0": ["GNU General Public License v2.0", "GNU GPLv2 license"],
+    "GPL-3.0": ["GNU General Public License v3.0", "GNU GPLv3 license"],
+    "ISC": ["ISC License"],
+    "LGPL-2.1": ["GNU Lesser General Public License v2.1", "GNU LGPLv2.1 license"],
+    "LGPL-3.0": ["GNU Lesser General Public License v3.0", "GNU LGPLv3 license"],
+    "MIT": ["MIT License"],
+    "MPL-2.0": ["Mozilla Public License 2.0", "Mozilla Public License, v. 2.0"],
+    "Zlib": ["zlib License"],
+}
+STATEMENTS = ["Licensed under the {}.", "Released under the {}.", "Distributed under the {}.", "This project is licensed under the {}."]
+
+
+def _gnu_notice(work: str, name: str, version: str) -> str:
+    free = (f"This {work} is free software; you can redistribute it and/or modify it under the terms of the {name} as "
+            f"published by the Free Software Foundation; either version {version} of the License, or (at your option) any "
+            "later version.")
+    return free + (f" This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+                   f"the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more "
+                   f"details. You should have received a copy of the {name} along with this {work}. If not, see "
+                   "https://www.gnu.org/licenses/.")
+
+
+# Whole notices, and their first paragraphs, of the GNU licences.
+_GNU = [("AGPL-3.0", "program", "GNU Affero General Public License", "3"), ("GPL-2.0", "program", "GNU General Public License", "2"),
+        ("GPL-3.0", "program", "GNU General Public License", "3"), ("LGPL-2.1", "library", "GNU Lesser General Public License", "2.1"),
+        ("LGPL-3.0", "library", "GNU Lesser General Public License", "3")]
+_NOTICES = [(spdx, _gnu_notice(*rest)) for spdx, *rest in _GNU]
+_NOTICES += [(spdx, notice[:notice.index(" This", 5)]) for spdx, notice in _NOTICES]
+_NOTICES += [("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                         "License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/")]
+_known = {(name, tuple(sorted(template_bigrams(text)))) for name, text in TEMPLATES}
+for _name, _text in [*((name, s.format(called)) for name, names in NAMES.items() for called in names for s in STATEMENTS),
+                     *_NOTICES, *TEXTS.items()]:
+    _key = _name, tuple(sorted(template_bigrams(_text)))
+    if _key not in _known:
+        _known.add(_key)
+        TEMPLATES.append((_name, _text))
 
 
 def _pair_hash(a: str, b: str) -> int:
@@ -86,8 +135,9 @@ def _pair_hash(a: str, b: str) -> int:
 
 def _template_column() -> Column:
     return F.array(*(
+        # One text, not an expression an element: there are tens of thousands.
         F.struct(F.lit(name).alias("name"), F.lit(len(pairs)).alias("n"),
-                 F.lit(sorted(_pair_hash(*p) for p in pairs)).cast("array<bigint>").alias("pairs"))
+                 F.split(F.lit(",".join(str(_pair_hash(*p)) for p in sorted(pairs))), ",").cast("array<bigint>").alias("pairs"))
         for name, text in TEMPLATES for pairs in [template_bigrams(text)]))
 
 

@@ -41,6 +41,18 @@ def test_finds_what_it_should(make_docs):
     assert found[13] == "CC-BY-4.0" and found[14] == "CC-BY-NC-4.0,CC-BY-SA-4.0" and found[16] == "Apache-2.0"
 
 
+def test_usual_forms_and_full_texts(make_docs):
+    said = {"Licensed under the MIT License.": "MIT", "Licensed under the ISC License.": "ISC",
+            "This project is licensed under the BSD 2-Clause License.": "BSD-2-Clause",
+            "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0", "Released under the zlib License.": "Zlib"}
+    said |= {"Copyright 2001 Somebody\n\n" + text: name for name, text in licenses.TEXTS.items()}
+    said |= {text: name for name, text in licenses._NOTICES}
+    texts = list(said)
+    found = {r["doc_id"]: r for r in licenses.license_scan(make_docs(list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        assert found[i]["best_license"] == said[text] and said[text] in found[i]["licenses"].split(","), (i, text[:80], found[i])
+
+
 def test_pair_hash_is_the_sessions(spark):  # noqa: F811
     got = spark.range(1).select(F.xxhash64(F.lit("mit"), F.lit("license"))).first()[0]
     assert got == licenses._pair_hash("mit", "license")
