@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deltarecon.llm import (
-    decontaminate, katz, langid, licenses, mixing, quality, simhash, suffix_dedup, token_counts,
-    toxicity)
+    decontaminate, html_text, katz, langid, licenses, mixing, periodic, quality, simhash, suffix_dedup,
+    token_counts, toxicity, whitening)
 from deltarecon.llm.common import table
 
 
@@ -54,6 +54,18 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeat_report(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_report(table(spark, sf_dir, "documents"))
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.page_report(table(spark, sf_dir, "pages"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_temperature_mixing,
     op2_license_scan,
@@ -65,4 +77,7 @@ QUERIES = {f.__name__: f for f in (
     op8_language_id,
     op9_benchmark_decontamination,
     op10_suffix_array_dedup,
+    op11_periodic_runs,
+    op12_html_extraction,
+    op13_embedding_whitening,
 )}
