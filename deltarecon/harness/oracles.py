@@ -355,6 +355,26 @@ ORACLES["diff_full_outer"] = flow_sql(diff_select())
 ORACLES["diff_full_outer_single"] = ORACLES["diff_full_outer"]
 ORACLES["diff_full_outer_nullsafe"] = flow_sql(diff_select(null_safe=True, side=True, hq_null=True))
 ORACLES["diff_full_outer_null_keys"] = flow_sql(diff_select(side=True, hq_null=True))
+ORACLES["diff_full_outer_split"] = ORACLES["diff_full_outer"]
+
+
+def keyed_diff(left: str, right: str, cols: list[str], cond: str) -> str:
+    """A full outer join of two selects with one row's side named."""
+    shown = [f"a.{c} AS l_{c}" for c in cols] + [f"m.{c} AS r_{c}" for c in cols]
+    return (f"SELECT {', '.join(shown)}, CASE WHEN a._l IS NOT NULL AND m._r IS NOT NULL THEN 'both' "
+            "WHEN a._l IS NOT NULL THEN 'feed_only' ELSE 'master_only' END AS diff_side "
+            f"FROM (SELECT {left}, 1 AS _l FROM accepted) a FULL OUTER JOIN (SELECT {right}, 1 AS _r FROM master) m ON {cond}")
+
+
+_SHARED = "country || '-' || substr(reg_no, 6, 4) AS key, reg_no"
+ORACLES["diff_full_outer_hot_keys"] = flow_sql(keyed_diff(_SHARED, _SHARED, ["key", "reg_no"], "a.key = m.key"))
+_NULLABLE = "CASE WHEN hq_no <> '' THEN reg_no END AS key, reg_no, reg_name"
+ORACLES["diff_single_nullable_key"] = flow_sql(
+    keyed_diff(_NULLABLE, _NULLABLE, ["key", "reg_no", "reg_name"], "a.key = m.key"))
+ORACLES["diff_mixed_key_types"] = flow_sql(keyed_diff(
+    "left(reg_no, 9) AS reg_no, CAST(length(reg_name) AS INTEGER) AS name_chars",
+    "CAST(left(reg_no, 9) AS BIGINT) AS reg_no, CAST(length(reg_name) AS BIGINT) AS name_chars",
+    ["reg_no", "name_chars"], "CAST(a.reg_no AS BIGINT) = m.reg_no AND a.name_chars = m.name_chars"))
 ORACLES["diff_summary"] = flow_sql(
     f"SELECT diff_side, count(*) AS records FROM ({diff_select(side=True)}) d GROUP BY diff_side")
 ORACLES["feed_reconciliation"] = flow_sql(diff_select(side=True))

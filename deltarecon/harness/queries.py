@@ -451,10 +451,47 @@ def master_view(spark, sf_dir):
 
 @query
 def diff_full_outer(spark, sf_dir):
+    # Unique: one record a key after the dedup.
+    acc = fr.accepted_and_rejected(_flow(spark, sf_dir))
+    return reconcile.record_diff(acc, _master(spark, sf_dir), fx.DIFF_KEYS, strategy="measured", left_is_unique=True)
+
+
+@query
+def diff_full_outer_split(spark, sf_dir):
+    """Same rows through the two joins that AQE can split (strategy="split")."""
     acc = fr.accepted_and_rejected(_flow(spark, sf_dir))
     return reconcile.record_diff(acc, _master(spark, sf_dir), fx.DIFF_KEYS)
 
 
+@query
+def diff_full_outer_hot_keys(spark, sf_dir):
+    """A key that several records share; most are hot by the limit given, and go through joins that can be split."""
+    key = F.concat_ws("-", "country", F.substring("reg_no", 6, 4)).alias("key")
+    acc = fr.accepted_and_rejected(_flow(spark, sf_dir)).select(key, "reg_no")
+    return reconcile.record_diff(acc, _master(spark, sf_dir).select(key, "reg_no"), ["key"], side_col="diff_side",
+                                 side_names=("both", "feed_only", "master_only"), strategy="measured", hot_rows=1)
+
+
+@query
+def diff_single_nullable_key(spark, sf_dir):
+    """One key, NULL for every head office: such records pair with nothing."""
+    key = F.expr("if(hq_no = '', null, reg_no)").alias("key")
+    acc = fr.accepted_and_rejected(_flow(spark, sf_dir)).select(key, "reg_no", "reg_name")
+    return reconcile.record_diff(acc, _master(spark, sf_dir).select(key, "reg_no", "reg_name"), ["key"], side_col="diff_side",
+                                 side_names=("both", "feed_only", "master_only"))
+
+
+@query
+def diff_mixed_key_types(spark, sf_dir):
+    """Text against number, int against long: compared as ``=`` does."""
+    acc = fr.accepted_and_rejected(_flow(spark, sf_dir)).selectExpr(
+        "left(reg_no, 9) AS reg_no", "length(reg_name) AS name_chars")
+    m = _master(spark, sf_dir).selectExpr(
+        "cast(left(reg_no, 9) AS bigint) AS reg_no", "cast(length(reg_name) AS bigint) AS name_chars")
+    return reconcile.record_diff(acc, m, ["reg_no", "name_chars"], side_col="diff_side",
+                                 side_names=("both", "feed_only", "master_only"))
+
+
 @query
 def diff_full_outer_single(spark, sf_dir):
     """Same rows through one full outer join (strategy="full_outer")."""

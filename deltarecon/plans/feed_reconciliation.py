@@ -230,16 +230,17 @@ def feed_reconciliation(
     diff_keys: Sequence[str],
     spec: FeedSpec = FeedSpec(),
     side_names: tuple[str, str, str] = ("both", "feed_only", "master_only"),
-    diff_strategy: str = "split",
+    diff_strategy: str = "measured",
     checkpoint_inputs: bool = True,
     master_key: str = "cir_key",
     master_mapping: MasterMapping = default_master_mapping,
 ) -> Reconciliation:
     """Steps 1-7 as lazy DataFrames.
 
-    With the default ``split`` diff each side is read by two joins. With
-    ``checkpoint_inputs`` the accepted feed (the expensive side: feed scan,
-    dedup shuffle, parent join) is written once as Parquet to the shared
+    The default ``measured`` diff counts the master's rows by key first (its key
+    columns alone), and needs joins that read a side twice for keys with very many
+    rows only. With ``checkpoint_inputs`` the accepted feed (the expensive side: feed
+    scan, dedup shuffle, parent join) is written once as Parquet to the shared
     checkpoint folder here, so the dedup never runs twice and a lost
     executor does not restart it. The master side is a 1:1 key join whose second use reads
     only the key columns, so recomputing it is cheaper than writing it.
@@ -248,11 +249,12 @@ def feed_reconciliation(
     accepted = accepted_and_rejected(flow, spec)
     master = build_master(detail, hub, hub_filter, master_key, master_mapping)
     scratch: tuple[str, ...] = ()
-    if checkpoint_inputs and diff_strategy == "split":
+    if checkpoint_inputs and diff_strategy != "full_outer":
         copy = scratch_path(accepted.sparkSession, "accepted_feed")
         accepted, scratch = materialize_to(accepted, copy), (copy,)
     diff = record_diff(accepted, master, diff_keys, side_col="diff_side", side_names=side_names,
-                       strategy=diff_strategy, left_is_copy=bool(scratch))
+                       strategy=diff_strategy, left_is_copy=bool(scratch),
+                       left_is_unique=spec.key in diff_keys and _injective(spec))
     return Reconciliation(diff=diff, rejects=flow["reject"], accepted=accepted, master=master, scratch=scratch)
 
 

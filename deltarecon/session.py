@@ -6,9 +6,12 @@ The library never builds its own cluster session; callers pass ``spark``.
 
 from __future__ import annotations
 
+import contextlib
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import SparkSession
 
@@ -80,7 +83,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     app = _app_id(spark)
     d = spark.conf.get(CHECKPOINT_CONF, None) or _LOCAL_DIRS.get(app)
     if not d:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        # One machine: local, local[n] or local[n,m]. local-cluster stands for a cluster.
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise RuntimeError(f"{CHECKPOINT_CONF} is not set; point it at a shared folder")
         d = tempfile.mkdtemp(prefix="deltarecon-ckpt-")
         _LOCAL_DIRS[app] = d
@@ -98,9 +102,35 @@ _LOCAL_DIRS: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
+    """A fresh, unique path under the shared checkpoint folder. The innermost open
+    ``scratch_scope`` owns it."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/deltarecon-scratch/{uuid.uuid4().hex}/{name}"
+    path = f"{base}/deltarecon-scratch/{uuid.uuid4().hex}/{name}"
+    if _SCOPES[-1] is not None:
+        _SCOPES[-1].append(path)
+    return path
+
+
+# Paths of the open scopes, innermost last. Without a scope nobody deletes.
+_SCOPES: list[list[str] | None] = [None]
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Deletes at its end, also on failure, all scratch copies made within it.
+
+    A lazy DataFrame that reads such a copy can't be read after that: run its last
+    action inside. Yields the paths; one taken out of the list stays, and becomes the
+    caller's to delete.
+    """
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.pop()
+        for path in paths:
+            remove_path(spark, os.path.dirname(path))
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -119,6 +149,36 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Replaces the folder ``path`` by what ``write`` puts into a folder beside it.
+
+    The old result stays in place until the new one is whole, so a failing write loses
+    neither. The switch is two renames within one folder; if the second fails, the first
+    is undone. A run that was killed between them leaves the old result as
+    ``<path>.before``, which the next run puts back before it starts.
+    """
+    fs, target = _file_system(spark, path)
+    fresh, before = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}", f"{path.rstrip('/')}.before"
+    as_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    if fs.exists(as_path(before)):
+        if fs.exists(target):
+            fs.delete(as_path(before), True)
+        else:
+            fs.rename(as_path(before), target)
+    try:
+        write(fresh)
+        had = fs.exists(target)
+        if had and not fs.rename(target, as_path(before)):
+            raise OSError(f"{path} can't be moved aside")
+        if not fs.rename(as_path(fresh), target):
+            if had:
+                fs.rename(as_path(before), target)
+            raise OSError(f"{fresh} can't be moved to {path}")
+        fs.delete(as_path(before), True)
+    finally:
+        fs.delete(as_path(fresh), True)
+
+
 def materialize(df, name: str = "materialized"):
     """``materialize_to`` a fresh path under the shared checkpoint folder."""
     return materialize_to(df, scratch_path(df.sparkSession, name))
