@@ -1,24 +1,37 @@
 """Licence scan (DataFrame functions only).
 
-Sentences, lines, paragraphs and the whole of a text are normalised to
-lower-case words and compared to licence templates by the Dice coefficient of
-their sets of word bigrams: twice the shared over the sum of both sizes. Dice
-of at least t needs sizes within a factor (2 - t) / t of each other, so a
-unit is compared only with templates inside that bound; a unit with fewer words
-than the smallest template allows isn't hashed at all.
+Parts of a text are normalised to lower-case words and compared to licence templates
+by the Dice coefficient of their sets of word bigrams: twice the shared over the sum
+of both sizes. Dice of at least t needs sizes within a factor (2 - t) / t of each
+other, so a part is compared only with templates inside that bound.
 
-The scan is within the row: the templates are a fixed, small array of hashes
-and nothing is shuffled.
+The parts are sentences, lines, paragraphs and the whole text, and runs of segments
+(what lies between sentence or line ends), so that a licence in several paragraphs
+or lines is found inside a longer text. For each template, islands are unbroken
+stretches of segments at least half of whose bigrams are the template's; runs go from
+the begin of one island to the end of the same or of a later one, those over several
+islands only up to the bound in words.
+
+Most texts meet no template: a text's bigrams are hashed once and looked up in a bit
+map. A part that reaches t holds t / (2 - t) of a template's bigrams at least, so of
+any more than the rest at least one: the map has as many of every template, and a
+few more, the rarest among the templates. Only for a text that has enough of a
+template's rare bigrams, and then of all its bigrams, are parts made.
+
+The scan is within the row: templates are a fixed, small array of hashes, and
+nothing is shuffled.
 
 Cases: null and empty texts have no units and match nothing; a unit without two
 words has no bigram; ties of the best coefficient go to the name first in
 order; repeated rows and ids are scanned on their own; an empty table gives no
 rows; other columns don't matter; a very long text is one row's work, in time
-linear in its length.
+linear in its length but for its islands, which are paired.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -133,12 +146,43 @@ def _pair_hash(a: str, b: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+# Bigrams that a part may lack of a template of n: at most n * MAY_LACK.
+MAY_LACK = (200 - 2 * MIN_PERCENT) / WIDE
+MAP_BITS = 18
+
+
+def rare_bigrams() -> list[set[tuple[str, str]]]:
+    """For each template more bigrams than a match may lack, the rarest among all templates."""
+    every = [template_bigrams(text) for _, text in TEMPLATES]
+    n_with = Counter(p for pairs in every for p in pairs)
+    n_word = Counter(w for pairs in every for p in pairs for w in p)
+    out = []
+    for pairs in every:
+        lack = int(len(pairs) * MAY_LACK)
+        ranked = sorted(pairs, key=lambda p: (n_with[p], min(n_word[p[0]], n_word[p[1]]), p))
+        out.append(set(ranked[:lack + 1 + len(pairs) // 6]))
+    return out
+
+
 def _template_column() -> Column:
-    return F.array(*(
+    def hashes(pairs: set[tuple[str, str]]) -> Column:
         # One text, not an expression an element: there are tens of thousands.
-        F.struct(F.lit(name).alias("name"), F.lit(len(pairs)).alias("n"),
-                 F.split(F.lit(",".join(str(_pair_hash(*p)) for p in sorted(pairs))), ",").cast("array<bigint>").alias("pairs"))
-        for name, text in TEMPLATES for pairs in [template_bigrams(text)]))
+        return F.split(F.lit(",".join(str(_pair_hash(*p)) for p in sorted(pairs))), ",").cast("array<bigint>")
+
+    return F.array(*(
+        F.struct(F.lit(name).alias("name"), F.lit(len(pairs)).alias("n"), hashes(pairs).alias("pairs"), hashes(rare).alias("rare"),
+                 F.lit(len(rare) - int(len(pairs) * MAY_LACK)).alias("least"))
+        for (name, text), rare in zip(TEMPLATES, rare_bigrams()) for pairs in [template_bigrams(text)]))
+
+
+def _bit_map() -> Column:
+    """A bit for every rare bigram, as an array of longs (32 KB)."""
+    bits = [0] * (1 << MAP_BITS - 6)
+    for rare in rare_bigrams():
+        for p in rare:
+            at = _pair_hash(*p) & (1 << MAP_BITS) - 1
+            bits[at >> 6] |= 1 << (at & 63)
+    return F.lit([b - (1 << 64) if b >> 63 else b for b in bits]).cast("array<bigint>")
 
 
 def units(text: Column) -> Column:
@@ -148,40 +192,112 @@ def units(text: Column) -> Column:
         F.split(t, SENTENCE_BREAK), F.split(t, "\n"), F.split(t, PARAGRAPH_BREAK), F.array(t)))
 
 
-def _matches(unit: Column, templates: Column, fewest: int) -> Column:
-    """``(dice, name)`` of the templates that the unit matches."""
-    def against(pairs: Column) -> Column:
-        near = F.filter(templates, lambda t: (
-            t["n"] * MIN_PERCENT <= F.size(pairs) * WIDE) & (F.size(pairs) * MIN_PERCENT <= t["n"] * WIDE))
-        scored = F.transform(near, lambda t: F.struct(
-            F.size(F.array_intersect(pairs, t["pairs"])).alias("shared"), (F.size(pairs) + t["n"]).alias("both"),
-            t["name"].alias("name")))
-        enough = F.filter(scored, lambda s: 200 * s["shared"] >= MIN_PERCENT * s["both"])
-        return F.transform(enough, lambda s: F.struct((2.0 * s["shared"] / s["both"]).alias("dice"), s["name"].alias("name")))
+def _pairs(ws: Column) -> Column:
+    return F.transform(F.slice(ws, 1, F.greatest(F.size(ws) - 1, F.lit(0))), lambda w, i: F.xxhash64(w, ws[i + 1]))
+
+
+_HITS = "array<struct<dice:double,name:string>>"
+
+
+def _scored(pairs: Column, templates: Column) -> Column:
+    """``(dice, name)`` of the templates that a part with the distinct ``pairs`` matches."""
+    near = F.filter(templates, lambda t: (
+        t["n"] * MIN_PERCENT <= F.size(pairs) * WIDE) & (F.size(pairs) * MIN_PERCENT <= t["n"] * WIDE))
+    scored = F.transform(near, lambda t: F.struct(
+        F.size(F.array_intersect(pairs, t["pairs"])).alias("shared"), (F.size(pairs) + t["n"]).alias("both"),
+        t["name"].alias("name")))
+    enough = F.filter(scored, lambda s: 200 * s["shared"] >= MIN_PERCENT * s["both"])
+    return F.transform(enough, lambda s: F.struct((2.0 * s["shared"] / s["both"]).alias("dice"), s["name"].alias("name")))
+
 
-    def pairs_of(ws: Column) -> Column:
-        hashed = F.transform(F.slice(ws, 1, F.greatest(F.size(ws) - 1, F.lit(0))),
-                             lambda w, i: F.xxhash64(w, ws[i + 1]))
-        none = F.array().cast("array<struct<dice:double,name:string>>")
-        return F.when(F.size(ws) - 1 >= fewest, let(F.array_distinct(hashed), against)).otherwise(none)
+def _near_templates(h: Column, templates: Column, bits: Column) -> Column:
+    """The templates of which the text's bigrams hold as many as a match needs."""
+    def mapped(x: Column) -> Column:
+        at = x.bitwiseAND(F.lit((1 << MAP_BITS) - 1))
+        return F.getbit(bits[F.shiftright(at, 6).cast("int")], at.bitwiseAND(F.lit(63)).cast("int")) == 1
 
-    return let(words(lower_ascii(unit), BETWEEN_WORDS), pairs_of)
+    def by_rare(found: Column) -> Column:
+        some = F.filter(templates, lambda t: (t["least"] <= F.size(found)) & (
+            F.size(F.array_intersect(found, t["rare"])) >= t["least"]))
+        return F.when(F.size(found) > 0, some).otherwise(F.slice(templates, 1, 0))
+
+    def by_all(some: Column) -> Column:
+        whole = let(F.array_distinct(h), lambda d: F.filter(some, lambda t: (
+            F.size(F.array_intersect(d, t["pairs"])) * WIDE >= t["n"] * MIN_PERCENT)))
+        return F.when(F.size(some) > 0, whole).otherwise(some)
+
+    return let(let(F.array_distinct(F.filter(h, mapped)), by_rare), by_all)
+
+
+def _run_hits(t: Column, h: Column, starts: Column) -> Column:
+    """What runs of segments match of one template. ``starts``: the first word of each segment."""
+    def end_of(j: Column) -> Column:
+        return F.coalesce(F.get(starts, j + 1), F.size(h) + 1)  # the word after a segment's last
+
+    def islands(common: Column) -> Column:
+        def dense_segment(s: Column, j: Column) -> Column:
+            n = F.least(end_of(j), F.size(h)) - s  # bigrams that begin in it
+            shared = F.size(F.filter(F.slice(h, s + 1, F.greatest(n, F.lit(0))), lambda x: F.array_contains(common, x)))
+            return (shared > 0) & (2 * shared >= n)
+
+        def ends(dense: Column) -> Column:
+            none = F.lit(False)
+            begins = F.filter(F.transform(dense, lambda x, j: F.when(
+                x & ~F.coalesce(F.get(dense, j - 1), none), starts[j])), lambda x: x.isNotNull())
+            stops = F.filter(F.transform(dense, lambda x, j: F.when(
+                x & ~F.coalesce(F.get(dense, j + 1), none), end_of(j))), lambda x: x.isNotNull())
+            return F.struct(begins.alias("begins"), stops.alias("stops"))
+
+        return let(F.transform(starts, dense_segment), ends)
+
+    def between(i: Column) -> Column:
+        def from_one(a: Column, nth: Column) -> Column:
+            stops = F.filter(i["stops"], lambda e, at: (at == nth) | (
+                (e > a) & ((e - a - 1) * MIN_PERCENT <= t["n"] * WIDE)))
+            return F.flatten(F.transform(stops, lambda e: let(
+                F.array_distinct(F.slice(h, a + 1, e - a - 1)), lambda pairs: _scored(pairs, F.array(t)))))
+
+        return F.flatten(F.transform(i["begins"], from_one))
+
+    return let(let(F.array_intersect(h, t["pairs"]), islands), between)
+
+
+def _text_hits(text: Column, h: Column, near: Column) -> Column:
+    """Hits of each unit that has one, and of all runs, for a text near some templates."""
+    of_units = F.transform(F.filter(units(text), lambda u: u != ""), lambda u: let(
+        F.array_distinct(_pairs_of(u)), lambda pairs: _scored(pairs, near)))
+    segments = F.filter(F.transform(F.split(text, SENTENCE_BREAK), lambda s: words(lower_ascii(s), BETWEEN_WORDS)),
+                        lambda ws: F.size(ws) > 0)
+    first = F.flatten(F.transform(segments, lambda ws: F.transform(ws, lambda _, i: i == 0)))
+    starts = F.filter(F.transform(first, lambda x, i: F.when(x, i)), lambda x: x.isNotNull())
+    of_runs = let(starts, lambda at: F.flatten(F.transform(near, lambda t: _run_hits(t, h, at))))
+    return F.struct(F.filter(of_units, lambda m: F.size(m) > 0).alias("units"), of_runs.alias("runs"))
+
+
+def _pairs_of(unit: Column) -> Column:
+    return let(words(lower_ascii(unit), BETWEEN_WORDS), _pairs)
 
 
 def license_scan(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id``, ``n_units``, ``n_matched`` (units that match
-    a template), ``licenses`` (names, sorted, comma-joined), ``best_dice`` and
-    ``best_license`` (null without a match)."""
-    sizes = [len(template_bigrams(t)) for _, t in TEMPLATES]
-    fewest = min(-(-n * MIN_PERCENT // WIDE) for n in sizes)
-    df = docs.select("doc_id", F.filter(units(F.col("text")), lambda u: u != "").alias("units"))
-    df = df.select("doc_id", F.size("units").cast("long").alias("n_units"), F.filter(
-        F.transform("units", lambda u: _matches(u, _template_column(), fewest)), lambda m: F.size(m) > 0).alias("found"))
-    hits = F.flatten("found")
-    best = F.sort_array(F.transform(hits, lambda h: F.struct((-h["dice"]).alias("d"), h["name"].alias("name"))))
-    df = df.select("doc_id", "n_units", F.size("found").cast("long").alias("n_matched"), hits.alias("hits"), best.alias("best"))
+    a template), ``licenses`` (names found in units and runs, sorted, comma-joined),
+    ``best_dice`` and ``best_license`` (null without a match)."""
+    templates, bits = _template_column(), _bit_map()
+    text = F.coalesce(F.col("text"), F.lit(""))
+    nothing = F.lit(None).cast(f"struct<units:array<{_HITS}>,runs:{_HITS}>")
+
+    def scan(h: Column) -> Column:
+        return let(_near_templates(h, templates, bits), lambda near: F.when(
+            F.size(near) > 0, _text_hits(text, h, near)).otherwise(nothing))
+
+    df = docs.select("doc_id", F.size(F.filter(units(text), lambda u: u != "")).cast("long").alias("n_units"),
+                     let(_pairs_of(text), scan).alias("found"))
+    hits = F.coalesce(F.concat(F.flatten("found.units"), F.col("found.runs")), F.array().cast(_HITS))
+    df = df.select("doc_id", "n_units", F.coalesce(F.size("found.units"), F.lit(0)).cast("long").alias("n_matched"), hits.alias("hits"))
+    best = F.sort_array(F.transform("hits", lambda h: F.struct((-h["dice"]).alias("d"), h["name"].alias("name"))))
+    df = df.withColumn("best", best)
     first = F.when(F.size("best") > 0, F.element_at("best", 1))
     return df.select(
-        "doc_id", "n_units", "n_matched",
+        "doc_id", "n_units", F.greatest("n_matched", F.lit(0).cast("long")).alias("n_matched"),
         F.array_join(F.sort_array(F.array_distinct(F.transform("hits", lambda h: h["name"]))), ",").alias("licenses"),
         F.round(-first["d"], 9).alias("best_dice"), first["name"].alias("best_license"))

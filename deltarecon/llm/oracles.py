@@ -162,8 +162,44 @@ WITH t(i, name, n, pairs) AS (VALUES {_template_rows()}
 ), scored AS (
   SELECT r, k, name, len(list_intersect(up.pairs, t.pairs)) AS shared, len(up.pairs) + t.n AS sizes
   FROM up JOIN t ON t.n * {_l.MIN_PERCENT} <= len(up.pairs) * {_l.WIDE} AND len(up.pairs) * {_l.MIN_PERCENT} <= t.n * {_l.WIDE}
+), seg AS (
+  SELECT r, unnest(range(len(q))) AS s, unnest(q) AS ws FROM (
+    SELECT r, list_filter(list_transform(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '{_l.SENTENCE_BREAK}'), lambda x: list_filter(string_split_regex(x, '{_l.BETWEEN_WORDS}'), lambda w: w <> '')),
+      lambda x: len(x) > 0) AS q FROM d)
+), word AS (
+  SELECT r, s, w, row_number() OVER (PARTITION BY r ORDER BY s, j) - 1 AS i
+  FROM (SELECT r, s, unnest(ws) AS w, unnest(range(len(ws))) AS j FROM seg)
+), pair AS (
+  SELECT r, s, i, w || ' ' || lead(w) OVER (PARTITION BY r ORDER BY i) AS p FROM word
+), tp AS (
+  SELECT i AS k, n, name, unnest(pairs) AS p FROM t
+), shared AS (
+  SELECT r, s, i, k, n, name, p FROM pair JOIN tp USING (p)
+), near AS (
+  SELECT r, k FROM shared GROUP BY r, k HAVING count(DISTINCT p) * {_l.WIDE} >= any_value(n) * {_l.MIN_PERCENT}
+), dense AS (
+  SELECT r, k, s, a, e, s - row_number() OVER (PARTITION BY r, k ORDER BY s) AS island
+  FROM near JOIN (SELECT r, k, s, count(*) AS m FROM shared GROUP BY r, k, s) USING (r, k)
+  JOIN (SELECT r, s, min(i) AS a, max(i) + 1 AS e, count(p) AS n FROM pair GROUP BY r, s) USING (r, s)
+  WHERE 2 * m >= n
+), island AS (
+  SELECT r, k, island, min(a) AS a, max(e) AS e FROM dense GROUP BY r, k, island
+), run AS (
+  SELECT r, k, x.a AS a, y.e AS e FROM island x JOIN island y USING (r, k) JOIN t ON t.i = k
+  WHERE x.island = y.island OR y.e > x.a AND (y.e - x.a - 1) * {_l.MIN_PERCENT} <= t.n * {_l.WIDE}
+), run_size AS (
+  SELECT r, k, a, e, count(DISTINCT p) AS size
+  FROM run JOIN pair USING (r) WHERE i >= a AND i < e - 1 GROUP BY r, k, a, e
+), run_shared AS (
+  SELECT r, k, a, e, count(DISTINCT p) AS shared FROM run JOIN shared USING (r, k) WHERE i >= a AND i < e - 1 GROUP BY r, k, a, e
+), scored_runs AS (
+  SELECT r, CAST(NULL AS BIGINT) AS k, name, shared, size + n AS sizes
+  FROM run_size JOIN run_shared USING (r, k, a, e) JOIN t ON t.i = k
+  WHERE n * {_l.MIN_PERCENT} <= size * {_l.WIDE} AND size * {_l.MIN_PERCENT} <= n * {_l.WIDE}
 ), hit AS (
-  SELECT *, 2.0 * shared / sizes AS dice FROM scored WHERE 200 * shared >= {_l.MIN_PERCENT} * sizes
+  SELECT *, 2.0 * shared / sizes AS dice FROM (SELECT * FROM scored UNION ALL SELECT * FROM scored_runs)
+  WHERE 200 * shared >= {_l.MIN_PERCENT} * sizes
 ), agg AS (
   SELECT r, count(DISTINCT k) AS n_matched, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses,
     max(dice) AS best_dice FROM hit GROUP BY r

@@ -20,8 +20,45 @@ def texts():
             long + "\nLicensed under the Apache License, Version 2.0.", "a b " * 50_000]
 
 
+PARTS = MIT.replace(": The above", ":\n\nThe above").replace(". THE SOFTWARE", ".\n\nTHE SOFTWARE")
+APACHE = next(t for n, t in licenses.TEMPLATES if n == "Apache-2.0" and 300 < len(t) < 1000)
+APACHE = APACHE.replace(" You may obtain", "\n   You may obtain").replace("LICENSE-2.0 ", "LICENSE-2.0\n\n   ").replace("implied. ", "implied.\n")
+STATEMENT = "This work is licensed under a Creative Commons\nAttribution 4.0 International License."
+
+
+def inside():
+    """Licences in several paragraphs or lines, inside longer texts."""
+    prose = "\n".join(f"Line {i} of the text around it, in which nothing is said. It goes on." for i in range(40))
+    return {
+        "MIT": [f"{prose}\n\n{PARTS}\n\n{prose}", f"Readme\n\nCopyright (c) 2001 A\n\n{PARTS}\n\nThanks. {prose}",
+                f"{prose}\n{MIT.replace('. ', '.' + chr(10))}", f"{PARTS}\n\n{PARTS}\n\n{prose}",
+                f"{prose} {PARTS.replace('. ', '.' + chr(10) + 'As is said in 2001.' + chr(10), 1)} {prose}"],
+        "Apache-2.0": [f"{prose}\n\n   {APACHE}\n\n{prose}", f"# {APACHE.replace(chr(10), chr(10) + '# ')}\n\n{prose}"],
+        "CC-BY-4.0": [f"{prose}\n{STATEMENT}\n{prose}", f"Some words before it. {STATEMENT} Some words after it. {prose}"],
+        "": [prose, f"{prose}\n{PARTS[:250]}\n{prose}", f"{prose}\n\nThis work is licensed\n{prose}"],
+    }
+
+
+def test_licences_over_several_paragraphs_or_lines(make_docs):
+    rows = [(i, t) for i, t in enumerate(t for ts in inside().values() for t in ts)]
+    want = [name for name, ts in inside().items() for _ in ts]
+    found = {r["doc_id"]: r["best_license"] or "" for r in licenses.license_scan(make_docs(rows)).collect()}
+    assert [found[i] for i, _ in rows] == want  # others of nearly the same words may be named besides
+
+
+def test_texts_that_match_hold_rare_bigrams():
+    """Whatever a match lacks, one of the rare bigrams is left."""
+    for (_, text), rare in zip(licenses.TEMPLATES, licenses.rare_bigrams()):
+        pairs = licenses.template_bigrams(text)
+        # The least a match shares: with a part as small as the bound allows, all of it shared.
+        least = -(-len(pairs) * licenses.MIN_PERCENT // licenses.WIDE)
+        assert rare <= pairs and len(rare) > len(pairs) - least
+
+
 def test_texts_match_sql(make_docs):
-    rows = [(i if i != 3 else None, t) for i, t in enumerate(texts())] + [(4, "MIT License")]
+    full = [f"Before.\n\n{t}\n\nAfter it." for t in licenses.TEXTS.values()]
+    rows = [(i if i != 3 else None, t) for i, t in enumerate([*texts(), *(t for ts in inside().values() for t in ts), *full])]
+    rows += [(4, "MIT License")]
     df = make_docs(rows)
     documents = df.toPandas()
     documents["doc_id"] = documents["doc_id"].astype("Int64")
