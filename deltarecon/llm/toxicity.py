@@ -23,8 +23,10 @@ taken, the gain of its best feature.
 
 Bounds: the character model has 28 classes, so 28 ** 3 counts whatever the corpus,
 and counts all of it. The judge learns from at most ``TRAIN_ROWS`` labelled rows,
-those with the least hash of their id, and keeps at most ``MAX_FEATURES``; both are
-sent to all executors.
+those with the least hash of their id, and keeps the words of these rows that
+``MIN_TOXIC`` toxic ones hold and that gain ``MIN_GAIN``: no more than a quarter of the
+words in the toxic ones. Both are sent to all executors. Paths of the lattice are kept as linked letters,
+so that a word of any length is decoded exactly, in time linear in it.
 
 Cases: null, empty and wordless texts get the base rate; without training rows
 every text gets 0.5, without toxic ones among them a rate near 0; labels without an
@@ -39,23 +41,22 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deltarecon.session import materialize
+
 TRAIN_ROWS = 20_000
-MAX_FEATURES = 20_000
 MIN_TOXIC = 4  # toxic training texts that a feature needs
 MIN_GAIN = 2.0
 PRIOR_WEIGHT = 6.0
 STEM = 6
 THRESHOLD = 0.7
-SPAN = 40  # characters after which the lattice settles what all paths agree on
-MAX_OPEN = 2_000  # letters that may be left open; then the best path alone goes on
-CACHE = 400_000
+CACHE = 400_000  # words a worker keeps
+MAX_WORDS = 500_000  # distinct words that a task counts before it spells them out
 
 # What characters imitate, and the channel's costs in nats.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a",
@@ -81,19 +82,38 @@ def _classes(word: str) -> str:
     return "".join(c if "a" <= c <= "z" else OTHER for c in word)
 
 
+_ALPHABET = EDGE + "abcdefghijklmnopqrstuvwxyz" + OTHER
+
+
+def _add_trigrams(words: Counter, total: np.ndarray) -> None:
+    """Adds the trigrams of all plain words, as often as each was counted."""
+    plain = ((w if w.isalpha() else _EDGES.sub("", w), n) for w, n in words.items())
+    plain = [(w, n) for w, n in plain if w.isalpha() or _PLAIN.fullmatch(w)]
+    if not plain:
+        return
+    codes = np.frombuffer((EDGE + (EDGE * 3).join(w for w, _ in plain) + EDGE).encode("utf-32-le"), "<u4").astype(np.int64)
+    codes = np.where(codes == ord(EDGE), 0, np.where((codes >= 97) & (codes <= 122), codes - 96, 27))
+    codes = np.concatenate([[0], codes])
+    # Each word is spelt ^^word^, and so has one trigram more than letters.
+    lengths = np.array([len(w) for w, _ in plain])
+    starts = np.cumsum(lengths + 3) - (lengths + 3)
+    at = np.repeat(starts - np.concatenate([[0], np.cumsum(lengths + 1)[:-1]]), lengths + 1) + np.arange((lengths + 1).sum())
+    grams = (codes[at] * 28 + codes[at + 1]) * 28 + codes[at + 2]
+    total += np.bincount(grams, np.repeat(np.array([n for _, n in plain], np.float64), lengths + 1), 28 ** 3).astype(np.int64)
+
+
 def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    grams: Counter = Counter()
+    total, words = np.zeros(28 ** 3, np.int64), Counter()
     for b in batches:
-        words: Counter = Counter()
         for t in b.column(0):
             words.update((t.as_py() or "").lower().split())
-        for w, n in words.items():
-            w = _EDGES.sub("", w)
-            if _PLAIN.fullmatch(w):
-                s = EDGE * 2 + _classes(w) + EDGE
-                for i in range(len(s) - 2):
-                    grams[s[i:i + 3]] += n
-    yield pa.RecordBatch.from_arrays([pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], ["gram", "n"])
+            if len(words) > MAX_WORDS:
+                _add_trigrams(words, total)
+                words.clear()
+    _add_trigrams(words, total)
+    found = np.flatnonzero(total)
+    grams = [_ALPHABET[g // 784] + _ALPHABET[g // 28 % 28] + _ALPHABET[g % 28] for g in found.tolist()]
+    yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(total[found])], ["gram", "n"])
 
 
 def character_model(docs: DataFrame) -> dict[str, float]:
@@ -108,6 +128,26 @@ def character_model(docs: DataFrame) -> dict[str, float]:
     return model
 
 
+# What a path has read: all but the last letter, the last one, and how many.
+_Read = tuple | None
+
+
+def _comes_before(a: _Read, b: _Read) -> bool:
+    """Whether reading ``a`` sorts before ``b``; walks back to where they part."""
+    if a is b or not a or not b:
+        return a is None and b is not None
+    tails: tuple[list[str], list[str]] = [], []
+    while a is not b:
+        da, db = (a[2] if a else 0), (b[2] if b else 0)
+        if da >= db:
+            tails[0].append(a[1])
+            a = a[0]
+        if db >= da:
+            tails[1].append(b[1])
+            b = b[0]
+    return tails[0][::-1] < tails[1][::-1]
+
+
 class Restorer:
     """Restores words under a character model."""
 
@@ -122,42 +162,49 @@ class Restorer:
     def decode(self, chars: str, literal: bool = False, ends: bool = False) -> str:
         """The best reading of one lattice, letters only. A literal one repeats no letter
         and drops no imitation but ``PUNCTUATION``. With ``ends`` words may end anywhere
-        and are read with spaces between them."""
+        and are read with spaces between them. Of equal costs the smallest reading."""
         # By the last two classes and the last letter: cost and reading.
-        paths: dict[tuple[str, str], tuple[float, str]] = {(EDGE * 2, ""): (0.0, "")}
+        paths: dict[tuple[str, str], tuple[float, _Read]] = {(EDGE * 2, ""): (0.0, None)}
         letters = [i for i, c in enumerate(chars) if c.isalpha()] or [0]
-        settled = []
         for i, c in enumerate(chars):
             inside = letters[0] < i < letters[-1]
             drop = COST_DROP if c not in LEET else COST_DROP_INSIDE if inside else COST_DROP_EDGE
             can_drop = not c.isalpha() and not (literal and c in LEET and c not in PUNCTUATION)
             readings = [(c, 0.0)] if c.isalpha() else [(x, COST_LEET) for x in LEET.get(c, "")]
             readings = [(x, x if "a" <= x <= "z" else OTHER, extra) for x, extra in readings]
-            nxt: dict[tuple[str, str], tuple[float, str]] = {}
+            nxt: dict[tuple[str, str], tuple[float, _Read]] = {}
+
+            def offer(key: tuple[str, str], cost: float, read: _Read) -> None:
+                old = nxt.get(key)
+                if old is None or cost < old[0] or cost == old[0] and _comes_before(read, old[1]):
+                    nxt[key] = cost, read
+
             for (two, last), (cost, read) in paths.items():
-                offers = []
                 for letter, k, extra in readings:
-                    offers.append(((two[1] + k, letter), (cost + extra - self._step(two, k), read + letter)))
+                    longer = read, letter, (read[2] if read else 0) + 1
+                    offer((two[1] + k, letter), cost + extra - self._step(two, k), longer)
                     if letter == last and not literal:
-                        offers.append(((two, last), (cost + extra + COST_REPEAT, read)))
+                        offer((two, last), cost + extra + COST_REPEAT, read)
                 if can_drop:
-                    offers.append(((two, last), (cost + drop, read)))
-                for key, path in offers:
-                    if key not in nxt or path < nxt[key]:
-                        nxt[key] = path
+                    offer((two, last), cost + drop, read)
             if ends:
                 # A path at a word's end has read a space last, and its next letter begins a word.
                 for (two, _), (cost, read) in list(nxt.items()):
-                    path = cost + COST_END - self._step(two, EDGE), read + " "
-                    if two != EDGE * 2 and ((EDGE * 2, "") not in nxt or path < nxt[EDGE * 2, ""]):
-                        nxt[EDGE * 2, ""] = path
+                    if two != EDGE * 2:
+                        offer((EDGE * 2, ""), cost + COST_END - self._step(two, EDGE), (read, " ", read[2] + 1))
             paths = nxt
-            if i % SPAN == SPAN - 1:
-                paths = self._settle(paths, settled)
         if ends:
             paths = {key: path for key, path in paths.items() if key[0] != EDGE * 2} or paths
-        settled.append(min((cost - self._step(two, EDGE), read) for (two, _), (cost, read) in paths.items())[1])
-        return "".join(settled)
+        best: tuple[float, _Read] | None = None
+        for (two, _), (cost, read) in paths.items():
+            cost -= self._step(two, EDGE)
+            if best is None or cost < best[0] or cost == best[0] and _comes_before(read, best[1]):
+                best = cost, read
+        out, read = [], best[1] if best else None
+        while read:
+            out.append(read[1])
+            read = read[0]
+        return "".join(reversed(out))
 
     def _unrepeated(self, word: str) -> str:
         """``decode`` for letters only, none tripled: each doubled one is decided on its own."""
@@ -169,16 +216,6 @@ class Restorer:
                 out, done = out + word[done:i], i + 1
         return out + word[done:]
 
-    @staticmethod
-    def _settle(paths: dict, settled: list[str]) -> dict:
-        """The paths without the beginning that all share, which is settled."""
-        if max(len(read) for _, read in paths.values()) > MAX_OPEN:
-            key = min(paths, key=paths.__getitem__)
-            paths = {key: paths[key]}
-        shared = commonprefix([read for _, read in paths.values()])
-        settled.append(shared)
-        return {key: (cost, read[len(shared):]) for key, (cost, read) in paths.items()}
-
     def readings(self, word: str) -> tuple[str, ...]:
         """The readings of a word; none if nothing in it is a letter or imitates one."""
         if word.isalpha() and not _DOUBLE.search(word):
@@ -207,11 +244,12 @@ class _Restored(dict):
     def __missing__(self, word: str) -> tuple[str, ...]:
         if len(self) > CACHE:
             self.clear()
-        # Marks at the edges that imitate no letter cost every path the same.
-        bare = word if word.isalpha() else _IDLE.sub("", word)
-        out = self[word] = self[bare] if bare != word else self.restorer.readings(word)
+        out = self[word] = self.read(word)
         return out
 
+    def read(self, word: str) -> tuple[str, ...]:
+        # Marks at the edges that imitate no letter cost every path the same.
+        return self.restorer.readings(word if word.isalpha() else _IDLE.sub("", word))
 
     def spaced(self, run: str) -> tuple[str, ...]:
         """The readings of a run of single characters: as words with spaces between, and as one word."""
@@ -278,29 +316,75 @@ def learn(docs: DataFrame, rows: DataFrame, model: dict[str, float]) -> tuple[fl
 
     counts = texts.select("text", "toxic").mapInArrow(count, "feature string, n long, toxic long")
     counts = counts.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
-    top = counts.filter((F.col("feature") == "") | (F.col("toxic") >= MIN_TOXIC)).orderBy(
-        F.col("feature") != "", F.desc(F.col("toxic") / (F.col("n") + PRIOR_WEIGHT)), F.desc("n"), "feature").limit(MAX_FEATURES + 1)
-    found = top.collect()
-    if not found:
+    counts = materialize(counts.filter((F.col("feature") == "") | (F.col("toxic") >= MIN_TOXIC)), "features")
+    texts_seen = counts.filter("feature = ''").first()
+    if texts_seen is None:
         return 0.0, {}
-    base = (found[0]["toxic"] + 0.5) / (found[0]["n"] + 1)
+    base = (texts_seen["toxic"] + 0.5) / (texts_seen["n"] + 1)
     logit = lambda p: math.log(p / (1 - p))
-    gains = {r["feature"]: logit((r["toxic"] + PRIOR_WEIGHT * base) / (r["n"] + PRIOR_WEIGHT)) - logit(base) for r in found[1:]}
+    # What gains enough has at least this precision; a little less, for rounding.
+    least = 1 / (1 + math.exp(-logit(base) - MIN_GAIN)) * (1 - 1e-9)
+    precision = (F.col("toxic") + F.lit(PRIOR_WEIGHT * base)) / (F.col("n") + F.lit(PRIOR_WEIGHT))
+    found = counts.filter((F.col("feature") != "") & (precision >= least)).collect()
+    gains = {r["feature"]: logit((r["toxic"] + PRIOR_WEIGHT * base) / (r["n"] + PRIOR_WEIGHT)) - logit(base) for r in found}
     return logit(base), {f: g for f, g in gains.items() if g >= MIN_GAIN}
 
 
+class _Scorer:
+    """Scores texts, and remembers which words gain."""
+
+    def __init__(self, model: dict[str, float], gains: dict[str, float]) -> None:
+        self.restored, self.gains = _Restored(model), gains
+        self.seen: set[str] = set()
+        self.gaining: dict[str, tuple[str, ...]] = {}
+
+    def _gaining_words(self, readings: tuple[str, ...]) -> tuple[str, ...]:
+        """The words that gain in the reading taken."""
+        if not readings:
+            return ()
+        def gain(reading: str) -> float:
+            return sum(sorted(_gain(w, self.gains) for w in set(reading.split())))
+        taken = readings[0] if len(readings) == 1 else max(readings, key=lambda x: (gain(x), x))
+        return tuple(w for w in dict.fromkeys(taken.split()) if _gain(w, self.gains))
+
+    def total(self, text: str | None) -> float:
+        """``total_gain`` of the text's readings."""
+        text = (text or "").lower()
+        words = set(text.split())
+        if len(self.seen) > CACHE:
+            self.seen.clear()
+            self.gaining.clear()
+        for w in words - self.seen:
+            if found := self._gaining_words(self.restored.read(w)):
+                self.gaining[w] = found
+        self.seen |= words
+        taken = {x for w in words & self.gaining.keys() for x in self.gaining[w]}
+        for run in {"".join(m[0].split()) for m in _RUN.finditer(text)}:
+            taken.update(self._gaining_words(self.restored.spaced(run)))
+        return sum(sorted(_gain(w, self.gains) for w in taken))
+
+
+# The scorer of the last model that this worker met, with the model.
+_KEPT: list[tuple[object, _Scorer]] = []
+
+
+def _scorer(learned: tuple[dict[str, float], dict[str, float]]) -> _Scorer:
+    if not _KEPT or _KEPT[0][0] is not learned:
+        _KEPT[:] = [(learned, _Scorer(*learned))]
+    return _KEPT[0][1]
+
+
 def score(docs: DataFrame, model: dict[str, float], base: float, gains: dict[str, float]) -> DataFrame:
     """``doc_id``, ``held_out`` (where present) and ``score`` per row."""
     passed = [c for c in ("doc_id", "held_out") if c in docs.columns]
     shared = docs.sparkSession.sparkContext.broadcast((model, gains))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, gains = shared.value
-        restored = _Restored(model)
+        scorer = _scorer(shared.value)
         for b in batches:
             scores = []
             for text in b.column(b.num_columns - 1):
-                odds = base + total_gain(restored_readings(text.as_py(), restored), gains)
+                odds = base + scorer.total(text.as_py())
                 scores.append(1 / (1 + math.exp(-max(-500.0, min(500.0, odds)))))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(np.array(scores, np.float64))],
                                              [*b.schema.names[:-1], "score"])

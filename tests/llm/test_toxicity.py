@@ -126,6 +126,56 @@ def test_held_out_accuracy_and_planted_disguises(make_docs, spark):
     assert all(r["predicted"] == 1 for r in got if r["doc_id"] >= 100_000)
 
 
+def test_judge_against_plain_counts(make_docs, spark):
+    """Model, features, gains and scores over a small table, by other means."""
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{SF_CHECK}/documents.parquet' ORDER BY doc_id LIMIT 300").fetchall()
+    rows += [(1000 + i, f"you st.u.p.i.d id1ot number {i} y o u f o o l") for i in range(12)] + [(2000, None), (2001, None)]
+    flags = {i: int(i >= 1000 or i % 40 == 0) for i, t in rows if i % 2 == 0}
+    docs = make_docs(rows)
+    model = tox.character_model(docs)
+    grams = {}
+    for _, t in rows:
+        for w in (t or "").lower().split():
+            w = tox._EDGES.sub("", w)
+            if tox._PLAIN.fullmatch(w):
+                s = "^^" + tox._classes(w) + "^"
+                for i in range(len(s) - 2):
+                    grams[s[i:i + 3]] = grams.get(s[i:i + 3], 0) + 1
+    context = {}
+    for g, n in grams.items():
+        context[g[:2]] = context.get(g[:2], 0) + n
+    assert model == {**{c: math.log(0.1 / (n + 2.8)) for c, n in context.items()},
+                     **{g: math.log((n + 0.1) / (context[g[:2]] + 2.8)) for g, n in grams.items()}}
+
+    labels = spark.createDataFrame(list(flags.items()), "doc_id long, toxic int")
+    base, gains = tox.learn(docs.select("doc_id", "text"), tox.training_rows(labels, F.lit(True)), model)
+    texts = {}
+    for i, t in rows:
+        if i in flags and t is not None:
+            texts[t] = max(texts.get(t, 0), flags[i])
+    seen = {}
+    for t, flag in texts.items():
+        for f in tox._features(tox.restored_words(t, tox._Restored(model))):
+            n, k = seen.get(f, (0, 0))
+            seen[f] = n + 1, k + flag
+    p0 = (sum(texts.values()) + 0.5) / (len(texts) + 1)
+    logit = lambda p: math.log(p / (1 - p))
+    want = {f: logit((k + 6 * p0) / (n + 6)) - logit(p0) for f, (n, k) in seen.items() if k >= 4}
+    want = {f: g for f, g in want.items() if g >= 2}
+    assert base == pytest.approx(logit(p0)) and gains == pytest.approx(want) and "idiot" in gains
+
+    scored = {(r["doc_id"], round(r["score"], 12)) for r in tox.score(docs, model, base, gains).collect()}
+    odds = {(i, base + tox.total_gain(tox.restored_readings(t, tox._Restored(model)), gains)) for i, t in rows}
+    assert scored == {(i, round(1 / (1 + math.exp(-o)), 12)) for i, o in odds}
+
+
+def test_open_letters_of_any_length_are_decoded(model):
+    """Nothing settles in a long row of signs that may be one of two letters."""
+    r = tox.Restorer(model)
+    assert len(r.decode("1" * 5_000, literal=True)) == 5_000
+    assert r.decode("x1" * 3_000 + "idiot", literal=True).endswith("idiot")
+
+
 def test_edges(make_docs, spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     rows = [(1, None), (2, ""), (2, ""), (None, "x y z w v"), (3, "!" * 200_000), (4, "a1" * 100_000)]
