@@ -385,6 +385,10 @@ ORACLES["sink_delimited_roundtrip"] = with_fixtures(
     f"SELECT {delimited(FEED_COLS)} AS value FROM feed WHERE reg_name = ''", "feed")
 _DIFF_COLS = [f"l_{c}" for c in ACCEPTED_COLS] + [f"r_{c}" for c in MASTER_COLS]
 ORACLES["sink_diff_roundtrip"] = flow_sql(f"SELECT {delimited(_DIFF_COLS)} AS value FROM ({diff_select()}) d")
+ORACLES["diff_records_typed"] = flow_sql(diff_select())
+ORACLES["reject_records_malformed"] = with_fixtures(
+    f"SELECT {delimited(['reg_no', 'country', 'reg_no', 'country'])} AS value, '4 fields in place of 3' AS reason "
+    "FROM feed WHERE version_id % 5 = 0 AND reg_no IS NOT NULL AND country IS NOT NULL", "feed")
 ORACLES["sink_overwrite_counts"] = sweep_sql()
 ORACLES["sink_history_append"] = sweep_sql(copies=2)
 ORACLES["sink_history_by_day"] = sweep_sql(outer=f"""

@@ -20,7 +20,7 @@ from ..session import _app_id, scratch_path
 from ..sinks import counts as count_sinks
 from ..sinks import delimited
 from ..sources import counts as count_sources
-from ..sources import fixed_width, registry, tables, text
+from ..sources import fixed_width, records, registry, tables, text
 from ..streaming import history as stream_history
 from . import fixtures as fx
 
@@ -559,6 +559,26 @@ def sink_diff_roundtrip(spark, sf_dir):
     return spark.read.text(result)
 
 
+@query
+def diff_records_typed(spark, sf_dir):
+    """The diff written as delimited records and read back as typed columns."""
+    rec = reconciliation(spark, sf_dir)
+    result = scratch_path(spark, "final_result")
+    schema = rec.diff.drop("diff_side").schema
+    fr.write_reconciliation(rec, result)
+    return records.read_records(spark, result, schema).rows
+
+
+@query
+def reject_records_malformed(spark, sf_dir):
+    """Names that hold the delimiter break their lines; these come out aside."""
+    rejects = fx.feed(spark, sf_dir).select("reg_no", "country", F.expr(
+        "if(version_id % 5 = 0, concat(reg_no, '\u0001', country), reg_no)").alias("reg_name"))
+    path = scratch_path(spark, "records")
+    delimited.write_delimited(rejects, path)
+    return records.read_records(spark, path, rejects.schema).malformed.select("value", "reason")
+
+
 @query
 def sink_overwrite_counts(spark, sf_dir):
     resolve = tables.mapping_resolver({k: (lambda f=f: f(spark, sf_dir)) for k, f in fx.DELTA_TABLES.items()})

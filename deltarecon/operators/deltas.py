@@ -33,6 +33,7 @@ in ``total`` only; ``active + inactive`` may be below ``total``.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import MutableMapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -133,13 +134,20 @@ def delta_counts(
     entity: str | None = None,
     process: str | None = None,
     job_time: str | dt.datetime | None = None,
+    known: MutableMapping[tuple, list[Column]] | None = None,
 ) -> DataFrame:
     """One count row for ``df``: entity, process, six counts, job_time.
 
     ``job_time`` defaults to the query's current timestamp; pass a value for
-    reproducible output.
+    reproducible output. ``known`` keeps the aggregate expressions between calls: they
+    name columns only, so tables whose columns are called alike share them.
     """
-    aggs = delta_metric_columns(df, as_of, created, updated, deleted, mode)
+    known = {} if known is None else known
+    kinds = tuple(df.schema[c].dataType.typeName() for c in (created, updated) if c is not None)
+    asked = (str(as_of), created, updated, deleted, mode, kinds)
+    if asked not in known:
+        known[asked] = delta_metric_columns(df, as_of, created, updated, deleted, mode)
+    aggs = known[asked]
     if job_time is None:
         jt = format_job_time(F.current_timestamp())
     elif isinstance(job_time, dt.datetime):

@@ -28,6 +28,7 @@ from ..sources.tables import TableResolver
 # Tables planned together, and batches that run at a time.
 BATCH_TABLES = 50
 BATCHES_AT_ONCE = 4
+RESOLVED_AT_ONCE = 16
 
 
 def registry_entries(registry: DataFrame) -> list[dict]:
@@ -58,11 +59,27 @@ def _count_rows(entries: list[dict], resolve: TableResolver, as_of: str | dt.dat
                 job_time: str | dt.datetime | None, mode: str) -> list[DataFrame]:
     if not entries:
         raise ValueError("empty registry")
-    return [
-        delta_counts(resolve(e["queue"], e["process"]), as_of, e["created"], e["updated"], e["deleted"],
-                     mode=mode, entity=e["entity"], process=e["process"], job_time=job_time)
-        for e in entries
-    ]
+
+    known: dict = {}
+
+    def one(e: dict) -> DataFrame | Exception:
+        try:
+            return delta_counts(resolve(e["queue"], e["process"]), as_of, e["created"], e["updated"], e["deleted"],
+                                mode=mode, entity=e["entity"], process=e["process"], job_time=job_time,
+                                known=known)
+        except Exception as error:  # reported with the others
+            return error
+
+    # Resolving a table lists its files and reads a footer: many at a time.
+    with ThreadPoolExecutor(RESOLVED_AT_ONCE) as pool:
+        rows = list(pool.map(one, entries))
+    failed = [(e, r) for e, r in zip(entries, rows) if isinstance(r, Exception)]
+    if len(failed) == 1:
+        raise failed[0][1]
+    if failed:
+        raise ExceptionGroup(f"{len(failed)} of {len(entries)} tables can't be counted: "
+                             + ", ".join(f"{e['queue']}.{e['process']}" for e, _ in failed), [r for _, r in failed])
+    return rows
 
 
 def delta_counts_for_registry(

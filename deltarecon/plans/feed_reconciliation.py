@@ -78,9 +78,15 @@ class FeedSpec:
     lookup_key: str = "status_key"
     columns: tuple[str, ...] = FEED_COLUMNS
     rules: Mapping[str, Rule] = field(default_factory=lambda: dict(DEFAULT_RULES))
-    flag_col: str = "rejected_branch_record"
+    flag_col: str = "rejected_branch_record"  # fixed value
     trading_status: str | None = "trading_status"
     null_names: str = "drop"
+    # Whether the parent check shuffles keys and parents alone; None: if rows are wide.
+    narrow_parent_check: bool | None = None
+
+
+# Columns from which on rows count as wide.
+WIDE_COLUMNS = 16
 
 
 def standardize(df: DataFrame, columns: Sequence[str], rules: Mapping[str, Rule]) -> DataFrame:
@@ -121,8 +127,37 @@ def _finish(flagged: DataFrame, spec: FeedSpec) -> DataFrame:
     return flagged.select(spec.flag_col, *cols)
 
 
+def _flagged_by_key(flow: Mapping[str, DataFrame], spec: FeedSpec) -> DataFrame:
+    """``flag_missing_parent`` without shuffling rows by their parent.
+
+    The rows are partitioned by record key after the dedup. The pairs of key and parent
+    of all versions are checked instead (two columns, distinct, by parent), and those
+    with a known parent are joined back by key, to the rows where they are. Which
+    version won a tie doesn't matter: every version's pair is there. A NULL key (one
+    record at most) equals nothing in a join, and goes the wide way.
+    """
+    key = "_record_key"
+    parent = spec.rules.get(spec.parent, trim_text)
+    std = [spec.rules.get(c, trim_text)(F.col(c)).alias(c) for c in spec.columns]
+    rows = flow["lookup_joined"].filter(F.col(spec.key).isNotNull()).select(F.col(spec.key).alias(key), *std)
+    versions = flow["valid"].filter(F.col(spec.ts).isNotNull() & F.col(spec.key).isNotNull())
+    pairs = versions.select(F.col(spec.key).alias("_pair_key"), parent(F.col(spec.parent)).alias("_pair_parent"))
+    known = match_parent(pairs.distinct(), flow["keys"], "_pair_parent", spec.key)
+    # In a coalesce the parent stays a residual, and the key alone is the join key.
+    same = (rows[key] == known["_pair_key"]) & F.coalesce(rows[spec.parent] == known["_pair_parent"], F.lit(False))
+    accepted = (rows[spec.parent] == "") | known["_pair_key"].isNotNull()
+    flag = F.when(accepted, F.lit("N")).otherwise(F.lit("Y")).alias(spec.flag_col)
+    flagged = rows.join(known, same, "left").select(flag, *[rows[c] for c in spec.columns])
+    unkeyed = flow["lookup_joined"].filter(F.col(spec.key).isNull()).select(*std)
+    return flagged.unionByName(
+        flag_missing_parent(unkeyed, flow["keys"], spec.parent, spec.key, spec.flag_col, keys_distinct=True))
+
+
 def accepted_and_rejected(flow: Mapping[str, DataFrame], spec: FeedSpec = FeedSpec()) -> DataFrame:
     """Step 5, one pass: every standardised row with its parent flag."""
+    narrow = spec.narrow_parent_check
+    if narrow or narrow is None and len(spec.columns) > WIDE_COLUMNS:
+        return _finish(_flagged_by_key(flow, spec), spec)
     # keys are distinct: see feed_flow
     flagged = flag_missing_parent(flow["std"], flow["keys"], spec.parent, spec.key, spec.flag_col, keys_distinct=True)
     return _finish(flagged, spec)
@@ -146,7 +181,7 @@ def accepted_rejected_union(flow: Mapping[str, DataFrame], spec: FeedSpec = Feed
 # --- master view -------------------------------------------------------------
 
 def default_master_mapping(detail: DataFrame, hub: DataFrame) -> dict[str, Column]:
-    """Output column -> expression over the detail and hub sides."""
+    """Output column -> expression over the detail and hub sides. The names are fixed values."""
     return {
         "cir_key": trim_text(detail["cir_key"]),
         "status": F.trim(hub["status"]),

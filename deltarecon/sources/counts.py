@@ -14,6 +14,9 @@ from ..functions.formatting import NA_TEXT
 from ..operators.deltas import COUNT_COLUMNS, COUNT_ROW_COLUMNS
 
 
+FILE = "count_file"  # the file that a row was read from
+
+
 def count_line() -> Column:
     """One count row as a line of text."""
     return F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit(NA_TEXT)) for c in COUNT_ROW_COLUMNS])
@@ -23,8 +26,10 @@ def parse_count_lines(lines: DataFrame, *keep: str) -> DataFrame:
     """Typed count rows of text lines (column ``value``); ``keep`` columns are passed on."""
     fields = F.split("value", ",", -1)
 
+    file = F.concat(F.lit(" in "), F.col(FILE)) if FILE in lines.columns else F.lit("")
+
     def bad(what: str) -> Column:
-        return F.raise_error(F.concat(F.lit(f"{what}: "), F.col("value")))
+        return F.raise_error(F.concat(F.lit(what), file, F.lit(": "), F.col("value")))
 
     def count(text: Column) -> Column:
         number = text.rlike("^-?[0-9]+$")
@@ -33,19 +38,25 @@ def parse_count_lines(lines: DataFrame, *keep: str) -> DataFrame:
 
     rows = lines.filter("value <> ''").select(
         F.when(F.size(fields) == len(COUNT_ROW_COLUMNS), fields).otherwise(
-            bad("count line without nine fields").cast("array<string>")).alias("_f"), "value", *keep)
+            bad("count line without nine fields").cast("array<string>")).alias("_f"), "value",
+        *[c for c in (FILE,) if c in lines.columns and c not in keep], *keep)
     cols = [count(F.col("_f")[i]) if c in COUNT_COLUMNS else F.col("_f")[i] for i, c in enumerate(COUNT_ROW_COLUMNS)]
     return rows.select(*[c.alias(n) for c, n in zip(cols, COUNT_ROW_COLUMNS)], *keep)
 
 
-def read_count_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Typed count rows from one folder, file or glob (``_SUCCESS`` skipped)."""
-    return parse_count_lines(spark.read.text(path))
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias(FILE))
+
+
+def read_count_rows(spark: SparkSession, path: str, with_file: bool = False) -> DataFrame:
+    """Typed count rows from one folder, file or glob (``_SUCCESS`` skipped). Errors name
+    the file; ``with_file`` adds it to the rows as ``count_file``."""
+    return parse_count_lines(_lines(spark, path), *([FILE] if with_file else []))
 
 
-def read_count_tree(spark: SparkSession, base: str) -> DataFrame:
+def read_count_tree(spark: SparkSession, base: str, with_file: bool = False) -> DataFrame:
     """Every count file two levels below ``base`` (one folder per process run)."""
-    return read_count_rows(spark, f"{base.rstrip('/')}/*/*")
+    return read_count_rows(spark, f"{base.rstrip('/')}/*/*", with_file)
 
 
 def read_history_by_day(spark: SparkSession, path: str) -> DataFrame:
