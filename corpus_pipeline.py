@@ -7,11 +7,13 @@ Rows that a stage rejects go; the cleaned or shortened text replaces ``text`` (a
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from deltarecon.llm import decontaminate, mixing, quality, simhash, suffix_dedup
 from deltarecon.llm.common import table
-from deltarecon.session import materialize
+from deltarecon.session import hand_over, materialize, remove_path, scratch_scope
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +55,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, applied to ``documents``."""
-    docs = table(spark, sf_dir, "documents")
-    *before, (_, last) = STAGES
-    for name, stage in before:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+    """All stages, applied to ``documents``. What a stage writes on its way goes when its
+    result is written, and that when the next one's is. The last result is lazy: what
+    it reads goes with the caller's ``session.scratch_scope``."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    *firsts, (_, last) = STAGES
+    for name, stage in firsts:
+        with scratch_scope(spark) as made:
+            docs = materialize(stage(spark, docs, sf_dir), name)
+            path = made.pop()
+        if before:
+            remove_path(spark, os.path.dirname(before))
+        before = path
+    hand_over(before)
     return last(spark, docs, sf_dir)

@@ -133,6 +133,12 @@ def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
             remove_path(spark, os.path.dirname(path))
 
 
+def hand_over(path: str) -> None:
+    """Gives a path to the innermost open scope, as after its own scope has ended."""
+    if _SCOPES[-1] is not None:
+        _SCOPES[-1].append(path)
+
+
 def _file_system(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
