@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deltarecon.session import materialize
+from deltarecon.session import materialize_to, remove_path, scratch_path
 
 
 def _pointed(edges: DataFrame) -> DataFrame:
@@ -41,10 +41,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of the links ``(a, b)``; root is the
     least node of its component. Every round is written to the shared folder,
     and only two numbers a round reach the driver. No links: no rows."""
-    edges = materialize(_pointed(edges), "links")
+    spark = edges.sparkSession
+    path = scratch_path(spark, "links")
+    edges = materialize_to(_pointed(edges), path)
     seen = _fingerprint(edges)
     while seen[0]:
-        edges = materialize(_contract(_contract(edges, True), False), "links")
+        before, path = path, scratch_path(spark, "links")
+        edges = materialize_to(_contract(_contract(edges, True), False), path)
+        remove_path(spark, before)  # the links before are read no more
         now = _fingerprint(edges)
         if now == seen:
             break

@@ -74,28 +74,36 @@ class Encoder:
         return self.vectors[self.row[np.searchsorted(self.known, keys)]]
 
     def grams(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct n-grams of a text and their counts; none without a letter."""
+        """The distinct n-grams of a text and their counts; none without a letter. Read in
+        pieces, whose cuts change nothing: the last letters go on to the next one."""
         keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         text = (text or "").lower()
+        tail, last, letters = np.array([_GAP], np.int64), 0, False
+
+        def add(codes: np.ndarray) -> None:
+            key = sum(codes[i:len(codes) - N + 1 + i] << 21 * (N - 1 - i) for i in range(N))
+            distinct, n = np.unique(key, return_counts=True)
+            keys.append(distinct)
+            counts.append(n)
+
         for at in range(0, len(text), PIECE):
-            codes = np.frombuffer(text[max(0, at - N + 1):at + PIECE].encode("utf-32-le"), "<u4").astype(np.int64)
+            codes = np.frombuffer(text[at:at + PIECE].encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
             kind = self.kind[codes]
             if (kind == 2).any():
                 for c in np.unique(codes[kind == 2]).tolist():
                     self.kind[c] = chr(c).isalpha()
                 kind = self.kind[codes]
-            if not kind.any():
-                continue
+            letters = letters or bool(kind.any())
             codes = np.where(kind == 1, codes, _GAP)
-            codes = codes[np.concatenate([[True], (codes[1:] != _GAP) | (codes[:-1] != _GAP)])]
-            codes = np.concatenate([[_GAP], codes, [_GAP]]) if len(text) <= PIECE else codes
-            if len(codes) < N:
-                codes = np.concatenate([codes, [_GAP] * (N - len(codes))])
-            key = sum(codes[i:len(codes) - N + 1 + i] << 21 * (N - 1 - i) for i in range(N))
-            distinct, n = np.unique(key, return_counts=True)
-            keys.append(distinct)
-            counts.append(n)
-        return _added(keys, counts)
+            before = np.concatenate([[last], codes[:-1]])
+            last = int(codes[-1])
+            joined = np.concatenate([tail, codes[(codes != _GAP) | (before != _GAP)]])
+            if at + PIECE >= len(text):
+                joined = np.concatenate([joined, [_GAP] * max(1, N - len(joined))])
+            if len(joined) >= N:
+                add(joined)
+            tail = joined[-(N - 1):]
+        return _added(keys, counts) if letters else (keys[0], counts[0])
 
     def bundles(self, grams: list[tuple[np.ndarray, np.ndarray]], kind: type = np.float32) -> np.ndarray:
         """For each text's n-grams the sum of their vectors."""

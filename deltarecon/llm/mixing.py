@@ -6,7 +6,9 @@ sources alike) and 1 (as they are): the weights' entropy falls as a grows,
 so it is lowered until the entropy reaches a target share of ln(number of
 sources). A smaller a repeats small sources more often, so a second bisection
 raises it until no source is read more than ``max_repeats`` times. The larger
-exponent holds.
+exponent holds. It is never over 1: a corpus more even than the target stays as it
+is. A budget of more than ``max_repeats`` times all tokens can't be drawn within the
+limit and raises an error.
 
 The weights times the token budget are then drawn. The documents of a source
 are dealt to blocks of about ``block_tokens`` by hash; an epoch is a
@@ -18,8 +20,9 @@ Scale: what is kept per source is one row, written once; each pass of the
 bisection evaluates all midpoints that ``DEPTH`` halvings can visit in one
 aggregate of one row. Offsets along a permutation are sums over groups of
 blocks, over blocks of a group, and over documents of a block, so a source with
-a third of all rows is spread over its blocks and no window holds a whole
-source.
+a third of all tokens is spread over its blocks and no window holds a whole
+source. Blocks follow tokens: documents without any lie in the blocks of the others,
+and rows equal in id and number of tokens share one.
 
 Cases: a null ``source`` is a source of its own; null and empty texts have no
 tokens and are drawn with the block they are in; sources without any token get
@@ -101,6 +104,8 @@ def source_weights(tokens: DataFrame, target_entropy: float, max_repeats: float,
     total, n = sums.agg(F.sum("tokens"), F.count("*")).first()
     total = int(total or 0)
     budget = total if budget_tokens is None else int(budget_tokens)
+    if total and budget > max_repeats * total:
+        raise ValueError(f"{budget} tokens are more than {max_repeats:g} times the {total} there are")
     sums = sums.withColumn("share", F.col("tokens") / F.lit(float(total or 1)))
     exponent = 1.0
     if n > 1:

@@ -5,8 +5,10 @@ Every line with a word is held against three rules:
 * punctuation: some sentence ends in it (closing quotes and brackets may follow
   the mark), and symbols and runs of exclamation or question marks are at
   most ``MAX_NOISE`` of its characters;
-* navigation: no menu separators, breadcrumbs or bare links;
-* boilerplate: none of the fixed phrases of site furniture.
+* navigation: no menu separators, breadcrumbs or bare links, nor a line that is one of
+  the usual English labels;
+* boilerplate: none of the fixed phrases of site furniture. Phrases and labels are
+  English, the other rules hold for any language.
 
 Failing lines are removed. A document is rejected if the base rules fail, or if
 more than ``MAX_LOST`` of the characters in its lines were removed.
@@ -26,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deltarecon.llm.common import SPACE, let, run_lengths, words
+from deltarecon.llm.common import SPACE, free_name, let, run_lengths, words
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -78,8 +80,7 @@ def quality_measures(docs: DataFrame) -> DataFrame:
     ``lost`` (share of characters in removed lines), ``kept`` and ``cleaned`` (the
     lines that passed). A column of that name is replaced."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    ws, lines = "__ws", "__lines"
-    windows, good = "__windows", "__good"
+    ws, lines, windows, good, measured = (free_name(docs, n) for n in ("ws", "lines", "windows", "good", "measured"))
     df = docs.withColumns({ws: words(text), lines: lines_of(text)})
     df = df.withColumns({
         windows: F.transform(F.slice(ws, 1, F.greatest(F.size(ws) - 2, F.lit(0))),
@@ -94,17 +95,17 @@ def quality_measures(docs: DataFrame) -> DataFrame:
     n_repeat = repeated_words(F.col(windows))
     n_lines = F.size(lines)
     lost = F.when(chars(lines) > 0, 1 - chars(good) / chars(lines)).otherwise(F.lit(0.0))
-    df = df.withColumn("__m", F.struct(
+    df = df.withColumn(measured, F.struct(
         n_words.alias("n_words"),
         F.char_length(F.regexp_replace(text, SPACE, "")).cast("long").alias("word_chars"),
         (F.char_length(text) - F.char_length(F.regexp_replace(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (n_lines - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         n_repeat.alias("n_repeat_words"), lost.alias("lost"), F.array_join(good, "\n").alias("cleaned")))
-    m = F.col("__m")
+    m = F.col(measured)
     failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
     return df.withColumn("quality", F.struct(
-        "__m.*", failed.alias("base_failed"), (~failed & (m["lost"] <= MAX_LOST)).alias("kept"))
-    ).drop(ws, lines, windows, good, "__m")
+        f"{measured}.*", failed.alias("base_failed"), (~failed & (m["lost"] <= MAX_LOST)).alias("kept"))
+    ).drop(ws, lines, windows, good, measured)
 
 
 def quality_report(docs: DataFrame) -> DataFrame:
@@ -119,10 +120,11 @@ def clean(docs: DataFrame) -> DataFrame:
     ``docs``, ``n_chars`` (where present) as the cleaned text has it."""
     # A filter on a computed column is pushed below it, where the expressions behind it
     # would be written out in place, once for every use; not past a row number.
-    measured = quality_measures(docs.withColumnRenamed("quality", "__quality"))
-    kept = measured.withColumn("__row", F.monotonically_increasing_id()).filter("quality.kept and __row >= 0")
+    row, was = free_name(docs, "row_nr"), free_name(docs, "quality_was")
+    measured = quality_measures(docs.withColumnsRenamed({c: was for c in docs.columns if c.lower() == "quality"}))
+    kept = measured.withColumn(row, F.monotonically_increasing_id()).filter(F.col("quality.kept") & (F.col(row) >= 0))
     new = {"text": F.col("quality.cleaned")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.char_length("quality.cleaned").cast(docs.schema["n_chars"].dataType)
-    kept = kept.withColumns(new).drop("quality").withColumnRenamed("__quality", "quality")
-    return kept.select(*docs.columns)
+    kept = kept.withColumns(new).drop("quality")
+    return kept.withColumnsRenamed({was: c for c in docs.columns if c.lower() == "quality"}).select(*docs.columns)

@@ -243,11 +243,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, keep_text: bool = T
     roots = prints.join(roots, prints["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
     firsts = roots.groupBy("root").agg(F.min("first").alias("least"))
-    by_print = roots.join(firsts, "root").select(F.col("fingerprint").alias("print"), "least")
-    joined = marked.join(by_print, marked[fp] == by_print["print"])
+    key, least = free_name(docs, "print_key"), free_name(docs, "least_of_print")
+    by_print = roots.join(firsts, "root").select(F.col("fingerprint").alias(key), F.col("least").alias(least))
+    joined = marked.join(by_print, marked[fp] == by_print[key])
     kept = [c for c in docs.columns if keep_text or c != "text"]
-    return joined.select(*kept, fp, F.col("least.id").alias(comp),
-                         (F.col(row) == F.col("least.row")).alias(first))
+    return joined.select(*[marked[c] for c in kept], fp, F.col(f"{least}.id").alias(comp),
+                         (F.col(row) == F.col(f"{least}.row")).alias(first))
 
 
 def near_duplicate_report(docs: DataFrame) -> DataFrame:

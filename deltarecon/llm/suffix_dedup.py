@@ -428,6 +428,8 @@ def _removed(b: _Block, answers: list[dict], parts: int) -> list[np.ndarray]:
 
 
 def _dealt(docs: DataFrame, block_bytes: int, part_bytes: int) -> tuple[DataFrame, dict[str, str], int]:
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        raise TypeError("doc_id must be a whole number: which of two strings comes first is decided by it")
     names = {n: free_name(docs, n) for n in ("row", "block")}
     size = int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     blocks, parts = max(1, -(-size // block_bytes)), max(1, -(-size // part_bytes))

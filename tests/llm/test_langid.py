@@ -50,3 +50,45 @@ def test_pieces_and_dropped_vectors_change_nothing(monkeypatch):
     # Vectors of different n-grams are nearly orthogonal.
     x, y = a.gram((ord("a") << 42) | (ord("b") << 21) | ord("c")), a.gram((ord("c") << 42) | (ord("b") << 21) | ord("a"))
     assert abs(float(x @ y)) / langid.DIMS < 0.15
+
+
+def test_cuts_between_pieces_change_nothing(monkeypatch):
+    import random
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice("abcé  ..1\n") for _ in range(n)) for n in [1, 2, 3, 7, 50, 200] * 5] + ["", "  ", "x", " x", "x ", "..."]
+    whole = [langid.Encoder().grams(t) for t in texts]
+    for piece in (1, 2, 3, 10, 49):
+        monkeypatch.setattr(langid, "PIECE", piece)
+        for t, (keys, counts) in zip(texts, whole):
+            got = langid.Encoder().grams(t)
+            assert got[0].tolist() == keys.tolist() and got[1].tolist() == counts.tolist(), (piece, t)
+
+
+def test_profiles_against_plain_dictionaries(make_docs):
+    """Prototypes, cosines and predictions from n-gram dictionaries, one vector at a time."""
+    rows = duckdb.sql(f"SELECT doc_id, text, lang, source FROM '{SF_CHECK}/documents.parquet' ORDER BY doc_id LIMIT 60").fetchall()
+
+    def bundle(texts):
+        out = np.zeros(langid.DIMS)
+        for t in texts:
+            said = "".join(c if c.isalpha() else "_" for c in t.lower())
+            while "__" in said:
+                said = said.replace("__", "_")
+            said = "_" + said + "_"
+            for i in range(len(said) - 2) if any(c.isalpha() for c in said) else ():
+                key = sum(ord(c) << 21 * (2 - j) for j, c in enumerate(said[i:i + 3]))
+                if key not in known:
+                    known[key] = langid.Encoder().gram(key)
+                out += known[key]
+        return out
+
+    known = {}
+    train = [(r[1], r[2]) for r in rows if r[0] % 4]
+    protos = {k: bundle([t for t, x in train if x == k and t]) for k in sorted({x for _, x in train if x})}
+    marked = make_docs(rows).withColumn("held_out", F.col("doc_id") % 4 == 0)
+    got = {r["doc_id"]: r for r in langid.identify(marked, marked.filter("not held_out")).collect()}
+    for i, text, *_ in rows:
+        v = bundle([text or ""])
+        cosines = {k: v @ p / (np.linalg.norm(v) * np.linalg.norm(p)) for k, p in protos.items()} if v.any() else {"und": 0.0}
+        best = max(cosines, key=lambda k: (cosines[k], k))
+        assert got[i]["lang_pred"] == best and abs(got[i]["score"] - max(0.0, cosines[best])) < 1e-5

@@ -70,3 +70,11 @@ def test_edges(make_docs):
     assert mixing.mix(make_docs([(1, None), (2, "")])).collect() == []  # nothing to draw tokens from
     one = mixing.mix(make_docs([(1, "a b", "en", None), (None, "c", "en", None)])).collect()
     assert sorted((r["doc_id"] or 0, r["weight"]) for r in one) == [(0, 1.0), (1, 1.0)]
+
+
+def test_a_budget_beyond_the_limit_is_refused(make_docs):
+    df = make_docs([(i, "w " * 10, "en", f"s{i % 2}") for i in range(20)])
+    assert mixing.mix(df, max_repeats=2, budget_tokens=400).count() == 40
+    for budget, rows in ((401, df), (4000, df), (401, df.filter("source = 's0'"))):
+        with pytest.raises(ValueError, match="times"):
+            mixing.mix(rows, max_repeats=2, budget_tokens=budget)

@@ -61,3 +61,32 @@ def test_stages_keep_columns_and_bear_odd_rows(spark):
             docs = spark.createDataFrame(docs.collect(), docs.schema)
         assert docs.count() == (2 if data is df else 0)
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).count() >= 0
+
+
+def test_clashing_columns_come_through(spark):
+    """Names that the operators use themselves, with their values."""
+    names = ["__row", "__ws", "__m", "__quality", "Quality", "print", "least", "root", "fingerprint", "is_first", "component_id",
+             "row", "block", "row_nr", "measured", "ws", "lines", "id", "none", "first", "print_key", "span", "gram"]
+    rows = [(i, test_quality.prose(12 + i), "en", "s", 7, *range(100 * i, 100 * i + len(names))) for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, "
+                               + ", ".join(f"`{n}` int" for n in names))
+    want = {r[0]: r[5:] for r in rows}
+    docs = df
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF_SMALL)
+        assert docs.columns == df.columns, name
+        got = docs.collect()
+        assert len(got) == 4 and all(tuple(r)[5:] == want[r["doc_id"]] for r in got), name
+        docs = spark.createDataFrame(got, docs.schema)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).count() >= 4
+
+
+def test_nothing_is_left_behind(spark):
+    import os
+    from deltarecon.session import ensure_checkpoint_dir, scratch_scope
+
+    base = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "deltarecon-scratch")
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    with scratch_scope(spark):
+        assert corpus_pipeline.run(spark, SF_SMALL).count() > 0
+    assert set(os.listdir(base)) == before
