@@ -84,7 +84,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get(CHECKPOINT_CONF, None) or _LOCAL_DIRS.get(app)
     if not d:
         # One machine: local, local[n] or local[n,m]. local-cluster stands for a cluster.
-        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+        if not re.match(r"local(\[.*\])?$", spark.conf.get("spark.master", "")):
             raise RuntimeError(f"{CHECKPOINT_CONF} is not set; point it at a shared folder")
         d = tempfile.mkdtemp(prefix="deltarecon-ckpt-")
         _LOCAL_DIRS[app] = d
