@@ -355,7 +355,7 @@ ORACLES["diff_full_outer"] = flow_sql(diff_select())
 ORACLES["diff_full_outer_single"] = ORACLES["diff_full_outer"]
 ORACLES["diff_full_outer_nullsafe"] = flow_sql(diff_select(null_safe=True, side=True, hq_null=True))
 ORACLES["diff_full_outer_null_keys"] = flow_sql(diff_select(side=True, hq_null=True))
-ORACLES["diff_full_outer_split"] = ORACLES["diff_full_outer"]
+ORACLES["diff_full_outer_measured"] = ORACLES["diff_full_outer"]
 
 
 def keyed_diff(left: str, right: str, cols: list[str], cond: str) -> str:
