@@ -30,6 +30,15 @@ def unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
+def pack_rising(values: np.ndarray) -> bytes:
+    """Whole numbers in ascending order, as the steps between them."""
+    return pack(np.diff(values, prepend=0))
+
+
+def unpack_rising(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data).astype(np.int64))
+
+
 def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     """Ranges of the hash's upper half; ascends with the hash."""
     return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
