@@ -1,6 +1,6 @@
 """Katz back-off language model: learn from some documents, score all.
 
-The model has ``order`` orders (up to triples of words by default). The probability of a word
+The model has ``order`` orders (word pairs by default). The probability of a word
 after a history is its discounted share of the n-grams that begin with that history;
 where the n-gram was never seen, it is the word's probability after the history
 without its first word, times the back-off weight of the history. The recursion ends
@@ -40,13 +40,14 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deltarecon.llm.packed import ddl, mix, pack, pack_rising, part_of, rows, unpack, unpack_rising
 
-ORDER = 3
+ORDER = 2
 MAX_DISCOUNTED = 5
 BLOCK_BYTES = 8 << 20
 PART_BYTES = 24 << 20
@@ -55,29 +56,26 @@ END, START = b" ", b"\n"  # no word holds white space
 START_ID = 0
 
 
-class _Numbers(dict):
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self)
-        return n
-
-
 class _Block:
     """The tokens of a block's texts by local word number, 0 the end."""
 
     def __init__(self, texts: pa.ChunkedArray, held: pa.ChunkedArray) -> None:
-        number = _Numbers({END: 0})
-        tokens, sizes = [], []
-        for t in texts:
-            ids = list(map(number.__getitem__, (t.as_buffer().to_pybytes() if t.is_valid else b"").lower().split()))
-            ids.append(0)
-            tokens.append(np.array(ids, np.int32))
-            sizes.append(len(ids))
-        self.tokens = np.concatenate(tokens) if tokens else np.zeros(0, np.int32)
-        self.sizes = np.array(sizes, np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.int64)
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+        words = pa.chunked_array([x.flatten() for x in lists.chunks], pa.large_string())
+        kept = pc.not_equal(words, "")  # there is an empty one where white space begins or ends a text
+        owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())[kept.to_numpy()]
+        self.sizes = np.bincount(owner, minlength=len(lists)) + 1
+        coded = words.filter(kept).combine_chunks().dictionary_encode()
+        distinct = [END, *map(str.encode, coded.dictionary.to_pylist())]
+        ends = np.cumsum(self.sizes) - 1
+        self.tokens = np.zeros(int(self.sizes.sum()), np.int32)
+        inside = np.ones(len(self.tokens), bool)
+        inside[ends] = False
+        self.tokens[inside] = coded.indices.to_numpy() + 1
+        self.starts = ends - self.sizes + 1
         self.train = np.repeat(~held.to_numpy(zero_copy_only=False).astype(bool), self.sizes)
-        self.n_words = len(number)
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, number), np.uint64, self.n_words)
+        self.n_words = len(distinct)
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, distinct), np.uint64, self.n_words)
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
 
