@@ -46,7 +46,7 @@ def cmd_counts(spark: SparkSession, a: argparse.Namespace) -> None:
     resolve = parquet_resolver(spark, a.parquet_base) if a.parquet_base else catalog_resolver(spark)
     as_of = a.as_of or dt.date.today().isoformat()
     run_delta_counts(read_registry(spark, a.registry), resolve, as_of, a.output, job_time=a.job_time,
-                     mode=a.mode)
+                     mode=a.mode, pruned=a.pruned)
 
 
 RULE_NAMES = ("suffix_key", "suffix_nonzero", "zero_to_blank", "strip_letters", "trim_keep_ws", "trim_text")
@@ -112,6 +112,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--as-of", help="day yyyy-MM-dd (default: today)")
     c.add_argument("--job-time", help="text for the job_time column (default: now)")
     c.add_argument("--mode", choices=["since", "on"], default="since")
+    c.add_argument("--pruned", action="store_true", help="two scans a table, the changes behind a filter")
     c.add_argument("--parquet-base", help="read base/queue/process Parquet folders instead of catalog tables")
     c.set_defaults(run=cmd_counts)
 

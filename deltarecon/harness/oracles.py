@@ -278,6 +278,8 @@ ORACLES["delta_counts_typed_on_day"] = with_fixtures(
     count_select("events_delta", "events", "events_delta", fx.AS_OF_EVENTS, "created", "updated", "deleted",
                  typed=True, mode="on"),
     "events_delta")
+for _key in ("delta_counts", "delta_counts_on_day", "delta_counts_typed"):
+    ORACLES[f"{_key}_pruned"] = ORACLES["delta_counts_since" if _key == "delta_counts" else _key]
 ORACLES["delta_no_delete_col"] = with_fixtures(
     count_select("lineitem_delta", "lines", "lineitem_delta", fx.AS_OF_SINCE, "created", "updated", None),
     "lineitem_delta")

@@ -148,10 +148,10 @@ def hq_split_counts(spark, sf_dir):
 
 # --- delta counts -----------------------------------------------------------
 
-def _orders_counts(spark, sf_dir, mode="since", as_of=fx.AS_OF_SINCE):
+def _orders_counts(spark, sf_dir, mode="since", as_of=fx.AS_OF_SINCE, pruned=False):
     return deltas.delta_counts(
         fx.orders_delta(spark, sf_dir), as_of, "created", "updated", "deleted",
-        mode=mode, entity="orders", process="orders_delta", job_time=fx.JOB_TIME,
+        mode=mode, entity="orders", process="orders_delta", job_time=fx.JOB_TIME, pruned=pruned,
     )
 
 
@@ -179,6 +179,25 @@ def delta_counts_since(spark, sf_dir):
     return _orders_counts(spark, sf_dir)
 
 
+@query
+def delta_counts_pruned(spark, sf_dir):
+    """The same row from two scans, the changes behind a filter on the stamp."""
+    return _orders_counts(spark, sf_dir, pruned=True)
+
+
+@query
+def delta_counts_on_day_pruned(spark, sf_dir):
+    return _orders_counts(spark, sf_dir, mode="on", as_of=fx.AS_OF_ON_DAY, pruned=True)
+
+
+@query
+def delta_counts_typed_pruned(spark, sf_dir):
+    return deltas.delta_counts(
+        fx.events_delta(spark, sf_dir), fx.AS_OF_EVENTS, "created", "updated", "deleted",
+        entity="events", process="events_delta", job_time=fx.JOB_TIME, pruned=True,
+    )
+
+
 @query
 def delta_counts_on_day(spark, sf_dir):
     return _orders_counts(spark, sf_dir, mode="on", as_of=fx.AS_OF_ON_DAY)

@@ -28,6 +28,12 @@ inactive  deleted = 'Y'                                deleted
 ``mode='on'`` replaces ``>= d`` by ``= d``; inserts test only the created day
 and need only that column. A row whose stamp or flag is NULL never satisfies a predicate, so it is
 in ``total`` only; ``active + inactive`` may be below ``total``.
+
+``pruned=True`` counts in two scans instead of one. The changes are counted behind a
+filter that Parquet can skip row groups and pages by (``updated >= d``); ``total``,
+``active`` and ``inactive`` need the flag column alone, or no column at all. On a large
+table that is written in the order of its stamps, neither scan reads the stamps of old
+rows. Where old and new rows lie mixed, one scan is the better plan.
 """
 
 from __future__ import annotations
@@ -135,12 +141,14 @@ def delta_counts(
     process: str | None = None,
     job_time: str | dt.datetime | None = None,
     known: MutableMapping[tuple, list[Column]] | None = None,
+    pruned: bool = False,
 ) -> DataFrame:
     """One count row for ``df``: entity, process, six counts, job_time.
 
     ``job_time`` defaults to the query's current timestamp; pass a value for
     reproducible output. ``known`` keeps the aggregate expressions between calls: they
-    name columns only, so tables whose columns are called alike share them.
+    name columns only, so tables whose columns are called alike share them. ``pruned``
+    reads the changes through a filter, in a scan of their own; the counts are the same.
     """
     known = {} if known is None else known
     kinds = tuple(df.schema[c].dataType.typeName() for c in (created, updated) if c is not None)
@@ -154,7 +162,9 @@ def delta_counts(
         jt = F.lit(job_time.strftime("%Y-%m-%d %H:%M:%S"))
     else:
         jt = F.lit(str(job_time))
-    return df.agg(*aggs).select(
+    reached = _may_have_changed(df, as_of, created, updated, mode) if pruned else None
+    counts = df.agg(*aggs) if reached is None else _two_scans(df, aggs, reached)
+    return counts.select(
         F.lit(entity).cast("string").alias("entity"),
         F.lit(process).cast("string").alias("process"),
         *COUNT_COLUMNS,
@@ -162,6 +172,36 @@ def delta_counts(
     )
 
 
+def _may_have_changed(df: DataFrame, as_of: str | dt.date, created: str | None, updated: str | None,
+                      mode: str) -> Column | None:
+    """True for every row that a change metric counts, as a test that scans can prune by;
+    None where no such metric is available."""
+    if not created or not updated and mode == "since":
+        return None
+    days, d = _day_exprs(df, [c for c in (created, updated) if c], as_of)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    text = _as_date(as_of).isoformat()
+
+    def reached(c: str) -> Column:
+        if types[c] == T.StringType():
+            # Of text with this prefix and text above it the same holds as of the first ten characters.
+            return _c(c) >= F.lit(text) if mode == "since" else _c(c).startswith(text)
+        return days[c] >= d if mode == "since" else days[c] == d
+
+    if mode == "since":
+        return reached(updated)
+    return reached(created) | reached(updated) if updated else reached(created)
+
+
+def _two_scans(df: DataFrame, aggs: list[Column], reached: Column) -> DataFrame:
+    """The six counts, changes from the rows that may hold any, the others from all rows."""
+    changes, states = COUNT_COLUMNS[:3], COUNT_COLUMNS[3:]
+    na = F.lit(None).cast("bigint")
+    parts = [df.filter(reached).agg(*aggs[:3]).select(*changes, *[na.alias(c) for c in states]),
+             df.agg(*aggs[3:]).select(*[na.alias(c) for c in changes], *states)]
+    return parts[0].unionAll(parts[1]).agg(*[F.max(c).alias(c) for c in COUNT_COLUMNS])
+
+
 def day_count_row(counts: DataFrame, as_of: str | dt.date) -> DataFrame:
     """The six fields of an exact-day row: entity, process, the three changes, the day."""
     return counts.select("entity", "process", "inserts", "updates", "deletes",

@@ -114,6 +114,8 @@ def flag_missing_parent(
 HOT_ROWS = 1_000_000
 # Hot keys that "measured" sends to every task; with more it does what "split" does.
 MAX_HOT_KEYS = 10_000
+# Buckets of keys that "measured" counts before keys: no key has more rows than its bucket.
+KEY_BUCKETS = 1 << 20
 
 
 def compared_type(spark: SparkSession, left_type: str, right_type: str, null_safe: bool = False) -> str | None:
@@ -186,14 +188,27 @@ class _Diff:
         left_only = left.join(rkeys, self._on(left, rkeys, [f"_rk_{i}" for i in range(len(names))]), "left_anti")
         return self._shown(matched_and_right).unionByName(self._shown(left_only))
 
-    def hot_keys(self, df: DataFrame, hot_rows: int) -> list[tuple[int | None]] | None:
+    def hot_keys(self, df: DataFrame, hot_rows: int, buckets: int = KEY_BUCKETS) -> list[tuple[int | None]] | None:
         """Hashes with more than ``hot_rows`` rows (None stands for the rows without a
         partner); None if there are more than ``MAX_HOT_KEYS``. Reads the key columns
-        alone, counted in part before the shuffle."""
-        h = F.when(self.matchable(), self.key_hash(df)).alias("h")
-        counts = df.select(h).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-        found = counts.filter(F.col("n") > hot_rows).select("h").limit(MAX_HOT_KEYS + 1).collect()
-        return [tuple(r) for r in found] if len(found) <= MAX_HOT_KEYS else None
+        alone. Buckets of keys are counted first, in part before the shuffle, which so
+        carries at most ``buckets`` rows a task however many keys there are; keys only
+        within buckets of more than ``hot_rows`` rows, if there are any."""
+        rows = df.select(F.when(self.matchable(), self.key_hash(df)).alias("h"))
+        rows = rows.withColumn("b", F.coalesce(F.pmod("h", F.lit(buckets)), F.lit(-1)))
+
+        def above(by: str) -> list[int | None] | None:
+            counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
+            found = [r[0] for r in counts.select(by).limit(MAX_HOT_KEYS + 1).collect()]
+            return found if len(found) <= MAX_HOT_KEYS else None
+
+        full = above("b")
+        if full == []:
+            return []
+        if full is not None:
+            rows = rows.filter(F.col("b").isin(full))
+        found = above("h")
+        return None if found is None else [(h,) for h in found]
 
 
 def record_diff(

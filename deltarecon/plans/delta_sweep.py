@@ -56,7 +56,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _count_rows(entries: list[dict], resolve: TableResolver, as_of: str | dt.date,
-                job_time: str | dt.datetime | None, mode: str) -> list[DataFrame]:
+                job_time: str | dt.datetime | None, mode: str, pruned: bool) -> list[DataFrame]:
     if not entries:
         raise ValueError("empty registry")
 
@@ -66,7 +66,7 @@ def _count_rows(entries: list[dict], resolve: TableResolver, as_of: str | dt.dat
         try:
             return delta_counts(resolve(e["queue"], e["process"]), as_of, e["created"], e["updated"], e["deleted"],
                                 mode=mode, entity=e["entity"], process=e["process"], job_time=job_time,
-                                known=known)
+                                known=known, pruned=pruned)
         except Exception as error:  # reported with the others
             return error
 
@@ -88,9 +88,11 @@ def delta_counts_for_registry(
     as_of: str | dt.date,
     job_time: str | dt.datetime | None = None,
     mode: str = "since",
+    pruned: bool = False,
 ) -> DataFrame:
-    """Count rows (entity, process, six counts, job_time) for every registry row."""
-    return _union(_count_rows(registry_entries(registry), resolve, as_of, job_time, mode))
+    """Count rows (entity, process, six counts, job_time) for every registry row;
+    ``pruned`` as in ``delta_counts``."""
+    return _union(_count_rows(registry_entries(registry), resolve, as_of, job_time, mode, pruned))
 
 
 def run_delta_counts(
@@ -101,10 +103,12 @@ def run_delta_counts(
     job_time: str | dt.datetime | None = None,
     mode: str = "since",
     batch_tables: int = BATCH_TABLES,
+    pruned: bool = False,
 ) -> None:
-    """Replace ``output_path`` with one comma file of count rows, in registry order."""
+    """Replace ``output_path`` with one comma file of count rows, in registry order;
+    ``pruned`` as in ``delta_counts``."""
     spark = registry.sparkSession
-    rows = _count_rows(registry_entries(registry), resolve, as_of, job_time, mode)
+    rows = _count_rows(registry_entries(registry), resolve, as_of, job_time, mode, pruned)
     rows = [r.withColumn("_nth", F.lit(i)) for i, r in enumerate(rows)]
     batches = [_union(rows[i:i + batch_tables]) for i in range(0, len(rows), batch_tables)]
     stage = scratch_path(spark, "delta_counts")

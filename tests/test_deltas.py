@@ -1,6 +1,7 @@
 """Delta counts: edge rows, metric availability, one scan, exact-day mode."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from deltarecon.harness import fixtures as fx
 from deltarecon.operators.deltas import COUNT_ROW_COLUMNS, day_count_row, delta_counts, delta_counts_separate
@@ -104,3 +105,46 @@ def test_as_of_must_be_a_day(spark, day):
     df = spark.createDataFrame([("2024-01-15",)], "c string")
     with pytest.raises(ValueError):
         delta_counts(df, day, "c", mode="on")
+
+
+@pytest.mark.parametrize("mode", ["since", "on"])
+@pytest.mark.parametrize("known", [("created", "updated", "deleted"), ("created", "updated", None), ("created", None, "deleted"),
+                                   (None, "updated", "deleted"), (None, None, None)])
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "mixed"])
+def test_two_scans_count_alike(edge, mode, known, kind):
+    if kind != "string":
+        edge = edge.withColumn("created", F.col("created").substr(1, 10).cast("date" if kind == "mixed" else kind))
+    if kind in ("date", "timestamp"):
+        edge = edge.withColumn("updated", F.col("updated").substr(1, 10).cast(kind))
+    one, two = (delta_counts(edge, "2024-01-03", *known, mode=mode, entity="e", process="p", job_time="t", pruned=p)
+                for p in (False, True))
+    assert one.collect() == two.collect() and one.dtypes == two.dtypes
+
+
+def test_two_scans_on_odd_stamps_and_an_empty_table(spark):
+    odd = ["", "2", "2024-01-0", "2024-01-03", "2024-01-03x", "2024-01-031", "2024-01-04", "\u00e9", " 2024-01-03", "NA", None]
+    df = spark.createDataFrame([(c, u, f) for c in odd for u in odd for f in ("N", "Y", None)],
+                               "created string, updated string, deleted string")
+    for frame in (df, df.limit(0)):
+        for mode in ("since", "on"):
+            one, two = (counts(delta_counts(frame, "2024-01-03", "created", "updated", "deleted", mode=mode, pruned=p))
+                        for p in (False, True))
+            assert one == two
+
+
+@pytest.mark.parametrize("kind, pushed", [("string", "GreaterThanOrEqual(updated,2024-01-03)"),
+                                          ("timestamp", "GreaterThanOrEqual(updated,2024-01-03")])
+def test_changes_are_read_behind_a_pushed_filter(edge, tmp_path, spark, kind, pushed):
+    for c in ("created", "updated"):
+        edge = edge.withColumn(c, F.col(c).substr(1, 10).cast(kind))
+    edge.write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    plan = plan_text(delta_counts(table, "2024-01-03", "created", "updated", "deleted", pruned=True))
+    assert pushed in plan and "ReadSchema: struct<deleted:string>" in plan  # the other scan
+
+
+def test_totals_read_no_column(edge, tmp_path, spark):
+    edge.write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    assert "ReadSchema: struct<>" in plan_text(delta_counts(table, "2024-01-03"))
+    assert "ReadSchema: struct<>" in plan_text(delta_counts(table, "2024-01-03", "created", "updated", pruned=True))

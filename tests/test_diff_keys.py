@@ -129,3 +129,17 @@ def test_scratch_scope_leaves_nothing(spark, fails):
     except ValueError:
         pass
     assert not path_exists(spark, kept[0]) and path_exists(spark, ensure_checkpoint_dir(spark))
+
+
+def test_buckets_of_keys_find_the_same_hot_keys(spark):
+    from deltarecon.operators.reconcile import _Diff
+
+    rows = [(i % 50 if i < 900 else i,) for i in range(1500)] + [(None,)] * 40 + [(7,)] * 200
+    df = spark.createDataFrame(rows, "k int")
+    diff = _Diff(df, df, ["k"], False, "l_", "r_")
+    want = {r["h"] for r in df.select(F.when(F.col("k").isNotNull(), diff.key_hash(df)).alias("h")).groupBy("h").count()
+            .filter("count > 30").collect()}
+    assert len(want) == 2 and None in want  # the key 7 and the rows without a partner
+    for buckets in (1, 3, 64, 1 << 20):
+        assert {h for h, in diff.hot_keys(df, 30, buckets)} == want
+    assert diff.hot_keys(df, 300) == []
